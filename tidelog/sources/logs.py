@@ -32,7 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    return events_log_from(table(spark, sf_dir, "events"))
+
+
+def events_log_from(ev: DataFrame) -> DataFrame:
+    """The events log over any ``events``-shaped DataFrame, batch or streaming."""
     return ev.select(
         (F.col("user_id") % EVENTS_PARTITIONS).cast("int").alias("part"),
         F.col("event_id").alias("off"),
