@@ -65,8 +65,10 @@ def checkpoint_snapshots(log: DataFrame, ck_of_row: Column, readers: int,
            .groupBy("part", "ck").agg(F.max("off").alias("_m")))
     bounds = per.agg((F.max("part") + 1).cast("int").alias("n"), F.min("ck").alias("lo"),
                      F.max("ck").alias("hi"))
+    # one row per partition, spread over tasks by partition, then one row per barrier
     grid = (bounds.where(F.col("n") > 0)
             .select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"), "lo", "hi")
+            .repartition("part")
             .select("part", F.explode(F.sequence("lo", "hi")).alias("ck")))
     filled = grid.join(per, ["part", "ck"], "left")
     run = prefix_max(filled, ["part"], ["ck"], "_m", F.expr(f"ck div {int(chunk_width)}"), "_run")

@@ -1,13 +1,14 @@
 """Scans of a log relative to cursors, partition discovery and restore checks.
 
-Cursors and splits are small (one row per partition); the log is big.  Joins against cursors
-carry a broadcast hint only when the caller gives a partition-count bound, otherwise AQE decides
-from the measured size.
+Cursors and splits are small (one row per partition); the log is big.  When the caller gives a
+partition-count bound, the cursor rows (checked against the bound) become a seek predicate that the
+Parquet scan uses for partition pruning and row-group skipping; without a bound the log is joined
+to them and AQE decides the join strategy from the measured size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.broadcast import broadcast_bounded
@@ -51,11 +52,48 @@ def discover(partitions: DataFrame, known: DataFrame, cursors: DataFrame, subscr
             .select(F.lit(subscription).alias("subscription"), "part", "start_off"))
 
 
+SEEK_LIMIT = 4096
+
+
+def _balanced_or(preds: list) -> Column:
+    while len(preds) > 1:
+        preds = [preds[i] | preds[i + 1] if i + 1 < len(preds) else preds[i] for i in range(0, len(preds), 2)]
+    return preds[0]
+
+
+def _bounded_rows(df: DataFrame, bound: int | None) -> list | None:
+    """The rows of a table proven to hold at most ``bound`` rows (checked), else None."""
+    if bound is None or bound > SEEK_LIMIT:
+        return None
+    got = df.limit(bound + 1).collect()
+    return got if len(got) <= bound else None
+
+
+def seek_predicate(ranges: list, inclusive: bool = True) -> Column:
+    """``OR_p (part = p AND off >= start_p [AND off < stop_p])`` - a per-partition seek that
+    reaches the Parquet scan (partition pruning on ``part``, row-group skipping on ``off``)."""
+    if not ranges:
+        return F.lit(False)
+    preds = []
+    for part, start, stop in ranges:
+        c = F.col("part") == F.lit(part)
+        c = c & ((F.col("off") >= F.lit(start)) if inclusive else (F.col("off") > F.lit(start)))
+        if stop is not None:
+            c = c & (F.col("off") < F.lit(stop))
+        preds.append(c)
+    return _balanced_or(preds)
+
+
 def scan_from(log: DataFrame, starts: DataFrame, part_bound: int | None = None,
               inclusive: bool = True) -> DataFrame:
     """Rows at or after each partition's start offset (``inclusive=False``: strictly after).
 
-    Partitions without a start row are not read (they have no split)."""
+    Partitions without a start row are not read (they have no split).  With a partition bound the
+    starts (one row per partition, checked) become a seek predicate on the scan; otherwise the log
+    is joined to them."""
+    got = _bounded_rows(starts.select("part", "start_off"), part_bound)
+    if got is not None:
+        return log.where(seek_predicate([(r["part"], r["start_off"], None) for r in got], inclusive))
     s = starts.select("part", F.col("start_off").alias("_start"))
     cond = F.col("off") >= F.col("_start") if inclusive else F.col("off") > F.col("_start")
     return log.join(broadcast_bounded(s, part_bound), "part").where(cond).drop("_start")
@@ -66,6 +104,9 @@ def scan_between(log: DataFrame, starts: DataFrame, stops: DataFrame,
     """Rows with ``start_off <= off < stop_off``; a partition without a stop is read to the end."""
     b = (starts.select("part", F.col("start_off").alias("_start"))
          .join(stops.select("part", F.col("stop_off").alias("_stop")), "part", "left"))
+    got = _bounded_rows(b, part_bound)
+    if got is not None:
+        return log.where(seek_predicate([(r["part"], r["_start"], r["_stop"]) for r in got]))
     return (log.join(broadcast_bounded(b, part_bound), "part")
             .where((F.col("off") >= F.col("_start")) & (F.col("_stop").isNull() | (F.col("off") < F.col("_stop"))))
             .drop("_start", "_stop"))
