@@ -1,0 +1,134 @@
+"""The plog data source: offsets, discovery, rate cap, cursor commits, failure policies."""
+
+import logging
+import os
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidelog.schema import LOG_DDL
+from tidelog.session import scratch_dir
+from tidelog.sources import plog
+from tidelog.sources.logs import write_log
+
+
+def _log_rows(spark, parts, offs):
+    data = [(p, o, None, None, str(o), None, None) for p in parts for o in offs]
+    return spark.createDataFrame(data, LOG_DDL)
+
+
+@pytest.fixture(scope="module")
+def registered(spark):
+    plog.register(spark)
+    return spark
+
+
+def test_batch_read_from_cursors_inclusive_and_exclusive(registered):
+    spark = registered
+    path, cur = scratch_dir(spark, "plog-t1"), scratch_dir(spark, "plog-t1c")
+    write_log(_log_rows(spark, [0, 1], [0, 2, 4, 6]), path)
+    plog.write_cursors(cur, {0: 4}, "s")
+    base = spark.read.format("plog").option("path", path).option("subscription", "s").option("cursors", cur)
+    assert rows(base.load().select("part", "off")) == [(0, 4), (0, 6), (1, 0), (1, 2), (1, 4), (1, 6)]
+    excl = base.option("resume", "exclusive").load().select("part", "off")
+    assert rows(excl) == [(0, 6), (1, 0), (1, 2), (1, 4), (1, 6)]
+
+
+def test_missing_required_option(registered):
+    with pytest.raises(Exception, match="subscription"):
+        registered.read.format("plog").option("path", "/nonexistent").load().collect()
+
+
+def _reader(path, cur=None, cap=None):
+    opts = {"path": path, "subscription": "s"}
+    if cur:
+        opts["cursors"] = cur
+    if cap:
+        opts["maxMessagesPerTrigger"] = str(cap)
+    return plog.PlogStreamReader(opts)
+
+
+def test_rate_cap_discovery_and_commit(registered):
+    spark = registered
+    path, cur = scratch_dir(spark, "plog-t2"), scratch_dir(spark, "plog-t2c")
+    for lo in range(0, 40, 10):                     # four files per partition, 5 rows each
+        write_log(_log_rows(spark, [0, 1], range(lo, lo + 10, 2)).coalesce(1), path, mode="append")
+    r = _reader(path, cur, cap=10)
+    ends, start = [], r.initialOffset()
+    assert start["next"] == {"0": 0, "1": 0}
+    while True:
+        end = r.latestOffset()
+        if end == start:
+            break
+        parts = r.partitions(start, end)
+        assert sum(1 for _ in parts) >= 1
+        ends.append(end["next"])
+        r.commit(end)
+        start = end
+    assert len(ends) == 4                           # 40 rows, at most ~10 admitted per trigger
+    assert ends[-1] == {"0": 39, "1": 39}
+    assert plog.read_cursor_table(cur) == {0: 38, 1: 38}
+    # a new partition appears: discovered at the next trigger from its committed cursor
+    write_log(_log_rows(spark, [2], [0, 1, 2]), path, mode="append")
+    plog.write_cursors(cur, {2: 1}, "s")
+    r2 = _reader(path, cur)
+    r2._known = {0: 39, 1: 39}
+    end = r2.latestOffset()
+    assert end["next"]["2"] == 3
+    got = r2.partitions({"next": {"0": 39, "1": 39}}, end)
+    assert [(p.part, p.start, p.end) for p in got] == [(2, 1, 3)]
+
+
+def test_vanished_partition_fails(registered, tmp_path):
+    spark = registered
+    path = scratch_dir(spark, "plog-t3")
+    write_log(_log_rows(spark, [0], [0, 1]), path)
+    r = _reader(path)
+    r._known = {0: 0, 5: 3}
+    with pytest.raises(RuntimeError, match="disappeared"):
+        r.latestOffset()
+
+
+def test_listing_failure_fatal_only_at_start(registered, monkeypatch, caplog):
+    spark = registered
+    path = scratch_dir(spark, "plog-t4")
+    write_log(_log_rows(spark, [0], [0, 1]), path)
+    r = _reader(path)
+    first = r.latestOffset()
+
+    def boom(*a, **k):
+        raise OSError("listing failed")
+    monkeypatch.setattr(plog, "list_files", boom)
+    with caplog.at_level(logging.ERROR, logger="tidelog.plog"):
+        assert r.latestOffset() == first
+    assert "listing" in caplog.text
+    with pytest.raises(OSError):
+        _reader(path).latestOffset()
+
+
+def test_failed_commit_is_logged_not_raised(registered, monkeypatch, caplog):
+    path = scratch_dir(registered, "plog-t5")
+    r = _reader(path, cur=os.path.join(path, "cursors"))
+
+    def boom(*a, **k):
+        raise OSError("commit failed")
+    monkeypatch.setattr(plog, "write_cursors", boom)
+    with caplog.at_level(logging.ERROR, logger="tidelog.plog"):
+        r.commit({"v": 0, "next": {"0": 5}})
+    assert "committing cursors" in caplog.text
+
+
+def test_stream_through_spark_with_cap(registered):
+    spark = registered
+    path, cur = scratch_dir(spark, "plog-t6"), scratch_dir(spark, "plog-t6c")
+    write_log(_log_rows(spark, [0, 1, 2], range(0, 300, 3)), path)
+    s = (spark.readStream.format("plog").option("path", path).option("subscription", "s")
+         .option("cursors", cur).option("maxMessagesPerTrigger", 50).load())
+    out, ck = scratch_dir(spark, "plog-t6o"), scratch_dir(spark, "plog-t6k")
+    q = s.select("part", "off").writeStream.format("parquet").option("checkpointLocation", ck).start(out)
+    q.processAllAvailable()
+    q.stop()
+    back = spark.read.parquet(out)
+    assert back.count() == 300 and back.select("part", "off").distinct().count() == 300
+    assert back.agg(F.max("off")).first()[0] == 297

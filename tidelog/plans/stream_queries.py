@@ -108,3 +108,43 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     st.run_to_files(s, out, scratch_dir(spark, "stream-dedup-ck"))
     return spark.read.parquet(out).select("part", "off")
 
+
+
+# ---------------------------------------------------------------- the plog data source
+
+def _plog_setup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The events log written as a log folder, and a cursor folder as of the cursor date."""
+    from tidelog.sources.logs import write_log
+    log = events_log(spark, sf_dir)
+    path, cursors = scratch_dir(spark, "plog-log"), scratch_dir(spark, "plog-cursors")
+    write_log(log, path)
+    scan.cursors_as_of(log, CURSOR_AS_OF).select("part", F.col("off").alias("position")).write.parquet(cursors)
+    return path, cursors
+
+
+@register("plog_scan", _sql("scan_from_cursor"))
+def plog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch read through the ``plog`` source from committed cursors (inclusive seek)."""
+    from tidelog.sources.plog import register as reg
+    reg(spark)
+    path, cursors = _plog_setup(spark, sf_dir)
+    return (spark.read.format("plog").option("path", path).option("subscription", "subscriptions/events-reader")
+            .option("cursors", cursors).load().select("part", "off"))
+
+
+@register("plog_stream", _sql("scan_from_cursor"))
+def plog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Micro-batch read through ``plog`` with a message cap per trigger; cursors committed per batch."""
+    from tidelog.sources.plog import register as reg
+    reg(spark)
+    path, cursors = _plog_setup(spark, sf_dir)
+    s = (spark.readStream.format("plog").option("path", path).option("subscription", "subscriptions/events-reader")
+         .option("cursors", cursors).option("maxMessagesPerTrigger", 2000).load().select("part", "off"))
+    out, ck = scratch_dir(spark, "plog-stream-out"), scratch_dir(spark, "plog-stream-ck")
+    q = (s.writeStream.format("parquet").option("checkpointLocation", ck).start(out))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    st._raise(q)
+    return spark.read.parquet(out).select("part", "off")

@@ -1,0 +1,319 @@
+"""``plog``: a Python data source over a log folder with per-partition offsets.
+
+The folder is the layout :func:`tidelog.sources.logs.write_log` produces, ``path/part=K/*.parquet``.
+This is the connector-shaped way in, next to the plain parquet (file-source) path:
+
+* offsets are ``{"v": 0, "next": {"<part>": next offset to read}}``;
+* every trigger lists the partitions again (discovery); a new partition starts at its committed
+  cursor, else 0; a partition that disappears fails the query; a listing error is fatal before
+  anything is known and otherwise the previous offset is kept;
+* ``maxMessagesPerTrigger`` caps the rows admitted per trigger, counted from file footers (never
+  from offset differences, offsets may have gaps);
+* work is split into one input partition per (file, offset range), so one hot log partition is read
+  by many tasks; a task reads its file with an offset filter (row-group skipping) as Arrow batches;
+* ``commit(end)`` writes the consumed cursor of every partition (last offset read) to ``cursors``;
+  a failed cursor write is logged and the query goes on (Spark's checkpoint stays the truth).
+
+Options: ``path`` (required), ``subscription`` (required), ``cursors`` (folder of committed cursors,
+read for start offsets and written on commit), ``resume`` (``inclusive``: re-read the committed
+offset, as the connector's seek does; ``exclusive``), ``maxMessagesPerTrigger``, and for batch reads
+``endingCursors`` (folder; read up to and including those offsets).
+"""
+
+from __future__ import annotations
+
+import json
+import logging
+import os
+import time
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from tidelog.schema import LOG_DDL, STATE_VERSION
+
+LOG = logging.getLogger("tidelog.plog")
+FILE_COLUMNS = ["off", "publish_time", "event_time", "data", "attr", "value"]
+
+
+@dataclass(frozen=True)
+class FileInfo:
+    path: str
+    part: int
+    rows: int
+    lo: int
+    hi: int
+
+
+@dataclass
+class RangePartition(InputPartition):
+    path: str
+    part: int
+    start: int
+    end: int
+
+
+def _fs(root: str):
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(root if "://" in root else os.path.abspath(root))
+
+
+def list_files(root: str, cache: dict | None = None) -> dict[int, list[FileInfo]]:
+    """Data files of every partition with row count and offset range (footer metadata only)."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    fs, base = _fs(root)
+    out: dict[int, list[FileInfo]] = {}
+    for info in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
+        if info.type != pafs.FileType.File or not info.path.endswith(".parquet"):
+            continue
+        seg = [s for s in info.path[len(base):].split("/") if s.startswith("part=")]
+        if not seg:
+            continue
+        part = int(seg[-1].split("=", 1)[1])
+        fi = cache.get(info.path) if cache is not None else None
+        if fi is None:
+            md = pq.read_metadata(info.path, filesystem=fs)
+            if md.num_rows == 0:
+                continue
+            col = md.schema.names.index("off")
+            lo, hi = None, None
+            for g in range(md.num_row_groups):
+                st = md.row_group(g).column(col).statistics
+                if st is None or not st.has_min_max:
+                    t = pq.read_table(info.path, columns=["off"], filesystem=fs)["off"]
+                    import pyarrow.compute as pc
+                    mm = pc.min_max(t)
+                    lo, hi = mm["min"].as_py(), mm["max"].as_py()
+                    break
+                lo = st.min if lo is None else min(lo, st.min)
+                hi = st.max if hi is None else max(hi, st.max)
+            fi = FileInfo(info.path, part, md.num_rows, int(lo), int(hi))
+            if cache is not None:
+                cache[info.path] = fi
+        out.setdefault(part, []).append(fi)
+    for files in out.values():
+        files.sort(key=lambda f: (f.lo, f.path))
+    return out
+
+
+def read_cursor_table(folder: str | None) -> dict[int, int]:
+    """``{part: position}`` from a cursor folder (parquet or JSON-lines files with ``part, position``)."""
+    if not folder:
+        return {}
+    import pyarrow.dataset as ds
+    import pyarrow.fs as pafs
+
+    fs, base = _fs(folder)
+    if fs.get_file_info(base).type == pafs.FileType.NotFound:
+        return {}
+    out: dict[int, int] = {}
+    files = [i.path for i in fs.get_file_info(pafs.FileSelector(base, recursive=True))
+             if i.type == pafs.FileType.File and not os.path.basename(i.path).startswith(("_", "."))]
+    for f in files:
+        if f.endswith(".json"):
+            with fs.open_input_stream(f) as h:
+                for line in h.read().decode().splitlines():
+                    if line.strip():
+                        r = json.loads(line)
+                        out[int(r["part"])] = max(out.get(int(r["part"]), -1), int(r["position"]))
+        elif f.endswith(".parquet"):
+            t = ds.dataset(f, filesystem=fs, format="parquet").to_table(columns=["part", "position"])
+            for p, pos in zip(t["part"].to_pylist(), t["position"].to_pylist()):
+                out[int(p)] = max(out.get(int(p), -1), int(pos))
+    return out
+
+
+def write_cursors(folder: str, positions: dict[int, int], subscription: str) -> str:
+    """Write one commit of consumed cursors as a JSON-lines file; returns its path."""
+    fs, base = _fs(folder)
+    fs.create_dir(base, recursive=True)
+    name = f"{base}/commit-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}.json"
+    body = "".join(json.dumps({"subscription": subscription, "part": p, "position": o}) + "\n"
+                   for p, o in sorted(positions.items()))
+    with fs.open_output_stream(name) as h:
+        h.write(body.encode())
+    return name
+
+
+def _read_range(part: RangePartition):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    fs, _ = _fs(part.path)
+    t = pq.read_table(part.path, columns=FILE_COLUMNS, filesystem=fs,
+                      filters=[("off", ">=", part.start), ("off", "<", part.end)])
+    schema = pa.schema([("part", pa.int32()), ("off", pa.int64()), ("publish_time", pa.timestamp("us")),
+                        ("event_time", pa.timestamp("us")), ("data", pa.string()), ("attr", pa.string()),
+                        ("value", pa.float64())])
+    t = t.add_column(0, "part", pa.array([part.part] * t.num_rows, pa.int32()))
+    t = t.select(schema.names).cast(schema)
+    yield from t.to_batches()
+
+
+def _splits(files: dict[int, list[FileInfo]], start: dict[int, int], end: dict[int, int]) -> list[RangePartition]:
+    out = []
+    for p, e in sorted(end.items()):
+        s = start.get(p, 0)
+        if e <= s:
+            continue
+        for f in files.get(p, []):
+            a, b = max(s, f.lo), min(e, f.hi + 1)
+            if a < b:
+                out.append(RangePartition(f.path, p, a, b))
+    return out
+
+
+class PlogDataSource(DataSource):
+    """``spark.read / readStream .format("plog")``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "plog"
+
+    def schema(self) -> str:
+        return LOG_DDL
+
+    def reader(self, schema) -> DataSourceReader:
+        return PlogBatchReader(self.options)
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return PlogStreamReader(self.options)
+
+
+def _require(options, key: str) -> str:
+    v = options.get(key)
+    if not v:
+        raise ValueError(f"plog: option '{key}' is required")
+    return v
+
+
+def _start_of(cursor: int | None, resume: str) -> int:
+    if cursor is None:
+        return 0
+    return cursor if resume == "inclusive" else cursor + 1
+
+
+class PlogBatchReader(DataSourceReader):
+    """Bounded read: from committed cursors (or 0) up to ``endingCursors`` (or the end)."""
+
+    def __init__(self, options):
+        self.path = _require(options, "path")
+        self.subscription = _require(options, "subscription")
+        self.resume = options.get("resume", "inclusive")
+        self.cursors = options.get("cursors")
+        self.ending = options.get("endingCursors")
+
+    def partitions(self):
+        files = list_files(self.path)
+        cur = read_cursor_table(self.cursors)
+        stop = read_cursor_table(self.ending)
+        start = {p: _start_of(cur.get(p), self.resume) for p in files}
+        end = {p: (stop[p] + 1 if p in stop else max(f.hi for f in fs) + 1) for p, fs in files.items()}
+        return _splits(files, start, end) or [RangePartition("", -1, 0, 0)]
+
+    def read(self, partition):
+        if partition.part < 0:
+            return iter(())
+        return _read_range(partition)
+
+
+class PlogStreamReader(DataSourceStreamReader):
+    """Micro-batch reader with per-partition offsets, discovery and cursor commits."""
+
+    def __init__(self, options):
+        self.path = _require(options, "path")
+        self.subscription = _require(options, "subscription")
+        self.resume = options.get("resume", "inclusive")
+        if self.resume not in ("inclusive", "exclusive"):
+            raise ValueError("plog: resume must be 'inclusive' or 'exclusive'")
+        self.cursors = options.get("cursors")
+        cap = options.get("maxMessagesPerTrigger")
+        self.cap = int(cap) if cap else None
+        self._meta: dict = {}
+        self._files: dict[int, list[FileInfo]] = {}
+        self._known: dict[int, int] | None = None       # last offset handed to Spark
+        self._cursors: dict[int, int] | None = None
+
+    # -- offsets
+    def _start_for(self, part: int) -> int:
+        if self._cursors is None:
+            self._cursors = read_cursor_table(self.cursors)
+        return _start_of(self._cursors.get(part), self.resume)
+
+    def _list(self) -> dict[int, list[FileInfo]]:
+        try:
+            self._files = list_files(self.path, self._meta)
+        except Exception:
+            if self._known is None:
+                raise
+            LOG.exception("plog: listing %s failed; keeping the previous offsets", self.path)
+        return self._files
+
+    def initialOffset(self) -> dict:
+        files = self._list()
+        return {"v": STATE_VERSION, "next": {str(p): self._start_for(p) for p in sorted(files)}}
+
+    def latestOffset(self) -> dict:
+        if self._known is None:
+            self._known = {int(k): v for k, v in self.initialOffset()["next"].items()}
+        files = self._list()
+        gone = sorted(set(self._known) - set(files))
+        if gone:
+            raise RuntimeError(f"plog: partitions {gone} disappeared from {self.path}; "
+                               "an unbounded log never finishes a partition")
+        nxt, pending = dict(self._known), {}
+        for p in sorted(files):
+            cur = nxt.get(p, self._start_for(p))
+            nxt[p] = cur
+            pending[p] = [f for f in files[p] if f.hi >= cur]
+        if self.cap is None:
+            for p, fl in pending.items():
+                if fl:
+                    nxt[p] = max(nxt[p], fl[-1].hi + 1)
+        else:
+            # admit whole files round-robin over partitions until the message budget is spent
+            budget, idx, progressed = self.cap, {p: 0 for p in pending}, True
+            while budget > 0 and progressed:
+                progressed = False
+                for p in sorted(pending):
+                    if budget <= 0:
+                        break
+                    if idx[p] < len(pending[p]):
+                        f = pending[p][idx[p]]
+                        idx[p] += 1
+                        nxt[p] = max(nxt[p], f.hi + 1)
+                        budget -= f.rows
+                        progressed = True
+        self._known = nxt
+        return {"v": STATE_VERSION, "next": {str(p): o for p, o in sorted(nxt.items())}}
+
+    def partitions(self, start: dict, end: dict):
+        s = {int(k): v for k, v in start.get("next", {}).items()}
+        e = {int(k): v for k, v in end.get("next", {}).items()}
+        if self._known is None:                          # restarted: resume from the committed end
+            self._known = dict(e)
+        for p in e:
+            if p not in s:
+                s[p] = self._start_for(p)
+        files = self._files or self._list()
+        return _splits(files, s, e)
+
+    def read(self, partition):
+        return _read_range(partition)
+
+    def commit(self, end: dict) -> None:
+        if not self.cursors:
+            return
+        positions = {int(k): v - 1 for k, v in end.get("next", {}).items() if v > 0}
+        try:
+            write_cursors(self.cursors, positions, self.subscription)
+        except Exception:
+            LOG.exception("plog: committing cursors to %s failed; continuing", self.cursors)
+
+
+def register(spark) -> None:
+    spark.dataSource.register(PlogDataSource)
