@@ -58,6 +58,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tidelog`` importable in Python workers (needed by the ``plog`` data source and any
+    Python UDF built from this package): zip the package once into the shared checkpoint folder
+    and add it with ``addPyFile``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = scratch_dir(spark, "pyfiles")
+    os.makedirs(target, exist_ok=True)
+    zpath = os.path.join(target, "tidelog.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)

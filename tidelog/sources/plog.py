@@ -316,4 +316,8 @@ class PlogStreamReader(DataSourceStreamReader):
 
 
 def register(spark) -> None:
+    """Register ``format("plog")`` and ship this package to the Python workers."""
+    from tidelog.session import ship_package
+
+    ship_package(spark)
     spark.dataSource.register(PlogDataSource)
