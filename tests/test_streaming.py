@@ -75,3 +75,31 @@ def test_restart_picks_up_new_data_and_partitions(spark):
     assert final == {0: 127, 1: 128, 2: 126}
     values = sorted(int(r["value"]) for r in spark.read.parquet(data).collect())
     assert values == list(range(29))
+
+
+def test_options_drive_sink_and_source(spark):
+    from tidelog.options import LogSinkOptions, LogSourceOptions
+    from tidelog.functions import timestamps as tsf
+
+    path = scratch_dir(spark, "opt-log")
+    sink = LogSinkOptions("topics/t", num_partitions=3, max_outstanding_bytes=2)
+    recs = spark.range(30).select(F.col("id").cast("string").alias("value"), F.col("id").alias("k"))
+    acct = snk.publish_to_log(snk.encode_for(recs, sink, key=F.col("k"), now_ms=1000), sink, path,
+                              ["data"], publish_ms=5000)
+    assert sum(r["n"] for r in acct.collect()) == 30
+    assert all(r["accounted"] <= 2 * r["n"] for r in acct.collect())
+    # a second publish continues the offsets of every partition
+    snk.publish_to_log(snk.encode_for(recs.where("k < 3"), sink, key=F.col("k"), now_ms=1000), sink, path,
+                       ["data"], publish_ms=6000)
+    cursors = spark.createDataFrame([(0, 9)], "part INT, position BIGINT")
+    for resume, want in (("inclusive", [9, 10]), ("exclusive", [10])):
+        src = LogSourceOptions("subscriptions/s", FlowControl(10_000, 10), timestamp=tsf.publish_time(),
+                               resume=resume)
+        s = st.open_log_stream(spark, path, src, cursors=cursors, part_bound=3)
+        out, ck = scratch_dir(spark, "opt-out"), scratch_dir(spark, "opt-ck")
+        st.run_to_files(s, out, ck)
+        back = spark.read.parquet(out)
+        # partition 0 holds 10 keys at offsets 0..9 and key 0 again at 10
+        assert sorted(r["off"] for r in back.where("part = 0").collect()) == want
+        assert back.where("part = 1").count() == 11 and back.where("part = 2").count() == 11
+        assert {r["ts"].second for r in back.collect()} == {5, 6}

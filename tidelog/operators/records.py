@@ -45,3 +45,12 @@ def flatten_batches(batches: DataFrame) -> DataFrame:
     return (batches.select("part", F.explode("records").alias("r"))
             .select("part", F.col("r.off").alias("off"), F.col("r.value").alias("value"),
                     F.col("r.ts").alias("ts")))
+
+
+def records_for(log: DataFrame, options) -> DataFrame:
+    """Records of a log as ``options`` (:class:`tidelog.options.LogSourceOptions`) describe them:
+    its decoder (default: the raw payload as text), timestamp extractor and error policy."""
+    from tidelog.functions.decode import data_only, utf8_text
+
+    decoder = options.decoder or data_only(utf8_text())
+    return to_records(log, decoder, options.timestamp, on_error=options.on_error)

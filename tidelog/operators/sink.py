@@ -99,3 +99,39 @@ def publish(env: DataFrame, order_cols: Sequence[str], publish_ms: int,
 def round_robin_rank(records: DataFrame, order_cols: Sequence[str], out: str = "_rank") -> DataFrame:
     """Arrival rank of every record (global, range-partitioned)."""
     return index_within(records, [], list(order_cols), out=out, group_bound=0)
+
+
+def encode_for(records: DataFrame, options, ts_ms: Column | None = None, watermark_ms: Column | None = None,
+               now_ms: int | Column | None = None, key: Column | None = None, key_kind: str = "int",
+               rank: Column | None = None) -> DataFrame:
+    """Envelope under ``options`` (:class:`tidelog.options.LogSinkOptions`): its encoder (default:
+    the ``value`` column as text) and partition count; ``now_ms`` defaults to the current time."""
+    import time
+
+    enc = options.encoder or data_only(lambda df: df["value"].cast("string"))
+    now = now_ms if now_ms is not None else int(time.time() * 1000)
+    return envelope(records, enc, ts_ms, watermark_ms, now, options.num_partitions, key=key,
+                    key_kind=key_kind, rank=rank)
+
+
+def publish_to_log(env: DataFrame, options, path: str, order_cols: Sequence[str], publish_ms: int,
+                   append: bool = True) -> DataFrame:
+    """Publish an envelope to the log folder ``path`` (offsets continue after what is there) and
+    return the per-partition byte accounting of what was written."""
+    from tidelog.sources.logs import read_log, write_log
+
+    from pyspark.errors import AnalysisException
+
+    spark = env.sparkSession
+    numbered = publish(env, order_cols, publish_ms, num_partitions=options.num_partitions)
+    try:
+        heads = read_log(spark, path).groupBy("part").agg((F.max("off") + 1).alias("_head"))
+        heads.schema  # resolves the path
+    except AnalysisException:  # nothing written there yet
+        heads = None
+    if heads is not None:
+        numbered = (numbered.join(F.broadcast(heads), "part", "left")   # one row per partition
+                    .withColumn("off", F.col("off") + F.coalesce("_head", F.lit(0)))
+                    .drop("_head"))
+    write_log(numbered, path, mode="append" if append else "error")
+    return accounted_bytes(numbered, options.max_outstanding_bytes)

@@ -90,3 +90,19 @@ def _raise(q: StreamingQuery) -> None:
     e = q.exception()
     if e is not None:
         raise RuntimeError(f"streaming query failed: {e}")
+
+
+def open_log_stream(spark: SparkSession, path: str, options, cursors: DataFrame | None = None,
+                    part_bound: int | None = None) -> DataFrame:
+    """Records stream of the log folder ``path`` under ``options`` (:class:`LogSourceOptions`):
+    flow control per trigger, decoder, timestamp, error policy; with ``cursors`` (``part, position``)
+    every partition resumes from its committed cursor (``options.resume``), else from offset 0."""
+    from tidelog.operators.broadcast import broadcast_bounded
+    from tidelog.operators.records import records_for
+
+    log = log_stream(spark, path, options.flow_control)
+    if cursors is not None:
+        starts = broadcast_bounded(cursors.select("part", F.col("position").alias("_start")), part_bound)
+        after = (F.col("off") >= F.col("_start")) if options.resume == "inclusive" else (F.col("off") > F.col("_start"))
+        log = log.join(starts, "part", "left").where(F.col("_start").isNull() | after).drop("_start")
+    return records_for(log, options)
