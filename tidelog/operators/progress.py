@@ -48,7 +48,8 @@ def progress_summary(records: DataFrame) -> DataFrame:
 
 def _chunk_of(col: str, dtype: T.DataType, width: int) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.expr(f"unix_micros(cast(`{col}` as timestamp)) div 3600000000")
+        from tidelog.functions.timestamps import epoch_micros
+        return F.floor(epoch_micros(F.col(col)) / F.lit(3_600_000_000)).cast("bigint")
     return F.expr(f"cast(`{col}` as bigint) div {int(width)}")
 
 

@@ -58,7 +58,7 @@ def sink_envelope_custom(spark: SparkSession, sf_dir: str) -> DataFrame:
     def encoder(df: DataFrame):
         return {"data": F.concat_ws("|", df["o_orderstatus"], df["o_orderpriority"]),
                 "attr": df["o_orderstatus"],
-                "event_time": F.date_trunc("day", df["o_orderdate"])}
+                "event_time": F.to_date(df["o_orderdate"]).cast("timestamp_ntz")}
     return snk.envelope(o, encoder, None, None, NOW_MS, PARTS, key=F.col("o_custkey"))
 
 

@@ -1,7 +1,8 @@
 """Spark session helpers.
 
-Everything in this package assumes ``spark.sql.session.timeZone=UTC``: the log's timestamps are
-wall-clock ``TIMESTAMP_NTZ`` values and epoch milliseconds are taken as UTC.
+The log's timestamps are wall-clock ``TIMESTAMP_NTZ`` values read as UTC; the conversions in
+``tidelog.functions.timestamps`` use wall-clock fields only, so results do not depend on the session
+time zone.  The session helper still pins UTC for anything a user adds.
 """
 
 from __future__ import annotations
