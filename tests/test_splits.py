@@ -34,3 +34,16 @@ def test_duplicate_add_counts_once_but_new_offset_is_new_split(spark):
     out = dedup_splits(df)
     assert rows(out, "part", "start_off") == [(0, 5), (0, 6), (1, 3)]
     assert out.where(F.col("split_id") == f"0-5-{PATH}").count() == 1
+
+
+def test_enumerator_state_roundtrip_keeps_missing_task(spark):
+    from tidelog.functions.splits import enumerator_from_state, enumerator_to_state
+    from tidelog.sources import scan
+
+    a = spark.createDataFrame([(PATH, 0, 5, 1), (PATH, 1, 0, None)], "subscription STRING, part INT, start_off BIGINT, task INT")
+    back = enumerator_from_state(enumerator_to_state(a, PATH, "topics/t"))
+    assert rows(back) == [(PATH, "topics/t", 0, 5, 1), (PATH, "topics/t", 1, 0, None)]
+    # the restored topic is checked against the live one
+    assert rows(scan.restore_violations(back, PATH, topic="topics/other")) == [
+        ("topic_mismatch", 0), ("topic_mismatch", 1)]
+    assert scan.restore_violations(back, PATH, topic="topics/t").count() == 0

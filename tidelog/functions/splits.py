@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidelog.schema import SPLIT_ID_FORMAT, STATE_VERSION
 
 SPLIT_STATE_DDL = "v INT, subscription STRING, part INT, start_off BIGINT"
-ASSIGNMENT_STATE_DDL = ("v INT, subscription STRING, topic STRING, "
-                        "assignments ARRAY<STRUCT<task INT, split STRUCT<subscription: STRING, part: INT, start_off: BIGINT>>>")
+ENUMERATOR_STATE_DDL = ("v INT, discovery STRUCT<subscription: STRING, topic: STRING>, "
+                        "task INT, split STRUCT<subscription: STRING, part: INT, start_off: BIGINT>")
 
 
 def split_id(part: Column | str = "part", start_off: Column | str = "start_off",
@@ -42,3 +42,25 @@ def dedup_splits(splits: DataFrame) -> DataFrame:
     two ids, so both stay; resolve those with :func:`tidelog.operators.assign.upsert_splits`."""
     return (splits.withColumn("split_id", split_id())
             .dropDuplicates(["split_id"]))
+
+
+def enumerator_to_state(assignments: DataFrame, subscription: str, topic: str, out: str = "state") -> DataFrame:
+    """Enumerator checkpoint as rows: one versioned JSON document per split with the discovery
+    header (subscription, topic) and the split's task, absent when unassigned.  Row-wise, so the
+    state of a large topic never has to fit in one record."""
+    doc = F.struct(F.lit(STATE_VERSION).alias("v"),
+                   F.struct(F.lit(subscription).alias("subscription"), F.lit(topic).alias("topic")).alias("discovery"),
+                   F.col("task").cast("int").alias("task"),
+                   F.struct("subscription", "part", "start_off").alias("split"))
+    return assignments.select(F.to_json(doc).alias(out))
+
+
+def enumerator_from_state(df: DataFrame, state: str = "state") -> DataFrame:
+    """``subscription, topic, part, start_off, task`` from :func:`enumerator_to_state` rows."""
+    s = df.select(F.from_json(F.col(state), ENUMERATOR_STATE_DDL).alias("_s"), F.col(state))
+    checked = F.when(F.col("_s.v") == STATE_VERSION, F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("unknown enumerator state version: "), F.col(state))))
+    return (s.where(checked)
+            .select(F.col("_s.split.subscription").alias("subscription"), F.col("_s.discovery.topic").alias("topic"),
+                    F.col("_s.split.part").alias("part"), F.col("_s.split.start_off").alias("start_off"),
+                    F.col("_s.task").alias("task")))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import decode as dec
 from tidelog.functions import timestamps as tsf
-from tidelog.functions.splits import dedup_splits, split_from_state, split_id, split_to_state
+from tidelog.functions.splits import (dedup_splits, enumerator_from_state, enumerator_to_state, split_from_state,
+                                     split_id, split_to_state)
 from tidelog.operators import progress as pg
 from tidelog.operators.ordered import prev_offset
 from tidelog.operators.records import emitted, fetch_batches, flatten_batches, to_records
@@ -217,6 +218,20 @@ def split_state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_from_state(split_to_state(s).select("state"))
 
 
+TOPIC = "topics/events"
+
+
+@register("enumerator_state_roundtrip", f"""{W}, {STARTS_SQL}
+SELECT '{SUBSCRIPTION}' AS subscription, '{TOPIC}' AS topic, part, start_off,
+       CASE WHEN part = 7 THEN NULL ELSE CAST(part % 3 AS INTEGER) END AS task FROM starts""")
+def enumerator_state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments (one split unassigned) to versioned enumerator state rows and back."""
+    s = (_starts(events_log(spark, sf_dir))
+         .select(F.lit(SUBSCRIPTION).alias("subscription"), "part", "start_off",
+                 F.when(F.col("part") != 7, (F.col("part") % 3).cast("int")).alias("task")))
+    return enumerator_from_state(enumerator_to_state(s, SUBSCRIPTION, TOPIC))
+
+
 @register("split_dedup", f"""{W}, {STARTS_SQL},
 added AS (SELECT part, start_off FROM starts
           UNION ALL SELECT part, start_off FROM starts WHERE part % 2 = 1

@@ -112,14 +112,19 @@ def scan_between(log: DataFrame, starts: DataFrame, stops: DataFrame,
             .drop("_start", "_stop"))
 
 
-def restore_violations(splits: DataFrame, subscription: str) -> DataFrame:
+def restore_violations(splits: DataFrame, subscription: str, topic: str | None = None) -> DataFrame:
     """Why a set of restored splits cannot be resumed: ``kind, part``.
 
     ``foreign_subscription``: the split belongs to another subscription.  ``missing_partition``:
     partitions must be ``0 .. n-1`` with ``n`` the number of distinct partitions restored.
+    ``topic_mismatch`` (when ``topic`` is given and the splits carry a ``topic`` column): the
+    checkpoint was taken on another topic than the live one.
     """
     foreign = (splits.where(F.col("subscription") != F.lit(subscription))
                .select(F.lit("foreign_subscription").alias("kind"), "part"))
+    if topic is not None and "topic" in splits.columns:
+        foreign = foreign.unionByName(splits.where(F.col("topic") != F.lit(topic))
+                                      .select(F.lit("topic_mismatch").alias("kind"), "part"))
     present = splits.select("part").distinct()
     expected = (present.agg(F.count(F.lit(1)).cast("int").alias("n"))
                 .where(F.col("n") > 0)
@@ -129,8 +134,8 @@ def restore_violations(splits: DataFrame, subscription: str) -> DataFrame:
     return foreign.unionByName(missing)
 
 
-def check_restore(splits: DataFrame, subscription: str) -> None:
+def check_restore(splits: DataFrame, subscription: str, topic: str | None = None) -> None:
     """Strict form: raise on the first violation."""
-    bad = restore_violations(splits, subscription).limit(1).collect()
+    bad = restore_violations(splits, subscription, topic).limit(1).collect()
     if bad:
         raise ValueError(f"cannot restore splits: {bad[0]['kind']} at partition {bad[0]['part']}")
