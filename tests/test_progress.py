@@ -140,3 +140,20 @@ def test_index_within_global_rank(spark):
     df = spark.range(1000).selectExpr("id * 7 % 1000 AS k")
     out = index_within(df, [], ["k"], out="r", num_ranges=7)
     assert out.where("r <> k").count() == 0
+
+
+def test_dedup_by_position_equals_distinct(spark):
+    rnd = random.Random(7)
+    first, second = [], []
+    for p in range(4):
+        offs = sorted(rnd.sample(range(200), 60))
+        stop = rnd.randint(10, 50)
+        first += [(p, o) for o in offs[:stop]]
+        cursor = offs[rnd.randint(0, stop - 1)]
+        second += [(p, o) for o in offs if o >= cursor]
+    second += [(9, 1), (9, 2)]                     # a partition the first run never read
+    a = spark.createDataFrame(first, "part INT, off BIGINT")
+    b = spark.createDataFrame(second, "part INT, off BIGINT")
+    got = pg.dedup_by_position(a, b, part_bound=16)
+    assert got.count() == len(set(first) | set(second))
+    assert rows(got) == rows(pg.dedup_redelivered(a, b))

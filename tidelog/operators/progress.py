@@ -109,27 +109,42 @@ def committed_cursors(snapshots: DataFrame, commits: DataFrame) -> DataFrame:
         F.max_by("position", F.struct("notified_at", "ck")).alias("position"))
 
 
-def redelivered(consumed: DataFrame, committed: DataFrame, inclusive: bool = True) -> DataFrame:
+def redelivered(consumed: DataFrame, committed: DataFrame, inclusive: bool = True,
+                part_bound: int | None = None) -> DataFrame:
     """Rows consumed before a restart that a restart from ``committed`` (``part, position``)
     reads again.  ``inclusive=True`` re-reads the committed offset itself, as the connector's
     seek does; a partition without a commit is re-read from its start."""
-    c = committed.select("part", F.col("position").alias("_c"))
+    c = broadcast_bounded(committed.select("part", F.col("position").alias("_c")), part_bound)
     j = consumed.join(c, "part", "left")
     cond = F.col("_c").isNull() | ((F.col("off") >= F.col("_c")) if inclusive else (F.col("off") > F.col("_c")))
     return j.where(cond).drop("_c")
 
 
-def resume_scan(log: DataFrame, committed: DataFrame, inclusive: bool = True) -> DataFrame:
+def resume_scan(log: DataFrame, committed: DataFrame, inclusive: bool = True,
+                part_bound: int | None = None) -> DataFrame:
     """What a restart from ``committed`` reads: every row at/after the cursor, all rows of
     partitions without a commit."""
-    c = committed.select("part", F.col("position").alias("_c"))
+    c = broadcast_bounded(committed.select("part", F.col("position").alias("_c")), part_bound)
     j = log.join(c, "part", "left")
     cond = F.col("_c").isNull() | ((F.col("off") >= F.col("_c")) if inclusive else (F.col("off") > F.col("_c")))
     return j.where(cond).drop("_c")
 
 
+def dedup_by_position(first: DataFrame, second: DataFrame, part_bound: int | None = None) -> DataFrame:
+    """Two runs of an in-order reader, the second resumed from a cursor at or before where the
+    first stopped: the second run's rows at or below the first run's position (max offset per
+    partition) are exactly the redelivered ones.  Drops them with a filter against that small
+    table - no shuffle of the rows themselves."""
+    pos = first.groupBy("part").agg(F.max("off").alias("_p"))
+    fresh = (second.join(broadcast_bounded(pos, part_bound), "part", "left")
+             .where(F.col("_p").isNull() | (F.col("off") > F.col("_p"))).drop("_p"))
+    return first.unionByName(fresh)
+
+
 def dedup_redelivered(*runs: DataFrame) -> DataFrame:
-    """At-least-once runs unioned, each message kept once (by ``part, off``)."""
+    """At-least-once runs unioned, each message kept once (by ``part, off``).  General form for
+    runs in any order (hash shuffle on ``part, off`` with map-side dedup); for an in-order reader
+    resumed from a cursor prefer :func:`dedup_by_position`."""
     out = runs[0]
     for r in runs[1:]:
         out = out.unionByName(r)

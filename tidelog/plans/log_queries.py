@@ -332,7 +332,7 @@ SELECT c.part, c.off FROM consumed c LEFT JOIN committed k USING (part) WHERE k.
 def redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages delivered twice after a crash on day 20 and a restart from committed cursors."""
     _, consumed, committed = _crash(spark, sf_dir)
-    return pg.redelivered(consumed, committed, inclusive=True).select("part", "off")
+    return pg.redelivered(consumed, committed, inclusive=True, part_bound=P).select("part", "off")
 
 
 @register("dedup_redelivered", f"""{_CRASH_SQL}
@@ -343,8 +343,21 @@ SELECT DISTINCT part, off FROM (
 def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both runs (before and after the restart) unioned, each message kept once."""
     log, consumed, committed = _crash(spark, sf_dir)
+    return pg.dedup_by_position(consumed.select("part", "off"),
+                                pg.resume_scan(log, committed, inclusive=True, part_bound=P).select("part", "off"),
+                                part_bound=P)
+
+
+@register("dedup_redelivered_any_order", f"""{_CRASH_SQL}
+SELECT DISTINCT part, off FROM (
+  SELECT part, off FROM consumed
+  UNION ALL
+  SELECT l.part, l.off FROM log l LEFT JOIN committed k USING (part) WHERE k.position IS NULL OR l.off >= k.position)""")
+def dedup_redelivered_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two runs deduplicated without assuming read order (hash on part, off)."""
+    log, consumed, committed = _crash(spark, sf_dir)
     return pg.dedup_redelivered(consumed.select("part", "off"),
-                                pg.resume_scan(log, committed, inclusive=True).select("part", "off"))
+                                pg.resume_scan(log, committed, inclusive=True, part_bound=P).select("part", "off"))
 
 
 # ---------------------------------------------------------------- the larger lineitem log
