@@ -103,3 +103,39 @@ def test_options_drive_sink_and_source(spark):
         assert sorted(r["off"] for r in back.where("part = 0").collect()) == want
         assert back.where("part = 1").count() == 11 and back.where("part = 2").count() == 11
         assert {r["ts"].second for r in back.collect()} == {5, 6}
+
+
+def test_log_sink_continues_offsets_and_replays_exactly_once(spark):
+    from tidelog.options import LogSinkOptions
+    from tidelog.sources.logs import read_log
+    from tidelog.streaming.sink import log_sink_writer
+
+    inbox = scratch_dir(spark, "sink-inbox")
+    for i, (lo, hi) in enumerate(((0, 40), (40, 70), (70, 100))):
+        spark.range(lo, hi).select(F.col("id").alias("n")).coalesce(1).write.parquet(f"{inbox}/f{i}")
+    opts = LogSinkOptions("topics/t", 3, encoder=snk.data_only(lambda d: d["n"].cast("string")))
+    path, ck = scratch_dir(spark, "sink-log"), scratch_dir(spark, "sink-ck")
+    writer = log_sink_writer(path, opts, [F.col("data").cast("bigint")], key=F.col("n"), publish_ms=0)
+    state = {"failed": False}
+
+    def flaky(batch, batch_id):
+        writer(batch, batch_id)
+        if batch_id == 1 and not state["failed"]:
+            state["failed"] = True
+            raise RuntimeError("injected failure after the batch was written")
+
+    def run(fn):
+        s = spark.readStream.schema("n BIGINT").option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
+        q = s.writeStream.foreachBatch(fn).option("checkpointLocation", ck).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    with pytest.raises(Exception):
+        run(flaky)
+    run(writer)
+    log = read_log(spark, path)
+    got = [(r["part"], r["off"], int(r["data"])) for r in log.collect()]
+    assert sorted(v for _, _, v in got) == list(range(100))          # each record once
+    for p in range(3):                                                # offsets 0..n-1, in arrival order
+        vals = sorted((o, v) for q, o, v in got if q == p)
+        assert [o for o, _ in vals] == list(range(len(vals)))
+        assert [v for _, v in vals] == sorted(v for _, v in vals)

@@ -84,7 +84,7 @@ def routing_counts(env: DataFrame) -> DataFrame:
     return env.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-def publish(env: DataFrame, order_cols: Sequence[str], publish_ms: int,
+def publish(env: DataFrame, order_cols: Sequence[str | Column], publish_ms: int,
             num_ranges: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Give each message its partition offset, in ``order_cols`` order, and a publish time: the
     log rows a broker would store.  Offsets continue from 0 in every partition."""

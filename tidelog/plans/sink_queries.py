@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidelog.functions import decode as dec
 from tidelog.functions.timestamps import epoch_ms, sink_event_ms
 from tidelog.operators import sink as snk
-from tidelog.plans.registry import register
+from tidelog.plans.registry import REGISTRY, register
 from tidelog.session import scratch_dir
 from tidelog.sources.logs import read_log, table, write_log
 
@@ -125,3 +125,21 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_log(log, path)
     back = read_log(spark, path)
     return back.select("part", "off", dec.json_field("o_orderkey")(F.col("data")).alias("o_orderkey"), "event_time")
+
+
+@register("stream_sink_roundtrip", REGISTRY["sink_roundtrip"][1])
+def stream_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders streamed into a log folder by the streaming log sink (offsets per partition,
+    exactly once per batch), read back and decoded."""
+    from tidelog.options import LogSinkOptions
+    from tidelog.streaming.sink import start_log_sink
+    from tidelog.streaming.stream import table_stream
+
+    opts = LogSinkOptions("topics/orders", PARTS, encoder=snk.data_only(snk.json_value(VALUE_COLS)))
+    path = scratch_dir(spark, "stream-sink-log")
+    q = start_log_sink(table_stream(spark, sf_dir, "orders"), path, opts, scratch_dir(spark, "stream-sink-ck"),
+                       [dec.json_field("o_orderkey")(F.col("data"))], key=F.col("o_custkey"),
+                       ts_ms=epoch_ms(F.col("o_orderdate")), publish_ms=NOW_MS)
+    q.awaitTermination()
+    back = read_log(spark, path)
+    return back.select("part", "off", dec.json_field("o_orderkey")(F.col("data")).alias("o_orderkey"), "event_time")
