@@ -11,9 +11,10 @@ is a closed form that runs as joins:
   are ``A_j = {t : c_t <= L_j}``; that segment holds ``(L_{j+1} - L_j) * |A_j|`` slots and starts
   at slot ``cum_j`` (the last segment is unbounded).  Then ``task(r) = A_j[(r - cum_j) mod |A_j|]``.
 
-The segment table has at most ``num_tasks`` rows and the member table at most ``num_tasks**2``:
-both are broadcast behind that bound.  Key ranks come from :func:`index_within` (range
-partitioned, no single-task window).
+The segment table has at most ``num_tasks`` rows and the member table at most ``num_tasks**2``
+(built by ``explode``, no join); both are broadcast behind that bound.  Key ranks come from
+:func:`index_within` (range partitioned, no single-task window); a rank finds its segment by a
+range lookup against the broadcast segment table (``O(num_tasks)`` per key, no shuffle of keys).
 """
 
 from __future__ import annotations
@@ -63,10 +64,13 @@ def slot_segments(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
            .withColumn("cum", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
            .withColumn("next_cum", F.when(F.col("_len").isNotNull(), F.col("cum") + F.col("_len")))
            .select("seg", F.col("c").alias("level"), "cum", "next_cum", "active"))
-    members = (counts.join(seg.select("seg", "level"), F.col("c") <= F.col("level"))
+    # task t is active from the segment of its own level (dense rank of c_t) to the last one
+    first = (counts.withColumn("_first", F.dense_rank().over(w))
+             .withColumn("_last", F.max("_first").over(Window.partitionBy())))
+    members = (first.select("task", F.explode(F.sequence("_first", "_last")).alias("seg"))
                .withColumn("q", F.row_number().over(Window.partitionBy("seg").orderBy("task")) - 1)
-               .select("seg", F.col("q").cast("bigint").alias("q"), "task"))
-    return seg, members
+               .select(F.col("seg").cast("int").alias("seg"), F.col("q").cast("bigint").alias("q"), "task"))
+    return seg.withColumn("seg", F.col("seg").cast("int")), members
 
 
 def assign_least_loaded(keys: DataFrame, order_cols: Sequence[str], num_tasks: int,
