@@ -65,17 +65,24 @@ def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], va
 
     ``inclusive=False`` gives the max over strictly earlier rows (null for the first row).
     """
-    end = 0 if inclusive else -1
-    w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
-            .rowsBetween(Window.unboundedPreceding, end))
-    local = df.withColumn("_chunk", chunk).withColumn("_local", F.max(value).over(w_in))
+    w_in = Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
+    local = (df.withColumn("_chunk", chunk)
+             .withColumn("_incl", F.max(value).over(w_in.rowsBetween(Window.unboundedPreceding, 0))))
+    if not inclusive:
+        local = local.withColumn("_local", F.max(value).over(w_in.rowsBetween(Window.unboundedPreceding, -1)))
+    else:
+        local = local.withColumn("_local", F.col("_incl"))
+    # The carry table is built from the windowed rows: it reuses their (keys, chunk) exchange, so
+    # the input is read once and the per-chunk aggregate needs no shuffle of its own.
     w_c = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (df.withColumn("_chunk", chunk).groupBy(*keys, "_chunk")
-             .agg(F.max(value).alias("_cmax"))
+    carry = (local.groupBy(*keys, "_chunk").agg(F.max("_incl").alias("_cmax"))
              .withColumn("_carry", F.max("_cmax").over(w_c))
-             .drop("_cmax"))
-    res = local.join(carry, [*keys, "_chunk"], "left")
-    return res.withColumn(out, F.greatest("_local", "_carry")).drop("_chunk", "_local", "_carry")
+             .select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_chunk").alias("_c_chunk"), "_carry"))
+    # null-safe keys: no not-null filter is inferred on the carry side, so both sides keep the
+    # same exchange below them and it is shuffled once
+    cond = [local[k].eqNullSafe(carry[f"_c_{k}"]) for k in keys] + [local["_chunk"].eqNullSafe(carry["_c_chunk"])]
+    res = local.join(carry, cond, "left").drop(*[f"_c_{k}" for k in keys], "_c_chunk")
+    return res.withColumn(out, F.greatest("_local", "_carry")).drop("_chunk", "_local", "_carry", "_incl")
 
 
 def prev_offset(log: DataFrame, out: str = "prev_off", width: int = DEFAULT_CHUNK_WIDTH,

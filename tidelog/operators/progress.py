@@ -53,6 +53,19 @@ def _chunk_of(col: str, dtype: T.DataType, width: int) -> Column:
     return F.expr(f"cast(`{col}` as bigint) div {int(width)}")
 
 
+def _bounds(log: DataFrame, ck_of_row: Column) -> DataFrame:
+    return (log.select("part", ck_of_row.cast("bigint").alias("ck"))
+            .agg((F.max("part") + 1).cast("int").alias("n"), F.min("ck").alias("lo"), F.max("ck").alias("hi")))
+
+
+def checkpoint_barriers(log: DataFrame, ck_of_row: Column, readers: int) -> DataFrame:
+    """``reader, ck``: every barrier of every reader, from one aggregate row of the log."""
+    b = _bounds(log, ck_of_row).where(F.col("n") > 0)
+    return (b.select(F.explode(F.sequence(F.lit(0), F.least(F.col("n"), F.lit(readers)) - 1)).alias("reader"),
+                     "lo", "hi")
+            .select(F.col("reader").cast("int").alias("reader"), F.explode(F.sequence("lo", "hi")).alias("ck")))
+
+
 def checkpoint_snapshots(log: DataFrame, ck_of_row: Column, readers: int,
                          starts: DataFrame | None = None, chunk_width: int = DEFAULT_CK_CHUNK) -> DataFrame:
     """``reader, ck, part, position`` at every checkpoint barrier.

@@ -281,10 +281,10 @@ def _snapshots(log: DataFrame) -> DataFrame:
     return pg.checkpoint_snapshots(log, _day(), READERS)
 
 
-def _trace(snaps: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _trace(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Checkpoints (each added once, at its barrier) and completions (every ck with ck % 3 <> 0,
     notified (ck * 7) % 5 barriers later)."""
-    cks = (snaps.select("reader", "ck").distinct()
+    cks = (pg.checkpoint_barriers(log, _day(), READERS)
            .select("reader", "ck", F.col("ck").alias("added_at"), F.col("ck").alias("seq")))
     notes = (cks.where(F.col("ck") % 3 != 0)
              .select("reader", "ck", (F.col("ck") + (F.col("ck") * 7) % 5).alias("notified_at")))
@@ -300,7 +300,7 @@ def checkpoint_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("effective_commits", f"{W}, {SNAP_SQL}, {NOTE_SQL} SELECT reader, ck, notified_at, effective FROM commits")
 def effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which completion notifications commit cursors (out-of-order completions prune)."""
-    cks, notes = _trace(_snapshots(events_log(spark, sf_dir)))
+    cks, notes = _trace(events_log(spark, sf_dir))
     return pg.effective_commits(cks, notes)
 
 
@@ -308,15 +308,15 @@ def effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT part, position FROM committed""")
 def committed_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cursor of every partition after all effective commits."""
-    snaps = _snapshots(events_log(spark, sf_dir))
-    cks, notes = _trace(snaps)
-    return pg.committed_cursors(snaps, pg.effective_commits(cks, notes))
+    log = events_log(spark, sf_dir)
+    cks, notes = _trace(log)
+    return pg.committed_cursors(_snapshots(log), pg.effective_commits(cks, notes))
 
 
 def _crash(spark: SparkSession, sf_dir: str):
     log = events_log(spark, sf_dir)
     snaps = _snapshots(log)
-    cks, notes = _trace(snaps)
+    cks, notes = _trace(log)
     commits = pg.effective_commits(cks, notes).where(F.col("notified_at") <= CRASH_DAY)
     committed = pg.committed_cursors(snaps, commits)
     consumed = log.where(_day() <= CRASH_DAY)
