@@ -13,9 +13,11 @@ def spark():
 
     from tidelog.session import get_spark
 
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false"))
     b.getOrCreate()
     s = get_spark(shuffle_partitions=8)
+    assert s.sparkContext.uiWebUrl is None, "the Spark UI must stay off"
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidelog-test-"))
     yield s
