@@ -157,3 +157,28 @@ def test_dedup_by_position_equals_distinct(spark):
     got = pg.dedup_by_position(a, b, part_bound=16)
     assert got.count() == len(set(first) | set(second))
     assert rows(got) == rows(pg.dedup_redelivered(a, b))
+
+
+def test_incremental_tracker_equals_fold(spark):
+    from tidelog.session import scratch_dir
+    from tidelog.streaming.commits import commit_tracker
+
+    rnd = random.Random(11)
+    for trial in range(3):
+        n = rnd.randint(3, 12)
+        times = sorted(rnd.randint(0, 20) for _ in range(n))
+        adds = list(zip(rnd.sample(range(100), n), times))
+        notes = sorted({ck: (ck, rnd.randint(0, 25)) for ck, _ in adds if rnd.random() < 0.8}.values(),
+                       key=lambda x: (x[1], x[0]))
+        cks, _ = _trace(spark, adds, [])
+        ck_path, out, state = (scratch_dir(spark, "t-cks"), scratch_dir(spark, "t-out"), scratch_dir(spark, "t-state"))
+        cks.write.parquet(ck_path)
+        write = commit_tracker(ck_path, out, state)
+        cut1, cut2 = sorted(rnd.sample(range(len(notes) + 1), 2))
+        for b, chunk in enumerate((notes[:cut1], notes[cut1:cut2], notes[cut2:])):
+            df = spark.createDataFrame([(0, ck, t) for ck, t in chunk], "reader INT, ck BIGINT, notified_at BIGINT")
+            write(df, b)
+            if b == 1:
+                write(df, b)                        # a replayed batch changes nothing
+        got = {(r["ck"], r["notified_at"]): r["effective"] for r in spark.read.parquet(out).collect()}
+        assert got == _fold(adds, notes), trial

@@ -96,12 +96,13 @@ def checkpoint_snapshots(log: DataFrame, ck_of_row: Column, readers: int,
 
 
 def effective_commits(checkpoints: DataFrame, notifications: DataFrame,
-                      chunk_width: int = DEFAULT_CK_CHUNK) -> DataFrame:
+                      chunk_width: int = DEFAULT_CK_CHUNK, prior: DataFrame | None = None) -> DataFrame:
     """``reader, ck, notified_at, effective`` for every completion notification.
 
     ``checkpoints``: ``reader, ck, added_at, seq`` (each checkpoint added once per reader).
     ``notifications``: ``reader, ck, notified_at``; at equal ``notified_at`` ties go by ``ck``,
-    and an add at the same instant counts as before the notification.
+    and an add at the same instant counts as before the notification.  ``prior``: ``reader,
+    max_seq`` completed before these notifications (incremental use, one row per reader).
     """
     cks = checkpoints.select("reader", "ck", "added_at", "seq")
     j = (notifications.select("reader", "ck", "notified_at")
@@ -109,8 +110,12 @@ def effective_commits(checkpoints: DataFrame, notifications: DataFrame,
          .withColumn("_seq", F.when(F.col("added_at") <= F.col("notified_at"), F.col("seq"))))
     chunk = _chunk_of("notified_at", j.schema["notified_at"].dataType, chunk_width)
     pm = prefix_max(j, ["reader"], ["notified_at", "ck"], "_seq", chunk, "_prior", inclusive=False)
+    if prior is not None:
+        pm = (pm.join(F.broadcast(prior.select("reader", F.col("max_seq").alias("_state"))), "reader", "left")
+              .withColumn("_prior", F.greatest("_prior", "_state")).drop("_state"))
     eff = F.col("_seq").isNotNull() & (F.col("_prior").isNull() | (F.col("_seq") > F.col("_prior")))
-    return pm.select("reader", "ck", "notified_at", F.coalesce(eff, F.lit(False)).alias("effective"))
+    return pm.select("reader", "ck", "notified_at", F.coalesce(eff, F.lit(False)).alias("effective"),
+                     F.col("_seq").alias("seq"))
 
 
 def committed_cursors(snapshots: DataFrame, commits: DataFrame) -> DataFrame:

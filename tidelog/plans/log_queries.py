@@ -301,7 +301,7 @@ def checkpoint_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which completion notifications commit cursors (out-of-order completions prune)."""
     cks, notes = _trace(events_log(spark, sf_dir))
-    return pg.effective_commits(cks, notes)
+    return pg.effective_commits(cks, notes).select("reader", "ck", "notified_at", "effective")
 
 
 @register("committed_cursors", f"""{W}, {SNAP_SQL}, {NOTE_SQL}, {COMMITTED_SQL.format(extra='')}

@@ -148,3 +148,28 @@ def plog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.stop()
     st._raise(q)
     return spark.read.parquet(out).select("part", "off")
+
+
+@register("stream_effective_commits", _sql("effective_commits"))
+def stream_effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completion notifications arrive as a stream (three files, in notification order, one per
+    trigger); the commit rule is applied batch by batch with per-reader state carried over."""
+    from tidelog.streaming.commits import start_commit_tracker
+
+    cks, notes = lq._trace(events_log(spark, sf_dir))
+    cks_path, inbox = scratch_dir(spark, "ck-table"), scratch_dir(spark, "notes-inbox")
+    cks.write.parquet(cks_path)
+    bounds = [(None, 10), (10, 20), (20, None)]
+    for i, (lo, hi) in enumerate(bounds):
+        part = notes
+        if lo is not None:
+            part = part.where(F.col("notified_at") >= lo)
+        if hi is not None:
+            part = part.where(F.col("notified_at") < hi)
+        part.coalesce(1).write.parquet(f"{inbox}/n{i}")
+    stream = spark.readStream.schema(notes.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
+    out, state = scratch_dir(spark, "commits-out"), scratch_dir(spark, "commits-state")
+    q = start_commit_tracker(stream, cks_path, out, state, scratch_dir(spark, "commits-ck"))
+    q.awaitTermination()
+    st._raise(q)
+    return spark.read.parquet(out).select("reader", "ck", "notified_at", "effective")
