@@ -21,7 +21,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.operators.broadcast import broadcast_bounded
+from tidelog.operators.broadcast import BROADCAST_ROW_LIMIT, broadcast_bounded
 from tidelog.session import checkpoint_root
 
 DEFAULT_CHUNK_WIDTH = 1 << 16
@@ -52,8 +52,12 @@ def index_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
              .agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
              .withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
              .drop("_n"))
-    # (group, range) pairs: every range covers a contiguous run of groups
-    bound = None if group_bound is None else group_bound + n
+    # (group, range) pairs: every range covers a contiguous run of groups, so with a bound on the
+    # groups the table is bounded; without one its size is measured (capped count) before deciding
+    if group_bound is not None:
+        bound = group_bound + n
+    else:
+        bound = stats.limit(BROADCAST_ROW_LIMIT + 1).count()
     joined = ranged.join(broadcast_bounded(stats, bound), [*group_cols, "_rid"])
     return (joined.withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("bigint"))
             .drop("_rid", "_mid", "_first", "_before"))
