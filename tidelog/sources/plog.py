@@ -7,8 +7,10 @@ This is the connector-shaped way in, next to the plain parquet (file-source) pat
 * every trigger lists the partitions again (discovery); a new partition starts at its committed
   cursor, else 0; a partition that disappears fails the query; a listing error is fatal before
   anything is known and otherwise the previous offset is kept;
-* ``maxMessagesPerTrigger`` caps the rows admitted per trigger, counted from file footers (never
-  from offset differences, offsets may have gaps);
+* ``maxMessagesPerTrigger`` caps the rows admitted per trigger: whole files are admitted round-robin
+  over partitions until their footer row counts reach the cap (at least one file per trigger, so a
+  file larger than the cap still moves on); counts never come from offset differences, offsets may
+  have gaps;
 * work is split into one input partition per (file, offset range), so one hot log partition is read
   by many tasks; a task reads its file with an offset filter (row-group skipping) as Arrow batches;
 * ``commit(end)`` writes the consumed cursor of every partition (last offset read) to ``cursors``;
