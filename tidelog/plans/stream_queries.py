@@ -94,11 +94,11 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_dedup", _sql("dedup_redelivered"))
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run up to a crash and a resumed run (re-reading from committed cursors) arrive as
-    one stream; duplicates are dropped within a 7-day watermark on publish time."""
+    one stream, one run per trigger; duplicates are dropped within a 7-day watermark on publish time."""
     log, consumed, committed = lq._crash(spark, sf_dir)
     inbox = scratch_dir(spark, "stream-dedup-inbox")
-    consumed.write.parquet(f"{inbox}/run1")
-    pg.resume_scan(log, committed, inclusive=True).write.parquet(f"{inbox}/run2")
+    consumed.coalesce(1).write.parquet(f"{inbox}/run1")
+    pg.resume_scan(log, committed, inclusive=True, part_bound=EVENTS_PARTITIONS).coalesce(1).write.parquet(f"{inbox}/run2")
     s = (spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/run*")
          .withColumn("publish_time", F.col("publish_time").cast("timestamp"))
          .withWatermark("publish_time", REDELIVERY_DELAY)
