@@ -104,3 +104,8 @@ def test_pandas_decoder(spark):
     log = _log(spark, [(0, 1, "ab", T0, None)])
     out = to_records(log, dec.data_only(dec.pandas_decoder(codec, "string")))
     assert out.first()["value"] == "AB"
+
+
+def test_positions_over_all_partitions_fill_gaps(spark):
+    recs = spark.createDataFrame([(1, 5, "a"), (1, 7, None), (3, 2, "b")], "part INT, off BIGINT, value STRING")
+    assert rows(pg.positions(recs, all_partitions=True)) == [(0, 0, 0), (1, 7, 2), (2, 0, 0), (3, 2, 1)]

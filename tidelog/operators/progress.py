@@ -12,7 +12,7 @@ completed earlier by the same reader - a running max, computed with :func:`prefi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,12 +24,26 @@ DEFAULT_CK_CHUNK = 1 << 12
 
 
 def positions(records: DataFrame, splits: DataFrame | None = None,
-              part_bound: int | None = None) -> DataFrame:
+              part_bound: int | None = None, all_partitions: bool = False) -> DataFrame:
     """``part, position, n``: last consumed offset and messages consumed per partition.
 
     ``records`` must still contain undecodable messages.  With ``splits`` (``part, start_off``)
-    every split appears, at its start offset when nothing of it was consumed."""
+    every split appears, at its start offset when nothing of it was consumed.  With
+    ``all_partitions`` every partition ``0 .. max(part)`` appears (start offset 0); the partition
+    list comes from the same aggregate, so the records are read once."""
     agg = records.groupBy("part").agg(F.max("off").alias("_pos"), F.count(F.lit(1)).alias("_n"))
+    if all_partitions and splits is None:
+        # one row per present partition (bounded by the partition count); each also emits the
+        # absent partitions below the next present one, so no second pass over the records
+        w = Window.orderBy("part")
+        x = agg.withColumn("_next", F.lead("part").over(w)).withColumn("_rn", F.row_number().over(w))
+        lo = F.when(F.col("_rn") == 1, F.lit(0)).otherwise(F.col("part"))
+        hi = F.coalesce(F.col("_next") - 1, F.col("part"))
+        e = x.select(F.explode(F.sequence(lo, hi)).alias("_p"), "part", "_pos", "_n")
+        here = F.col("_p") == F.col("part")
+        return e.select(F.col("_p").cast("int").alias("part"),
+                        F.when(here, F.col("_pos")).otherwise(F.lit(DEFAULT_START_OFFSET).cast("bigint")).alias("position"),
+                        F.when(here, F.col("_n")).otherwise(F.lit(0).cast("bigint")).alias("n"))
     if splits is None:
         return agg.select("part", F.col("_pos").alias("position"), F.col("_n").alias("n"))
     s = splits.select("part", "start_off")

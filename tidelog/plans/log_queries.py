@@ -251,10 +251,7 @@ def split_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("positions", f"{W} SELECT part, max(off) AS position, count(*) AS n FROM log GROUP BY part")
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last consumed offset and messages consumed per partition, skipped messages included."""
-    log = events_log(spark, sf_dir)
-    return pg.positions(_event_records(log), scan.start_offsets(scan.topic_partitions(log),
-                                                               spark.createDataFrame([], "part INT, off BIGINT"), P),
-                        part_bound=P)
+    return pg.positions(_event_records(events_log(spark, sf_dir)), part_bound=P, all_partitions=True)
 
 
 SNAP_SQL = f"""snaps AS (
