@@ -132,3 +132,18 @@ def test_stream_through_spark_with_cap(registered):
     back = spark.read.parquet(out)
     assert back.count() == 300 and back.select("part", "off").distinct().count() == 300
     assert back.agg(F.max("off")).first()[0] == 297
+
+
+def test_batch_filters_are_taken_over_by_the_reader(registered):
+    spark = registered
+    path = scratch_dir(spark, "plog-t7")
+    write_log(_log_rows(spark, [0, 1, 2], range(0, 100)), path)
+    df = spark.read.format("plog").option("path", path).option("subscription", "s").load()
+    q = df.where("part IN (0, 2) AND off >= 10 AND off < 20 AND data <> '15'")
+    assert rows(q.select("part", "off")) == [(p, o) for p in (0, 2) for o in range(10, 20) if o != 15]
+    r = plog.PlogBatchReader({"path": path, "subscription": "s"})
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In, LessThanOrEqual
+    rest = list(r.pushFilters([In(("part",), (1, 2)), EqualTo(("part",), 2), GreaterThan(("off",), 40),
+                               LessThanOrEqual(("off",), 41), EqualTo(("data",), "x")]))
+    assert [type(f).__name__ for f in rest] == ["EqualTo"] and rest[0].attribute == ("data",)
+    assert [(p.part, p.start, p.end) for p in r.partitions()] == [(2, 41, 42)]

@@ -200,7 +200,11 @@ def _start_of(cursor: int | None, resume: str) -> int:
 
 
 class PlogBatchReader(DataSourceReader):
-    """Bounded read: from committed cursors (or 0) up to ``endingCursors`` (or the end)."""
+    """Bounded read: from committed cursors (or 0) up to ``endingCursors`` (or the end).
+
+    Filters on ``part`` (=, IN) and ``off`` (=, <, <=, >, >=) are taken over by the reader: they
+    drop partitions and narrow the offset range of every input partition before any file is read.
+    """
 
     def __init__(self, options):
         self.path = _require(options, "path")
@@ -208,13 +212,61 @@ class PlogBatchReader(DataSourceReader):
         self.resume = options.get("resume", "inclusive")
         self.cursors = options.get("cursors")
         self.ending = options.get("endingCursors")
+        self.parts: set[int] | None = None
+        self.off_lo: int | None = None          # inclusive
+        self.off_hi: int | None = None          # exclusive
+
+    def pushFilters(self, filters):
+        from pyspark.sql.datasource import (EqualTo, GreaterThan, GreaterThanOrEqual, In, LessThan,
+                                            LessThanOrEqual)
+
+        def lo(v):
+            self.off_lo = v if self.off_lo is None else max(self.off_lo, v)
+
+        def hi(v):
+            self.off_hi = v if self.off_hi is None else min(self.off_hi, v)
+
+        def parts(vs):
+            vs = {int(v) for v in vs}
+            self.parts = vs if self.parts is None else self.parts & vs
+
+        for f in filters:
+            attr = getattr(f, "attribute", None)           # Not / composite filters have none
+            col = attr[0] if attr is not None and len(attr) == 1 else None
+            v = getattr(f, "value", None)
+            if col == "part" and isinstance(f, EqualTo) and v is not None:
+                parts([v])
+            elif col == "part" and isinstance(f, In) and None not in v:
+                parts(v)
+            elif col == "off" and v is not None and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual,
+                                                                   LessThan, LessThanOrEqual)):
+                v = int(v)
+                if isinstance(f, EqualTo):
+                    lo(v)
+                    hi(v + 1)
+                elif isinstance(f, GreaterThan):
+                    lo(v + 1)
+                elif isinstance(f, GreaterThanOrEqual):
+                    lo(v)
+                elif isinstance(f, LessThan):
+                    hi(v)
+                else:
+                    hi(v + 1)
+            else:
+                yield f
 
     def partitions(self):
         files = list_files(self.path)
+        if self.parts is not None:
+            files = {p: fs for p, fs in files.items() if p in self.parts}
         cur = read_cursor_table(self.cursors)
         stop = read_cursor_table(self.ending)
         start = {p: _start_of(cur.get(p), self.resume) for p in files}
         end = {p: (stop[p] + 1 if p in stop else max(f.hi for f in fs) + 1) for p, fs in files.items()}
+        if self.off_lo is not None:
+            start = {p: max(s, self.off_lo) for p, s in start.items()}
+        if self.off_hi is not None:
+            end = {p: min(e, self.off_hi) for p, e in end.items()}
         return _splits(files, start, end) or [RangePartition("", -1, 0, 0)]
 
     def read(self, partition):
@@ -322,4 +374,6 @@ def register(spark) -> None:
     from tidelog.session import ship_package
 
     ship_package(spark)
+    # the batch reader takes over filters on part / off; Spark only calls it when this is on
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PlogDataSource)
