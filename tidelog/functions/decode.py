@@ -13,6 +13,8 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.schema import require_columns
+
 Decoder = Callable[[DataFrame], Column]
 
 
@@ -55,6 +57,7 @@ def decode(log: DataFrame, decoder: Decoder, on_error: str = "skip", out: str =
     still advance the position).  ``on_error="fail"``: the query fails on the first message that
     has a payload the decoder cannot read.
     """
+    require_columns(log, ["part", "off", "data"])
     value = decoder(log)
     if on_error == "fail":
         value = F.when(value.isNull() & log["data"].isNotNull(),

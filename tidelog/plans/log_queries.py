@@ -17,6 +17,7 @@ from tidelog.plans.params import (CRASH_DAY, CURSOR_AS_OF, CURSOR_PARTS, EPOCH,
                                   LI_CURSOR_AS_OF, LI_EPOCH, LINEITEM_LOG_SQL, READERS, STOP_AS_OF,
                                   SUBSCRIPTION)
 from tidelog.plans.registry import register
+from tidelog.schema import SPLIT_DDL
 from tidelog.sources import scan
 from tidelog.sources.logs import EVENTS_PARTITIONS, LINEITEM_PARTITIONS, events_log, lineitem_log
 
@@ -121,7 +122,7 @@ def restore_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = events_log(spark, sf_dir)
     splits = (_starts(log).where(F.col("part") != 2)
               .select(F.lit(SUBSCRIPTION).alias("subscription"), "part", "start_off"))
-    foreign = spark.createDataFrame([(FOREIGN_SUBSCRIPTION, 3, 0)], "subscription STRING, part INT, start_off BIGINT")
+    foreign = spark.createDataFrame([(FOREIGN_SUBSCRIPTION, 3, 0)], SPLIT_DDL)
     return scan.restore_violations(splits.unionByName(foreign), SUBSCRIPTION)
 
 

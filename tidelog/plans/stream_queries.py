@@ -100,7 +100,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     consumed.coalesce(1).write.parquet(f"{inbox}/run1")
     pg.resume_scan(log, committed, inclusive=True, part_bound=EVENTS_PARTITIONS).coalesce(1).write.parquet(f"{inbox}/run2")
     s = (spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/run*")
-         .withColumn("publish_time", F.col("publish_time").cast("timestamp"))
+         .transform(lambda d: st.to_event_time(d, "publish_time"))
          .withWatermark("publish_time", REDELIVERY_DELAY)
          .dropDuplicatesWithinWatermark(["part", "off"])
          .select("part", "off"))

@@ -15,9 +15,6 @@ LOG_SCHEMA = T.StructType([
 
 # A split: one partition of one subscription, read from ``start_off``.
 SPLIT_DDL = "subscription STRING, part INT, start_off BIGINT"
-SPLIT_SCHEMA = T.StructType([
-    T.StructField("subscription", T.StringType()), T.StructField("part", T.IntegerType()),
-    T.StructField("start_off", T.LongType())])
 
 # Fixed values (they must equal the connector's for the same results):
 #   - timestamps are cut to milliseconds
