@@ -182,3 +182,16 @@ def test_incremental_tracker_equals_fold(spark):
                 write(df, b)                        # a replayed batch changes nothing
         got = {(r["ck"], r["notified_at"]): r["effective"] for r in spark.read.parquet(out).collect()}
         assert got == _fold(adds, notes), trial
+
+
+def test_index_within_keeps_null_groups_and_null_orders(spark):
+    data = [(None, 3), (None, 1), (1, None), (1, 2), (1, 1), (None, None)]
+    df = spark.createDataFrame(data, "g INT, o INT")
+    out = index_within(df, ["g"], ["o"], out="i", num_ranges=3).collect()
+    assert len(out) == len(data)
+    by = {}
+    for r in out:
+        by.setdefault(r["g"], []).append(r["i"])
+    assert {k: sorted(v) for k, v in by.items()} == {None: [0, 1, 2], 1: [0, 1, 2]}
+    # nulls order first
+    assert {(r["g"], r["o"]): r["i"] for r in out}[(None, None)] == 0

@@ -58,7 +58,12 @@ def index_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
         bound = group_bound + n
     else:
         bound = stats.limit(BROADCAST_ROW_LIMIT + 1).count()
-    joined = ranged.join(broadcast_bounded(stats, bound), [*group_cols, "_rid"])
+    stats = stats.select(*[F.col(g).alias(f"_s_{g}") for g in group_cols], F.col("_rid").alias("_s_rid"),
+                         "_first", "_before")
+    stats = broadcast_bounded(stats, bound)
+    # null-safe keys: a null group is a group like any other and keeps its rows
+    cond = [ranged[g].eqNullSafe(stats[f"_s_{g}"]) for g in group_cols] + [ranged["_rid"] == stats["_s_rid"]]
+    joined = ranged.join(stats, cond).drop(*[f"_s_{g}" for g in group_cols], "_s_rid")
     return (joined.withColumn(out, (F.col("_before") + F.col("_mid") - F.col("_first")).cast("bigint"))
             .drop("_rid", "_mid", "_first", "_before"))
 
