@@ -26,3 +26,13 @@ def test_sink_defaults_and_validation():
         LogSinkOptions("", 2)
     with pytest.raises(ValueError):
         LogSinkOptions("topics/t", 0)
+
+
+def test_cluster_conf_scales_with_input():
+    from tidelog.session import cluster_conf
+
+    big = cluster_conf(100 * 1024**4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)

@@ -27,13 +27,42 @@ _DEFAULTS = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings sized for a job reading ``input_bytes`` on ``total_cores`` executor cores.
+
+    Scan splits and shuffle partitions aim at ~256 MiB each, so a task's share fits executor memory
+    without spilling much; the shuffle starts with at least three waves of tasks and AQE merges small
+    partitions back to the advisory size and splits skewed ones.  A 100 TB read on 8,000 cores gives
+    about 400,000 shuffle partitions.
+    """
+    parts = max(3 * total_cores, -(-int(input_bytes) // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * TARGET_PARTITION_BYTES),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.execution.rangeExchange.sampleSizePerPartition": "200",
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app: str = "tidelog", extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the library relies on."""
+              app: str = "tidelog", extra: dict[str, str] | None = None,
+              input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Build (or reuse) a session with the settings the library relies on; with ``input_bytes``
+    and ``total_cores`` also the sizing of :func:`cluster_conf`."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if input_bytes and total_cores:
+        conf.update(cluster_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
