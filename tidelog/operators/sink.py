@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.routing import route_int, route_round_robin, route_str
 from tidelog.functions.timestamps import from_epoch_ms, ms, sink_event_ms
+from tidelog.operators.broadcast import BROADCAST_ROW_LIMIT, broadcast_bounded
 from tidelog.operators.ordered import index_within, prefix_max
 from tidelog.schema import DEFAULT_MAX_OUTSTANDING_BYTES, NO_TIMESTAMP
 
@@ -38,7 +39,10 @@ def watermark_by_batch(records: DataFrame, batch: str, ts_ms: str, out: str = "w
     wm = prefix_max(per.withColumn("_one", F.lit(0)), ["_one"], [batch], "_bmax",
                     F.expr(f"cast(`{batch}` as bigint) div 1024"), "_wm", inclusive=False)
     wm = wm.select(batch, F.coalesce("_wm", F.lit(NO_TIMESTAMP).cast("bigint")).alias(out))
-    return records.join(wm, batch, "left")
+    # one row per batch: measured (capped count) and broadcast when small, so the records are not
+    # shuffled and a batch holding most of them does not land in one task
+    n = wm.limit(BROADCAST_ROW_LIMIT + 1).count()
+    return records.join(broadcast_bounded(wm, n), batch, "left")
 
 
 def envelope(records: DataFrame, encoder: Encoder, ts_ms: Column | None, watermark_ms: Column | None,
