@@ -147,3 +147,27 @@ def test_batch_filters_are_taken_over_by_the_reader(registered):
                                LessThanOrEqual(("off",), 41), EqualTo(("data",), "x")]))
     assert [type(f).__name__ for f in rest] == ["EqualTo"] and rest[0].attribute == ("data",)
     assert [(p.part, p.start, p.end) for p in r.partitions()] == [(2, 41, 42)]
+
+
+def test_stream_restart_continues_after_committed_offsets(registered):
+    spark = registered
+    path, cur = scratch_dir(spark, "plog-t8"), scratch_dir(spark, "plog-t8c")
+    out, ck = scratch_dir(spark, "plog-t8o"), scratch_dir(spark, "plog-t8k")
+    write_log(_log_rows(spark, [0, 1], range(0, 50)), path)
+
+    def run():
+        s = (spark.readStream.format("plog").option("path", path).option("subscription", "s")
+             .option("cursors", cur).option("resume", "exclusive").load())
+        q = s.select("part", "off").writeStream.format("parquet").option("checkpointLocation", ck).start(out)
+        q.processAllAvailable()
+        q.stop()
+
+    run()
+    assert spark.read.parquet(out).count() == 100
+    write_log(_log_rows(spark, [0, 1, 2], range(50, 60)), path, mode="append")   # more data, one new partition
+    run()
+    back = spark.read.parquet(out)
+    assert back.count() == 130 and back.select("part", "off").distinct().count() == 130
+    assert rows(back.where("part = 2").select("off")) == [(o,) for o in range(50, 60)]
+    # cursors were committed upstream for what was consumed (the last batch may lag by one)
+    assert set(plog.read_cursor_table(cur)) <= {0, 1, 2} and plog.read_cursor_table(cur)[0] >= 49
