@@ -374,6 +374,12 @@ def register(spark) -> None:
     from tidelog.session import ship_package
 
     ship_package(spark)
+    # Some Python workers (the streaming source planner) do not see files added with addPyFile:
+    # ship this module's code with the pickled source instead of importing it there.
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     # the batch reader takes over filters on part / off; Spark only calls it when this is on
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PlogDataSource)
