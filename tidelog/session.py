@@ -75,17 +75,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_FALLBACK_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read as is.  Only when it is unset
-    (local tests) a folder under the system temp dir is taken and registered.
+    On a cluster this is set by the deployment and is read as is.  Only when it is unset (local
+    tests) the SparkContext's checkpoint folder is used, or a folder under the system temp dir is
+    taken once per application and registered with ``setCheckpointDir``.
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = _FALLBACK_ROOTS.get(sc.applicationId) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tidelog-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
+        _FALLBACK_ROOTS[sc.applicationId] = root
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
