@@ -32,8 +32,10 @@ def index_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
                  group_bound: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its group, in ``order_cols`` order.
 
-    Ties in ``order_cols`` get distinct, arbitrary positions.  ``group_bound`` is an upper bound
-    on the number of groups, if known; it lets the per-range table be broadcast.
+    Ties in ``order_cols`` get distinct, arbitrary positions; null groups and null order values are
+    numbered like any other (nulls first).  ``group_bound`` is an upper bound on the number of
+    groups, if known; it bounds the per-range table (groups + ranges rows) so it is broadcast.
+    Without it the table is measured with a capped count and broadcast only under the limit.
     """
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
