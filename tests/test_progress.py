@@ -197,3 +197,26 @@ def test_index_within_keeps_null_groups_and_null_orders(spark):
     assert {k: sorted(v) for k, v in by.items()} == {None: [0, 1, 2], 1: [0, 1, 2]}
     # nulls order first
     assert {(r["g"], r["o"]): r["i"] for r in out}[(None, None)] == 0
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(1, 9), st.randoms(use_true_random=False))
+def test_chunked_running_max_equals_brute_force(spark, width, rnd):
+    data, offs = [], {}
+    for _ in range(rnd.randint(1, 120)):
+        p = 0 if rnd.random() < 0.5 else rnd.randint(1, 3)
+        offs[p] = offs.get(p, rnd.randint(-5, 5)) + rnd.randint(1, 4)
+        data.append((p, offs[p], rnd.choice([None, rnd.randint(-20, 20)])))
+    df = spark.createDataFrame(data, "part INT, off BIGINT, v INT")
+    got_prev = {(r["part"], r["off"]): r["prev_off"] for r in prev_offset(df, width=width).collect()}
+    got_max = {(r["part"], r["off"]): r["m"] for r in prefix_max(
+        df, ["part"], ["off"], "v", F.floor(F.col("off") / width), "m", inclusive=False).collect()}
+    last, run, want_prev, want_max = {}, {}, {}, {}
+    for p, o, v in sorted(data):
+        want_prev[(p, o)] = last.get(p)
+        want_max[(p, o)] = run.get(p)
+        last[p] = o
+        if v is not None:
+            run[p] = v if run.get(p) is None else max(run[p], v)
+    assert got_prev == want_prev
+    assert got_max == want_max
