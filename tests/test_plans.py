@@ -65,5 +65,12 @@ def test_assignment_has_no_cartesian_product(spark):
     from tidelog.operators.assign import assign_least_loaded
     keys = spark.range(50).select(F.col("id").alias("key"))
     p = plan(assign_least_loaded(keys, ["key"], 4))
-    assert "CartesianProduct" not in p
-    assert "BroadcastNestedLoopJoin" in p       # rank -> segment lookup against <= tasks rows
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_assignment_with_existing_keys_uses_equi_joins_only(spark):
+    from tidelog.operators.assign import assign_least_loaded
+    keys = spark.range(60).select(F.col("id").alias("key"))
+    existing = spark.range(10).select(F.col("id").alias("key"), (F.col("id") % 2).cast("int").alias("task"))
+    p = plan(assign_least_loaded(keys, ["key"], 4, existing=existing))
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p

@@ -13,8 +13,10 @@ is a closed form that runs as joins:
 
 The segment table has at most ``num_tasks`` rows and the member table at most ``num_tasks**2``
 (built by ``explode``, no join); both are broadcast behind that bound.  Key ranks come from
-:func:`index_within` (range partitioned, no single-task window); a rank finds its segment by a
-range lookup against the broadcast segment table (``O(num_tasks)`` per key, no shuffle of keys).
+:func:`index_within` (range partitioned, no single-task window).  Ranks at or past the leveling
+slots ``S`` (the unbounded last segment, where every task is active) map to a task arithmetically;
+ranks below ``S`` find their segment by an equi-join on rank blocks (``r DIV B``) against a broadcast
+table of at most ``BLOCKS + num_tasks`` rows.  No key is compared with every segment.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from tidelog.operators.broadcast import broadcast_bounded
 from tidelog.operators.ordered import index_within
 
 MAX_TASKS = 100_000
+BLOCKS = 100_000        # rank blocks over the finite segments (bounds the block table)
 
 
 def upsert_splits(events: DataFrame, keys: Sequence[str] = ("part",), seq: str = "seq") -> DataFrame:
@@ -91,12 +94,31 @@ def assign_least_loaded(keys: DataFrame, order_cols: Sequence[str], num_tasks: i
     seg, members = slot_segments(counts)
     fresh = keys.join(held.select(key), key, "left_anti")
     ranked = index_within(fresh, [], list(order_cols), out="_r", group_bound=0)
-    seg_b = broadcast_bounded(seg, num_tasks)
-    in_seg = (F.col("_r") >= F.col("cum")) & (F.col("next_cum").isNull() | (F.col("_r") < F.col("next_cum")))
-    placed = (ranked.join(seg_b, in_seg)
-              .withColumn("q", F.pmod(F.col("_r") - F.col("cum"), F.col("active")))
-              .join(broadcast_bounded(members, num_tasks * num_tasks), ["seg", "q"])
-              .select(key, "task"))
+    # Segment table: at most num_tasks rows (checked by _check_tasks), read on the driver to get the
+    # number of leveling slots S before the unbounded last segment.
+    segs = seg.select("seg", "cum", "next_cum", "active").collect()
+    last = max(segs, key=lambda r: r["seg"]) if segs else None
+    total_finite = int(last["cum"]) if last is not None else 0
+    # ranks >= S: every task is active, slots cycle over task ids
+    tail = (ranked.where(F.col("_r") >= F.lit(total_finite))
+            .select(key, F.pmod(F.col("_r") - F.lit(total_finite), F.lit(num_tasks)).cast("int").alias("task")))
+    placed = tail
+    if total_finite > 0:
+        # ranks < S: equi-join on rank blocks of width B against the blocks each finite segment
+        # covers (<= S / B + segments rows, broadcast), then keep the one segment holding the rank
+        width = max(1, -(-total_finite // BLOCKS))
+        blocks = (seg.where(F.col("next_cum").isNotNull())
+                  .select("seg", "cum", "next_cum", "active",
+                          F.explode(F.sequence(F.expr(f"cum div {width}"),
+                                               F.expr(f"(next_cum - 1) div {width}"))).alias("_b")))
+        head = (ranked.where(F.col("_r") < F.lit(total_finite))
+                .withColumn("_b", F.expr(f"_r div {width}"))
+                .join(broadcast_bounded(blocks, BLOCKS + num_tasks), "_b")
+                .where((F.col("_r") >= F.col("cum")) & (F.col("_r") < F.col("next_cum")))
+                .withColumn("q", F.pmod(F.col("_r") - F.col("cum"), F.col("active")))
+                .join(broadcast_bounded(members, num_tasks * num_tasks), ["seg", "q"])
+                .select(key, "task"))
+        placed = tail.unionByName(head)
     if registered is not None:
         reg = [int(t) for t in registered]
         placed = placed.select(key, F.when(F.col("task").isin(reg), F.col("task")).cast("int").alias("task"))
