@@ -139,3 +139,22 @@ def test_log_sink_continues_offsets_and_replays_exactly_once(spark):
         vals = sorted((o, v) for q, o, v in got if q == p)
         assert [o for o, _ in vals] == list(range(len(vals)))
         assert [v for _, v in vals] == sorted(v for _, v in vals)
+
+
+def test_stream_fails_on_undecodable_message_when_asked(spark):
+    from tidelog.options import LogSourceOptions
+    from tidelog.schema import LOG_DDL
+
+    path = scratch_dir(spark, "fail-log")
+    rows_ = [(0, 0, None, None, '{"k": 1}', None, None), (0, 1, None, None, "not json", None, None)]
+    write_log(spark.createDataFrame(rows_, LOG_DDL), path)
+    strict = LogSourceOptions("subscriptions/s", FlowControl(10_000, 10),
+                              decoder=dec.data_only(dec.json_field("k")), on_error="fail")
+    with pytest.raises(Exception, match="cannot decode message"):
+        st.run_to_files(st.open_log_stream(spark, path, strict), scratch_dir(spark, "fail-out"),
+                        scratch_dir(spark, "fail-ck"))
+    lenient = LogSourceOptions("subscriptions/s", FlowControl(10_000, 10), decoder=dec.data_only(dec.json_field("k")))
+    out = scratch_dir(spark, "ok-out")
+    st.run_to_files(st.open_log_stream(spark, path, lenient), out, scratch_dir(spark, "ok-ck"))
+    got = sorted((r["off"], r["value"]) for r in spark.read.parquet(out).collect())
+    assert got == [(0, 1), (1, None)]
