@@ -23,6 +23,7 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpointed ranges (index_within) are deleted once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
 }
 
