@@ -74,3 +74,13 @@ def test_assignment_with_existing_keys_uses_equi_joins_only(spark):
     existing = spark.range(10).select(F.col("id").alias("key"), (F.col("id") % 2).cast("int").alias("task"))
     p = plan(assign_least_loaded(keys, ["key"], 4, existing=existing))
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_positions_from_footers_read_no_rows(spark):
+    path = scratch_dir(spark, "plan-footers")
+    write_log(events_log(spark, SF), path)
+    df = pg.positions_from_footers(spark, path)
+    p = plan(df)
+    assert "PushedAggregation: [MAX(off), COUNT(*)]" in p and "PushedGroupBy: [part]" in p
+    want = sorted(tuple(r) for r in pg.positions(read_log(spark, path)).collect())
+    assert sorted(tuple(r) for r in df.collect()) == want

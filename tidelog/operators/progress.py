@@ -181,3 +181,21 @@ def dedup_redelivered(*runs: DataFrame) -> DataFrame:
     for r in runs[1:]:
         out = out.unionByName(r)
     return out.dropDuplicates(["part", "off"])
+
+
+def positions_from_footers(spark, path: str) -> DataFrame:
+    """``part, position, n`` of a log folder written by :func:`tidelog.sources.logs.write_log`,
+    answered from Parquet footers: ``max(off)`` and ``count(*)`` grouped by the ``part`` folder are
+    pushed into the scan (one small record per file, no rows read).
+
+    Runs in a child session (same SparkContext) with the DataSource V2 Parquet reader and aggregate
+    pushdown switched on, so the caller's session settings stay as they are.  Files without
+    statistics fall back to a normal scan; the result is the same either way.
+    """
+    from tidelog.schema import LOG_SCHEMA
+
+    child = spark.newSession()
+    child.conf.set("spark.sql.sources.useV1SourceList", "")
+    child.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    log = child.read.schema(LOG_SCHEMA).parquet(path)
+    return log.groupBy("part").agg(F.max("off").alias("position"), F.count(F.lit(1)).alias("n"))

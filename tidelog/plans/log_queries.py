@@ -255,6 +255,17 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.positions(_event_records(events_log(spark, sf_dir)), part_bound=P, all_partitions=True)
 
 
+@register("positions_from_footers", f"{W} SELECT part, max(off) AS position, count(*) AS n FROM log GROUP BY part")
+def positions_from_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events log written as a log folder; its positions answered from Parquet footers."""
+    from tidelog.session import scratch_dir
+    from tidelog.sources.logs import write_log
+
+    path = scratch_dir(spark, "footer-log")
+    write_log(events_log(spark, sf_dir), path)
+    return pg.positions_from_footers(spark, path)
+
+
 SNAP_SQL = f"""snaps AS (
   SELECT p.part % {READERS} AS reader, d.ck, p.part,
          coalesce(max(x.m) OVER (PARTITION BY p.part ORDER BY d.ck ROWS UNBOUNDED PRECEDING), 0) AS position
