@@ -81,3 +81,24 @@ def test_scan_from_and_between(spark):
     assert rows(scan.scan_from(log, starts, inclusive=False)) == [(1, 5), (1, 7)]
     stops = spark.createDataFrame([(1, 7)], "part INT, stop_off BIGINT")
     assert rows(scan.scan_between(log, starts, stops)) == [(0, 2), (1, 3), (1, 5)]
+
+
+def test_partitions_from_folder_layout(spark):
+    from tidelog.schema import LOG_DDL
+    from tidelog.session import scratch_dir
+    from tidelog.sources.logs import write_log
+
+    path = scratch_dir(spark, "folder-parts")
+    write_log(spark.createDataFrame([(0, 1, None, None, "a", None, None), (3, 2, None, None, "b", None, None)],
+                                    LOG_DDL), path)
+    assert rows(scan.topic_partitions_in_folder(spark, path)) == [(0,), (1,), (2,), (3,)]
+
+
+def test_partitions_from_nested_layout_fall_back_to_footers(spark):
+    from tidelog.schema import LOG_DDL
+    from tidelog.session import scratch_dir
+    from tidelog.sources.logs import write_log
+
+    path = scratch_dir(spark, "nested-parts")
+    write_log(spark.createDataFrame([(2, 1, None, None, "a", None, None)], LOG_DDL), f"{path}/batch=0")
+    assert rows(scan.topic_partitions_in_folder(spark, path)) == [(0,), (1,), (2,)]

@@ -26,6 +26,25 @@ def topic_partitions(log: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("part"))
 
 
+def topic_partitions_in_folder(spark, path: str) -> DataFrame:
+    """``part`` for every partition ``0 .. n-1`` of a log folder laid out as ``path/part=K/``, where
+    ``n - 1`` is the highest ``K`` listed: one directory listing (one entry per partition), no data
+    read.  A layout with ``part=K`` deeper down (the streaming sink's ``batch=<id>/part=K``) is
+    answered from the file footers instead."""
+    import pyarrow.fs as pafs
+
+    from tidelog.sources.plog import _fs
+
+    fs, base = _fs(path)
+    top = [i.base_name for i in fs.get_file_info(pafs.FileSelector(base, recursive=False))
+           if i.type == pafs.FileType.Directory]
+    parts = [int(n.split("=", 1)[1]) for n in top if n.startswith("part=")]
+    if parts:
+        return spark.range(max(parts) + 1).select(F.col("id").cast("int").alias("part"))
+    from tidelog.operators.progress import positions_from_footers
+    return topic_partitions(positions_from_footers(spark, path).select("part"))
+
+
 def cursors_as_of(log: DataFrame, before: str) -> DataFrame:
     """Committed cursor per partition = last offset published before ``before`` (``part, off``)."""
     return (log.where(F.col("publish_time") < F.lit(before).cast("timestamp_ntz"))
