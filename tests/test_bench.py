@@ -25,3 +25,4 @@ def test_bench_prints_one_json_line():
     import __spark_entry__ as E
     assert set(d["queries"]) == set(E.queries())
     assert abs(d["value"] - sum(d["queries"].values())) < 0.01
+    assert d["failed"] == {}
