@@ -34,7 +34,8 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_scan", _sql("scan_from_cursor"))
 def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming scan from committed cursors (stream-static join with the cursor table)."""
+    """Streaming scan from committed cursors: the bounded cursor table becomes a per-partition seek
+    predicate on the stream (without a bound it would be a stream-static join)."""
     starts = lq._starts(events_log(spark, sf_dir))
     s = scan.scan_from(_events_stream(spark, sf_dir), starts, part_bound=EVENTS_PARTITIONS).select("part", "off")
     out = scratch_dir(spark, "stream-scan")
