@@ -120,21 +120,26 @@ def encode_for(records: DataFrame, options, ts_ms: Column | None = None, waterma
 
 def publish_to_log(env: DataFrame, options, path: str, order_cols: Sequence[str], publish_ms: int,
                    append: bool = True) -> DataFrame:
-    """Publish an envelope to the log folder ``path`` (offsets continue after what is there) and
-    return the per-partition byte accounting of what was written."""
-    from tidelog.sources.logs import read_log, write_log
+    """Publish an envelope to the log folder ``path`` (offsets continue after what is there, read
+    from the Parquet footers) and return the per-partition byte accounting of what was written."""
+    from tidelog.sources.logs import write_log
 
     from pyspark.errors import AnalysisException
 
+    from tidelog.operators.progress import positions_from_footers
+
     spark = env.sparkSession
     numbered = publish(env, order_cols, publish_ms, num_partitions=options.num_partitions)
     try:
-        heads = read_log(spark, path).groupBy("part").agg((F.max("off") + 1).alias("_head"))
-        heads.schema  # resolves the path
+        # next offset per partition, from the Parquet footers of what is there (no rows read);
+        # one row per partition, so it is collected and broadcast
+        heads = [(int(r["part"]), int(r["position"]) + 1)
+                 for r in positions_from_footers(spark, path).collect()]
     except AnalysisException:  # nothing written there yet
-        heads = None
-    if heads is not None:
-        numbered = (numbered.join(F.broadcast(heads), "part", "left")   # one row per partition
+        heads = []
+    if heads:
+        h = spark.createDataFrame(heads, "part INT, _head BIGINT")
+        numbered = (numbered.join(F.broadcast(h), "part", "left")
                     .withColumn("off", F.col("off") + F.coalesce("_head", F.lit(0)))
                     .drop("_head"))
     write_log(numbered, path, mode="append" if append else "error")
