@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators import sink as snk
 from tidelog.operators.broadcast import broadcast_bounded
+from tidelog.operators.progress import positions_from_footers
 from tidelog.schema import LOG_SCHEMA
 
 
@@ -52,7 +53,8 @@ def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key:
         out = os.path.join(path, f"batch={batch_id}")
         (numbered.repartitionByRange("part", "off").sortWithinPartitions("part", "off")
          .write.mode("overwrite").partitionBy("part").parquet(out))
-        (spark.read.schema(LOG_SCHEMA).parquet(out).groupBy("part").agg((F.max("off") + 1).alias("head"))
+        # heads of this batch from the footers of the files just written (no rows read)
+        (positions_from_footers(spark, out).select("part", (F.col("position") + 1).alias("head"))
          .write.mode("overwrite").parquet(os.path.join(path, "_heads", f"batch={batch_id}")))
 
     return write
