@@ -102,3 +102,10 @@ def test_partitions_from_nested_layout_fall_back_to_footers(spark):
     path = scratch_dir(spark, "nested-parts")
     write_log(spark.createDataFrame([(2, 1, None, None, "a", None, None)], LOG_DDL), f"{path}/batch=0")
     assert rows(scan.topic_partitions_in_folder(spark, path)) == [(0,), (1,), (2,)]
+
+
+def test_seek_rejects_two_starts_for_one_partition(spark):
+    log = spark.createDataFrame([(0, 0), (0, 2)], "part INT, off BIGINT")
+    starts = spark.createDataFrame([(0, 0), (0, 2)], "part INT, start_off BIGINT")
+    with pytest.raises(ValueError, match="one start offset per partition"):
+        scan.scan_from(log, starts, part_bound=8)

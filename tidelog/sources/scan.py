@@ -90,7 +90,12 @@ def _bounded_rows(df: DataFrame, bound: int | None) -> list | None:
 
 def seek_predicate(ranges: list, inclusive: bool = True) -> Column:
     """``OR_p (part = p AND off >= start_p [AND off < stop_p])`` - a per-partition seek that
-    reaches the Parquet scan (partition pruning on ``part``, row-group skipping on ``off``)."""
+    reaches the Parquet scan (partition pruning on ``part``, row-group skipping on ``off``).
+    One range per partition: a partition listed twice is an error."""
+    parts = [r[0] for r in ranges]
+    if len(parts) != len(set(parts)):
+        dup = sorted({p for p in parts if parts.count(p) > 1})
+        raise ValueError(f"one start offset per partition expected; repeated: {dup}")
     if not ranges:
         return F.lit(False)
     preds = []
