@@ -32,8 +32,8 @@ def test_measurements_match_brute_force(rows):
     assert [tuple(int(m[k][i]) for k in op.MEASURES) for i in range(len(rows))] == [brute(t) for t in rows]
 
 
-ROWS = [(1, None), (2, ""), (3, "a b c d e f g h i j k"), (4, "x y z u v " * 40), (None, "no id here but ten words one two three four"),
-        (3, "a b c d e f g h i j k"), (5, "### $$$ " * 30 + "words"), (6, "long " * 3 + "w" * 200_000)]
+ROWS = [(1, None), (2, ""), (3, "alpha beta gamma delta eps zeta eta theta iota kappa la"), (4, "x y z u v " * 40), (None, "no id here but ten words one two three four"),
+        (3, "alpha beta gamma delta eps zeta eta theta iota kappa la"), (5, "### $$$ " * 30 + "words"), (6, "long " * 3 + "w" * 200_000)]
 
 
 def test_ledger_policies_and_ablations(spark):
@@ -56,4 +56,4 @@ def test_ledger_policies_and_ablations(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert op.ledger(df).collect() == [] and op.accepted(df).collect() == []
-    assert all(r.failed == 0 for r in op.ablations(op.ledger(df)).collect())
+    assert op.ablations(op.ledger(df)).collect() == []

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import op2_quality, op5_tokens
+    from . import op2_quality, op3_sharding, op5_tokens, op8_sentencepiece
 
-    return op2_quality, op5_tokens
+    return op2_quality, op3_sharding, op5_tokens, op8_sentencepiece
 
 
 def queries():
