@@ -8,9 +8,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import op2_quality, op3_sharding, op5_tokens, op8_sentencepiece
+    from . import op2_quality, op3_sharding, op5_tokens, op8_sentencepiece, op9_substring
 
-    return op2_quality, op3_sharding, op5_tokens, op8_sentencepiece
+    return op2_quality, op3_sharding, op5_tokens, op8_sentencepiece, op9_substring
 
 
 def queries():
