@@ -69,8 +69,8 @@ def test_every_window_is_in_one_run(texts, piece):
     values, first = anchors.words(buf, offsets)
     old, anchors.PIECE = anchors.PIECE, piece
     try:
-        got = sorted((int(o), int(b) + k) for owner, begin, size, *_ in anchors.runs(values, first, 5, 2)
-                     for o, b, s in zip(owner, begin, size) for k in range(s))
+        got = sorted((int(o), int(b) + k) for owner, run, *_ in anchors.runs(values, first, 5, 2)
+                     for o, b, s in zip(owner, anchors.unpack(run)[0], anchors.unpack(run)[2]) for k in range(s))
     finally:
         anchors.PIECE = old
     n = np.diff(first)

@@ -35,78 +35,51 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
-from .anchors import anchor_rows, merge_ranges, shared_anchors, words
+from .anchors import anchor_rows, batched_runs, merge_ranges, pack, repeat_contexts, shared_anchors, unpack, with_runs, words
 from .base import arrow_map, documents, flat, row_key
-from .rolling import Prefix, U, mix, word_bounds, word_prints
+from .rolling import Prefix, U, mix, word_bounds
 
 NAME = "op9_substring_dedup"
 WINDOW = 35
 SEED = 10
 
 
-def _lists(column, i: int) -> np.ndarray:
-    """The int64 list at row ``i`` of a list column; a null list is empty."""
-    x = column[i]
-    return np.asarray(x.values, dtype=np.int64) if x.is_valid else np.zeros(0, np.int64)
-
-
-def window_prints(values: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent fingerprints of every window of a text."""
-    other = mix(values ^ U(0x5851F42D4C957F2D))
-    return Prefix(values).windows(window), Prefix(other).windows(window)
-
-
-def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, rid: str = "rid", text: str = "text") -> DataFrame:
-    """Repeated windows of each text: ``rid`` and ``ranges``, a list of window ranges packed as
-    ``first * 2**31 + number of windows`` (the ranges may overlap).  Texts without any are left out."""
+def repeats(docs: DataFrame, at: str, window: int = WINDOW, seed: int = SEED) -> DataFrame:
+    """``rid`` and ``run``: runs of repeated windows of the texts in column ``at`` of ``docs``, whose first
+    column is the row key ``rid``.  Runs of one text may overlap."""
     spark = docs.sparkSession
     path = scratch_dir(spark, "seeds")
-    shared_anchors(anchor_rows(docs, words, window, seed, rid, text)).write.parquet(path)
-    seeds = spark.read.parquet(path)
-    packed = (F.col("first").cast("bigint") * F.lit(1 << 31) + F.col("size")).alias("range")
-    # contexts of seeds that occur in more than one: their number and one representative each
-    mixed = seeds.where(~F.col("uniform"))
-    contexts = mixed.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "first", "size")).alias("one"))
-    whole = seeds.where("uniform").select("rid", packed).unionByName(
-        mixed.join(contexts.where("n > 1").select("anchor", "context"), ["anchor", "context"]).select("rid", packed))
-    ones = contexts.select(F.col("one.rid").alias("rid"), F.struct(
-        (F.col("one.first").cast("bigint") * F.lit(1 << 31) + F.col("one.size")).alias("range"), "n", "anchor").alias("seed"))
-    texts = docs.select(F.col(rid).alias("rid"), F.col(text).alias("text"))
-    extended = _extend(texts.join(ones.groupBy("rid").agg(F.collect_list("seed").alias("seeds")), "rid"), window)
-    twice = extended.groupBy("w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("w1", "w2")
-    single = extended.where("n = 1").join(twice, ["w1", "w2"]).select(
-        "rid", (F.col("first").cast("bigint") * F.lit(1 << 31) + F.lit(1)).alias("range"))
-    return whole.unionByName(single).groupBy("rid").agg(F.collect_list("range").alias("ranges"))
-
-
-def _extend(joined: DataFrame, window: int) -> DataFrame:
-    """Every window of the given runs: both fingerprints, place and the number of occurrences of its context."""
+    shared_anchors(anchor_rows(docs, words, window, seed, "rid", at)).write.parquet(path)
+    whole, ones = repeat_contexts(spark.read.parquet(path))
+    extended = _extend(with_runs(docs, ones), docs.columns.index(at), window)
+    twice = extended.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("least"))
+    twice = twice.where("n > 1 OR least < 0").select("w1", "w2")
+    single = extended.where("run >= 0").join(twice, ["w1", "w2"]).select("rid", "run")
+    return whole.unionByName(single)
+
+
+def _extend(joined: DataFrame, text: int, window: int) -> DataFrame:
+    """Every window of the given runs as a run of one window, with two independent fingerprints."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        buf, offsets = flat(batch.column(1))
-        lists = batch.column(2)
-        for i in range(batch.num_rows):
-            part = buf[offsets[i]:offsets[i + 1]]
-            start, end, _ = word_bounds(part, np.array([0, len(part)]))
-            w1, w2 = window_prints(word_prints(part, start, end), window)
-            entries = lists[i].values
-            packed = np.asarray(entries.field("range"), dtype=np.int64)
-            size, first = packed & ((1 << 31) - 1), packed >> 31
+        for ids, packed, origin, values in batched_runs(batch, text, words):
+            first, _, size = unpack(packed)
             which = np.repeat(np.arange(len(size)), size)
             at = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + first[which]
+            begin = at + origin[which]
+            w1 = Prefix(values).ranges(begin, begin + window)
+            w2 = Prefix(mix(values ^ U(0x5851F42D4C957F2D))).ranges(begin, begin + window)
+            one = pack(at, np.zeros_like(at), np.ones_like(at)) | packed[which] & np.int64(-1 << 63)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(w1[at].view(np.int64)), pa.array(w2[at].view(np.int64)), pa.array(np.full(len(at), ids[i])),
-                 pa.array(at.astype(np.int32)), pa.array(np.asarray(entries.field("n"), dtype=np.int64)[which])],
-                names=["w1", "w2", "rid", "first", "n"])
+                [pa.array(w1.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(ids[which]), pa.array(one)],
+                names=["w1", "w2", "rid", "run"])
 
-    return arrow_map(joined.select("rid", "text", "seeds"), run, "w1 bigint, w2 bigint, rid bigint, first int, n bigint")
+    return arrow_map(joined, run, "w1 bigint, w2 bigint, rid bigint, run bigint")
 
 
-def maximal(ranges: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal repeats (first word, end) from packed window ranges."""
-    first, size = ranges >> 31, ranges & ((1 << 31) - 1)
+def maximal(packed: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal repeats (first symbol, end) from runs of repeated windows."""
+    first, _, size = unpack(packed)
     return merge_ranges(first, first + size + window - 1)
 
 
@@ -116,19 +89,19 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, seed: int = SEED, text: s
     columns = list(docs.columns)
     names = [f"c{i}" for i in range(len(columns))]
     at = columns.index(text)
-    plain = docs.toDF(*names).withColumn("rid", row_key(f"c{columns.index(id_col)}", f"c{at}"))
-    found = repeats(plain, window, seed, "rid", f"c{at}")
-    joined = plain.join(found, "rid", "left").select(*names, "ranges")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[:-1])
+    plain = docs.toDF(*names).select(row_key(f"c{columns.index(id_col)}", f"c{at}").alias("rid"), *names)
+    joined = with_runs(plain, repeats(plain, f"c{at}", window, seed), "left")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields[1:-1])
     added = ["n_words", "n_removed", "spans", "kept"]
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        buf, offsets = flat(batch.column(at))
+        buf, offsets = flat(batch.column(at + 1))
+        lists = batch.column(batch.num_columns - 1)
         counts, removed, spans, kept = [], [], [], []
         for i in range(batch.num_rows):
             part = buf[offsets[i]:offsets[i + 1]]
             start, end, _ = word_bounds(part, np.array([0, len(part)]))
-            begin, stop = maximal(_lists(batch.column(len(names)), i), window)
+            begin, stop = maximal(np.asarray(lists[i].values if lists[i].is_valid else [], dtype=np.int64), window)
             keep = np.ones(len(start), dtype=bool)
             for a, b in zip(begin, stop):
                 keep[a:b] = False
@@ -138,7 +111,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, seed: int = SEED, text: s
             spans.append([{"first": int(a), "end": int(b)} for a, b in zip(begin, stop)])
             kept.append(b" ".join(raw[a:b] for a, b in zip(start[keep].tolist(), end[keep].tolist())).decode())
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
+            [*batch.columns[1:-1], pa.array(counts, pa.int64()), pa.array(removed, pa.int64()),
              pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
             names=[*names, *added])
 
