@@ -8,11 +8,11 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import (op1_jaccard, op2_quality, op3_sharding, op5_tokens, op6_lm, op7_warc, op8_sentencepiece,
-                   op9_substring, op10_suffix)
+    from . import (op1_jaccard, op2_quality, op3_sharding, op4_decontaminate, op5_tokens, op6_lm, op7_warc,
+                   op8_sentencepiece, op9_substring, op10_suffix)
 
-    return (op1_jaccard, op2_quality, op3_sharding, op5_tokens, op6_lm, op7_warc, op8_sentencepiece, op9_substring,
-            op10_suffix)
+    return (op1_jaccard, op2_quality, op3_sharding, op4_decontaminate, op5_tokens, op6_lm, op7_warc,
+            op8_sentencepiece, op9_substring, op10_suffix)
 
 
 def queries():
