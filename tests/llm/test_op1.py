@@ -57,6 +57,7 @@ def corpus():
 @pytest.mark.parametrize("words, percent, block", [(4, 85, 1 << 19), (5, 80, 700), (2, 90, 1 << 19)])
 def test_components_equal_brute_force(spark, words, percent, block, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_ELEMENTS", block)
+    monkeypatch.setattr(op, "BLOCK_SETS", 12 if block < 1000 else 3072)
     rows = corpus() + [(None, "null id alone"), (None, "same text here now"), (5, "row row twice"), (5, "row row twice")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, class string").repartition(6)
     want, groups = brute(rows, words, percent)
@@ -105,3 +106,28 @@ def test_components_of_paths_and_stars(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert op.join(df).collect() == [] and op.representatives(df).collect() == []
+
+
+def test_intersections_and_possible_pairs():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 1 << 63, 300).astype(np.uint64))
+    sets = [np.unique(np.concatenate([rng.permutation(base)[:rng.integers(1, len(base))], rng.integers(0, 1 << 63, rng.integers(0, 40)).astype(np.uint64)])) for _ in range(90)]
+    sets += [base[:k] for k in (1, 1, 2, 3, 5, 8)]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    want = np.array([[len(np.intersect1d(a, b)) if i < j else 0 for j, b in enumerate(sets)] for i, a in enumerate(sets)])
+    assert (op.intersections(np.concatenate(sets), owner, len(sets)) == want).all()
+    assert (op.intersections(np.concatenate(sets), owner, len(sets), popular=5) == want).all()
+    sizes, side = np.array([len(s) for s in sets]), np.zeros(len(sets))
+    picked = [s[s % np.uint64(op.PICKED) == 0] for s in sets]
+    i, j = op.linked_pairs(sets, sizes, side, 80)
+    a, b = op.possible_pairs(picked, sizes, side, 80)
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in zip(a, b):
+        root[find(x)] = find(y)
+    assert len(i) and all(find(x) == find(y) for x, y in zip(i, j))

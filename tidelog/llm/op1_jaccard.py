@@ -20,9 +20,12 @@ other one links its classes to the least, a star instead of all pairs; the stars
 are the candidate clusters.
 
 **Verification.**  A cluster is cut into blocks of bounded size; every pair of blocks is one group, in
-which all intersections are counted exactly by matrix products.  A group returns a spanning forest of
-its links (or all links, :func:`links` with ``forest=False``), so a cluster of any size is never listed
-as pairs, and one task holds two blocks at most.  The links' components are the result.
+which all intersections are counted exactly.  A group returns a spanning forest of its links (or all
+links, :func:`links` with ``forest=False``), so a cluster of any size is never listed as pairs, and one
+task holds two blocks at most.  This is done twice: first on the quarter of the elements that a hash
+picks, which proves most pairs too different (they differ in more elements there than similar sets may
+in all) and splits clusters that common passages hold together; then on whole sets.  The links'
+components are the result.
 
 Defined cases: null or word-less texts have an empty set and are linked with nothing; fewer words than
 a shingle give one element, the whole sequence; rows that repeat are separate documents of one class;
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
-from .base import arrow_map, documents, flat, groups, row_key
+from .base import arrow_map, documents, flat, groups, row_key, ship
 from .components import components
 from .rolling import Prefix, U, fold_ascii, mix, word_bounds, word_prints
 
@@ -51,8 +54,11 @@ PERCENT = 80
 #: Size bands grow by this factor (it must exceed 100 / percent).
 BAND = 1.6
 PAIRED = 7
-#: Set elements in a block of a candidate cluster.
-BLOCK_ELEMENTS = 1 << 19
+#: Set elements and sets in a block of a candidate cluster.
+BLOCK_ELEMENTS = 1 << 20
+BLOCK_SETS = 3072
+#: One of so many elements is compared first.
+PICKED = 4
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -187,38 +193,63 @@ def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "t
     return components(shared.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct())
 
 
-def intersections(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    """Sizes of all pairwise intersections of ``n`` sets, by products of 0/1 matrices over slices of the
-    elements that occur twice or more."""
+def intersections(elements: np.ndarray, owner: np.ndarray, n: int, popular: int = 64) -> np.ndarray:
+    """Sizes of the pairwise intersections of ``n`` sets (upper triangle); ``owner`` ascends.  An element
+    of few sets adds one to each of their pairs; those of more than ``popular`` sets are counted by
+    products of 0/1 matrices."""
+    out = np.zeros((n, n), dtype=np.float32)
     order = np.argsort(elements, kind="stable")
     elements, owner = elements[order], owner[order]
-    new = np.ones(len(elements), dtype=bool)
-    new[1:] = elements[1:] != elements[:-1]
-    column = np.cumsum(new) - 1
-    often = np.bincount(column) > 1
-    keep = often[column]
-    column, owner = (np.cumsum(often) - 1)[column[keep]], owner[keep]
-    out = np.zeros((n, n), dtype=np.float64)
-    step = max(256, (1 << 22) // max(n, 1))
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, step):
-        a, b = np.searchsorted(column, [lo, lo + step])
-        grid = np.zeros((n, step), dtype=np.float32)
-        grid[owner[a:b], column[a:b] - lo] = 1
-        out += grid @ grid.T
-    return out.astype(np.int64)
-
-
-def linked_pairs(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of sets with ``100 * intersection >= percent * union``; where both sides occur only
-    pairs across the sides count."""
-    sizes = np.array([len(s) for s in sets])
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    begin = np.flatnonzero(np.append(True, elements[1:] != elements[:-1])) if len(elements) else np.zeros(0, np.int64)
+    held = np.diff(np.append(begin, len(elements)))
+    for p in np.unique(held[(held > 1) & (held <= popular)]):
+        lists = owner[begin[held == p][:, None] + np.arange(p)]
+        x, y = np.triu_indices(p, 1)
+        for lo in range(0, len(lists), max(1, (1 << 21) // len(x))):
+            some = lists[lo:lo + max(1, (1 << 21) // len(x))]
+            np.add.at(out.reshape(-1), (some[:, x] * n + some[:, y]).ravel(), 1)
+    many = np.flatnonzero(held > popular)
+    step = max(64, (1 << 22) // max(n, 1))
+    for lo in range(0, len(many), step):
+        some = many[lo:lo + step]
+        grid = np.zeros((n, len(some)), dtype=np.float32)
+        at = np.repeat(begin[some], held[some]) + np.arange(held[some].sum()) - np.repeat(np.cumsum(held[some]) - held[some], held[some])
+        grid[owner[at], np.repeat(np.arange(len(some)), held[some])] = 1
+        out += np.triu(grid @ grid.T, 1)
+    return out
+
+
+def _pairs(sets: list[np.ndarray], side: np.ndarray, test) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs i < j that hold a common element and pass ``test(i, j, common)``; where both sides
+    occur only pairs across the sides count."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     common = intersections(np.concatenate(sets), owner, len(sets))
-    similar = (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & (common > 0)
+    i, j = np.nonzero(common)
     if side.min() != side.max():
-        similar &= side[:, None] != side[None, :]
-    i, j = np.nonzero(np.triu(similar, 1))
-    return i, j
+        across = side[i] != side[j]
+        i, j = i[across], j[across]
+    good = test(i, j, common[i, j].astype(np.int64))
+    return i[good], j[good]
+
+
+def linked_pairs(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs with ``100 * intersection >= percent * union``."""
+    return _pairs(sets, side, lambda i, j, c: 100 * c >= percent * (sizes[i] + sizes[j] - c))
+
+
+def possible_pairs(picked: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that their picked elements do not prove different; pairs without a common picked element can
+    only be possible where a set has few of them, and such sets are all put together."""
+    n = np.array([len(x) for x in picked])
+
+    def test(i, j, c):
+        total = sizes[i] + sizes[j]
+        return ((100 + percent) * (n[i] + n[j] - 2 * c) <= (100 - percent) * total) & (
+            100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))
+
+    i, j = _pairs(picked, side, test)
+    few = np.flatnonzero((100 + percent) * percent * n <= (100 - percent) * (100 + percent) * sizes)
+    return np.concatenate([i, few[:-1]]), np.concatenate([j, few[1:]])
 
 
 def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,32 +270,29 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return i[keep], j[keep]
 
 
-def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: str = "text", forest: bool = True) -> DataFrame:
-    """``a, b``: links between classes; all of them, or a spanning forest of each group of blocks.
-
-    ``docs`` has ``rid`` and the text, ``classes`` is :func:`sets_of` of it (written)."""
-    spark = docs.sparkSession
-    clusters = candidate_clusters(docs, words, percent, text)
-    members = classes.groupBy("class").agg(F.min("rid").alias("rid"), F.min("n_shingles").alias("n"))
-    members = members.join(clusters, F.col("class") == F.col("node")).drop("node")
-    totals = members.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)).cast("int").alias("blocks"))
-    members = members.join(totals, "root").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    # the row key names one text, or rows that repeat with equal sets; a class keeps one of them
-    chosen = docs.select("rid", text).join(members, "rid").dropDuplicates(["rid"])
-    paired = chosen.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+def blocked_pairs(members: DataFrame, read, compare, forest: bool) -> DataFrame:
+    """``a, b``: classes that ``compare(sets, sizes, side)`` pairs, over all pairs of blocks of each
+    cluster.  ``members`` has ``root, class, n, body``; ``read(buf, offsets)`` gives the bodies' elements,
+    flat, and their numbers."""
+    spark = members.sparkSession
+    ship(spark)
+    need = F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
+    totals = members.groupBy("root").agg(need.cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    placed = members.join(totals, "root").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grouped = (paired.select("root", lo.alias("lo"), hi.alias("hi"), "block", "class", F.col(text).alias("text"))
+    grouped = (paired.select("root", lo.alias("lo"), hi.alias("hi"), "block", "class", "n", "body")
                .repartition(n, "root", "lo", "hi").sortWithinPartitions("root", "lo", "hi"))
 
     def finish(group, held) -> pa.RecordBatch | None:
-        sets, side, keys = [np.concatenate(x) if k else x for k, x in enumerate(zip(*held))]
-        flat_sets = [s for part in sets for s in part]
-        if len(flat_sets) < 2 or group[1] != group[2] and side.min() == side.max():
+        sets = [x for part in held for x in part[0]]
+        side, keys, sizes = (np.concatenate([part[k] for part in held]) for k in (1, 2, 3))
+        if len(sets) < 2 or group[1] != group[2] and side.min() == side.max():
             return None
-        i, j = linked_pairs(flat_sets, side, percent)
+        i, j = compare(sets, sizes, side)
         if forest:
-            i, j = spanning(len(flat_sets), i, j)
+            i, j = spanning(len(sets), i, j)
         return pa.RecordBatch.from_arrays([pa.array(keys[i]), pa.array(keys[j])], names=["a", "b"])
 
     def run(batches):
@@ -274,9 +302,9 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: s
                 continue
             head = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
             change = np.flatnonzero(np.any([h[1:] != h[:-1] for h in head], axis=0)) + 1
-            side, keys = batch.column(3).to_numpy(zero_copy_only=False), batch.column(4).to_numpy(zero_copy_only=False)
-            buf, offsets = flat(batch.column(5))
-            for a, b in zip([0, *change], [*change, batch.num_rows]):
+            side, keys, sizes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (3, 4, 5))
+            buf, offsets = flat(batch.column(6))
+            for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows]):
                 now = tuple(int(h[a]) for h in head)
                 if now != group:
                     if held and (out := finish(group, held)) is not None:
@@ -284,14 +312,53 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: s
                     group, held = now, []
                 for i, j in groups(offsets[a:b + 1]):
                     at = offsets[a + i:a + j + 1]
-                    elements, sizes = shingle_sets(buf[at[0]:at[-1]], at - at[0], words)
-                    held.append((np.split(elements, np.cumsum(sizes)[:-1]), side[a + i:a + j], keys[a + i:a + j]))
+                    elements, count = read(buf[at[0]:at[-1]], at - at[0])
+                    held.append((np.split(elements, np.cumsum(count)[:-1]), side[a + i:a + j], keys[a + i:a + j], sizes[a + i:a + j]))
         if held and (out := finish(group, held)) is not None:
             yield out
 
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
 
+def picked_sets(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
+    """``rid, body``: the picked elements of each row's set, 32 bits of each."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        buf, offsets = flat(batch.column(1))
+        for i, j in groups(offsets):
+            elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+            pick = elements % U(PICKED) == 0
+            counts = np.bincount(np.repeat(np.arange(j - i), sizes)[pick], minlength=j - i)
+            body = (elements[pick] >> U(32)).astype("<u4").tobytes()
+            ends = np.concatenate([[0], np.cumsum(counts) * 4]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.Array.from_buffers(
+                pa.binary(), j - i, [None, pa.py_buffer(ends), pa.py_buffer(body)])], names=["rid", "body"])
+
+    return arrow_map(docs.select("rid", text), run, "rid bigint, body binary")
+
+
+def read_picked(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Picked elements again; two that agree in their 32 bits count once, which only keeps a pair possible."""
+    whole = np.frombuffer(buf.tobytes(), dtype="<u4")
+    parts = [np.unique(whole[a // 4:b // 4]) for a, b in zip(offsets[:-1], offsets[1:])]
+    return np.concatenate(parts), np.array([len(p) for p in parts])
+
+
+def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: str = "text", forest: bool = True) -> DataFrame:
+    """``a, b``: links between classes; all of them, or a spanning forest of each group of blocks.
+
+    ``docs`` has ``rid`` and the text, ``classes`` is :func:`sets_of` of it (written)."""
+    one = classes.groupBy("class").agg(F.min("rid").alias("rid"), F.min("n_shingles").alias("n"))
+    sets, place = lambda b, o: shingle_sets(b, o, words), F.col("class") == F.col("node")
+    # a row key names one text, or rows that repeat with equal sets: a class keeps one of them
+    member = one.join(candidate_clusters(docs, words, percent, text), place).drop("node")
+    first = picked_sets(docs, words, text).join(member, "rid").dropDuplicates(["rid"])
+    possible = components(blocked_pairs(first, read_picked, lambda s, n, side: possible_pairs(s, n, side, percent), True))
+    member = one.join(possible, place).drop("node")
+    whole = docs.select("rid", F.col(text).alias("body")).join(member, "rid").dropDuplicates(["rid"])
+    return blocked_pairs(whole, sets, lambda s, n, side: linked_pairs(s, n, side, percent), forest)
+
+
 def join(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row: ``rid`` (row key), ``doc_id``, ``n_shingles``, ``class`` (fingerprint of its set, 0 for an
     empty one), ``component`` (a fingerprint too; null for an empty set) and ``component_id``, the least
