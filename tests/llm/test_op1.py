@@ -54,7 +54,7 @@ def corpus():
     return [(i * 3 % 1009, t) for i, t in enumerate(rows)]
 
 
-@pytest.mark.parametrize("words, percent, block", [(4, 85, 1 << 19), (5, 80, 700), (2, 90, 1 << 19)])
+@pytest.mark.parametrize("words, percent, block", [(4, 85, 1 << 20), (5, 80, 700)])
 def test_components_equal_brute_force(spark, words, percent, block, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_ELEMENTS", block)
     monkeypatch.setattr(op, "BLOCK_SETS", 12 if block < 1000 else 3072)

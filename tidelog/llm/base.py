@@ -58,7 +58,7 @@ def flat(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def groups(offsets: np.ndarray, limit: int = 1 << 22):
+def groups(offsets: np.ndarray, limit: int = 1 << 20):
     """Ranges ``[i, j)`` of consecutive texts of about ``limit`` bytes; a longer text stands alone."""
     i, n = 0, len(offsets) - 1
     while i < n:

@@ -86,7 +86,7 @@ def word_bounds(buf: np.ndarray, text_start: np.ndarray) -> tuple[np.ndarray, np
     return start, end, np.searchsorted(start, text_start)
 
 
-def word_prints(buf: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 1 << 22) -> np.ndarray:
+def word_prints(buf: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
     """64-bit fingerprint of every word ``buf[start:end]``, about ``limit`` bytes at a time."""
     out = np.zeros(len(start), dtype=np.uint64)
     i = 0
