@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import scratch_dir
+
 from .base import arrow_map, flat, groups
 from .rolling import BYTE_VALUES, Prefix, U, mix, winnow, word_bounds, word_prints
 
@@ -103,12 +105,13 @@ def anchor_rows(docs: DataFrame, symbols: Symbols, window: int, gram: int, rid:
 def shared_anchors(rows: DataFrame) -> DataFrame:
     """Rows whose anchor occurs twice or more, with ``uniform``: all its occurrences have one context.
 
-    The count is a partial aggregate and the join is the planner's, so an anchor with any share of all
-    rows is split by adaptive execution instead of meeting in one task.
+    The count is a partial aggregate.  Its result is written before the join, so that both sides of the
+    join are plain shuffles: adaptive execution can then split an anchor that has any share of all rows.
     """
     counted = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n"), F.min("context").alias("__lo"), F.max("context").alias("__hi"))
-    shared = counted.where("__n > 1").select("anchor", (F.col("__lo") == F.col("__hi")).alias("uniform"))
-    return rows.join(shared, "anchor")
+    path = scratch_dir(rows.sparkSession, "anchors")
+    counted.where("__n > 1").select("anchor", (F.col("__lo") == F.col("__hi")).alias("uniform")).write.parquet(path)
+    return rows.join(rows.sparkSession.read.parquet(path), "anchor")
 
 
 def merge_ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

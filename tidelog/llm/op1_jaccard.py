@@ -185,10 +185,12 @@ def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text"
 def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
     """``node, root``: classes that share a signature with another class, and their cluster."""
     rows = signature_rows(docs, words, percent, text)
-    often = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig")
-    path = scratch_dir(docs.sparkSession, "signatures")
-    rows.join(often, "sig").write.parquet(path)
-    shared = docs.sparkSession.read.parquet(path)
+    spark = docs.sparkSession
+    # written before the join: both its sides are plain shuffles, so a hot signature can be split
+    often, path = scratch_dir(spark, "often"), scratch_dir(spark, "signatures")
+    rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig").write.parquet(often)
+    rows.join(spark.read.parquet(often), "sig").write.parquet(path)
+    shared = spark.read.parquet(path)
     hubs = shared.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub")
     return components(shared.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct())
 
