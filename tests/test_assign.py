@@ -109,14 +109,8 @@ def test_every_registered_task_is_listed(spark):
 @settings(max_examples=6, deadline=None)
 @given(st.integers(2, 6), st.lists(st.integers(0, 5), min_size=3, max_size=30), st.integers(1, 40),
        st.randoms(use_true_random=False))
-def test_closed_form_with_coarse_rank_blocks(spark, n, held_tasks, m, rnd):
-    import tidelog.operators.assign as mod
-    old = mod.BLOCKS
-    mod.BLOCKS = 2                          # several segments per block: the range filter decides
-    try:
-        existing = [(1000 + i, t) for i, t in enumerate(held_tasks)]
-        new = rnd.sample(range(500), m)
-        got = _run(spark, [k for k, _ in existing] + new, n, existing=existing)
-    finally:
-        mod.BLOCKS = old
+def test_closed_form_with_uneven_tasks(spark, n, held_tasks, m, rnd):
+    existing = [(1000 + i, t) for i, t in enumerate(held_tasks)]
+    new = rnd.sample(range(500), m)
+    got = _run(spark, [k for k, _ in existing] + new, n, existing=existing)
     assert {k: got[k] for k in new} == _heap(existing, sorted(new), n)

@@ -107,5 +107,20 @@ def test_partitions_from_nested_layout_fall_back_to_footers(spark):
 def test_seek_rejects_two_starts_for_one_partition(spark):
     log = spark.createDataFrame([(0, 0), (0, 2)], "part INT, off BIGINT")
     starts = spark.createDataFrame([(0, 0), (0, 2)], "part INT, start_off BIGINT")
-    with pytest.raises(ValueError, match="one start offset per partition"):
-        scan.scan_from(log, starts, part_bound=8)
+    for bound in (8, None):
+        with pytest.raises(Exception, match="one start offset per partition"):
+            scan.scan_from(log, starts, part_bound=bound).collect()
+        with pytest.raises(Exception, match="one start offset per partition"):
+            scan.scan_between(log, starts, starts.withColumnRenamed("start_off", "stop_off"), part_bound=bound).collect()
+
+
+def test_cursors_of_one_subscription_only(spark):
+    cursors = spark.createDataFrame([("fast", 0, 90), ("slow", 0, 10), ("slow", 0, 7)], "subscription STRING, part INT, off BIGINT")
+    assert rows(scan.cursors_of(cursors, "slow")) == [(0, 10)]
+    assert rows(scan.cursors_of(cursors, "none")) == []
+
+
+def test_partitions_without_messages_are_discovered(spark):
+    known = spark.createDataFrame([(0,), (1,)], "part INT")
+    none = spark.createDataFrame([], "part INT, off BIGINT")
+    assert rows(scan.discover(scan.topic_partitions_of(spark, 4), known, none, "s")) == [("s", 2, 0), ("s", 3, 0)]

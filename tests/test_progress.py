@@ -1,4 +1,5 @@
 """Checkpoint commit rule, committed cursors, redelivery and the skew-safe ordered helpers."""
+import pytest
 
 import random
 
@@ -220,3 +221,10 @@ def test_chunked_running_max_equals_brute_force(spark, width, rnd):
             run[p] = v if run.get(p) is None else max(run[p], v)
     assert got_prev == want_prev
     assert got_max == want_max
+
+
+def test_checkpoint_added_twice_is_an_error(spark):
+    cks = spark.createDataFrame([(0, 1, 1, 1), (0, 1, 2, 2)], "reader INT, ck INT, added_at INT, seq INT")
+    notes = spark.createDataFrame([(0, 1, 5)], "reader INT, ck INT, notified_at INT")
+    with pytest.raises(Exception, match="checkpoint added twice"):
+        pg.effective_commits(cks, notes).collect()

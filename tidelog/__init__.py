@@ -5,7 +5,7 @@ A log is any DataFrame with the envelope columns of :data:`tidelog.schema.LOG_DD
 Sub-packages:
 
 * ``sources``   - building logs, scanning from / between cursors, partition discovery,
-                  the ``plog`` Python data source.
+                  seeks on written logs.
 * ``functions`` - Column factories: decoders, timestamp extractors, split ids, routing.
 * ``operators`` - DataFrame operators: positions, checkpoint commits, redelivery,
                   sticky assignment, sink envelopes, skew-safe ordered helpers.

@@ -7,16 +7,13 @@ is a closed form that runs as joins:
 * Task ``t`` holding ``c_t`` keys offers one slot per level ``c_t, c_t + 1, ...``.  Serving keys
   in arrival order from the heap equals taking slots in ``(level, task)`` order, so the key of
   rank ``r`` gets slot ``r``.
-* Sort the distinct counts ``L_0 < L_1 < ...``.  Between ``L_j`` and ``L_{j+1}`` the active tasks
-  are ``A_j = {t : c_t <= L_j}``; that segment holds ``(L_{j+1} - L_j) * |A_j|`` slots and starts
-  at slot ``cum_j`` (the last segment is unbounded).  Then ``task(r) = A_j[(r - cum_j) mod |A_j|]``.
-
-The segment table has at most ``num_tasks`` rows and the member table at most ``num_tasks**2``
-(built by ``explode``, no join); both are broadcast behind that bound.  Key ranks come from
-:func:`index_within` (range partitioned, no single-task window).  Ranks at or past the leveling
-slots ``S`` (the unbounded last segment, where every task is active) map to a task arithmetically;
-ranks below ``S`` find their segment by an equi-join on rank blocks (``r DIV B``) against a broadcast
-table of at most ``BLOCKS + num_tasks`` rows.  No key is compared with every segment.
+* With ``L`` the highest count, the slots below level ``L`` are the *leveling slots*: ``L - c_t`` of
+  task ``t``, ``S`` in all.  They are listed once, ranked by ``(level, task)`` and joined to the first
+  ``S`` keys by rank.  From rank ``S`` on every task takes part in turn: ``task = (r - S) mod tasks``.
+
+The slot table has ``S`` rows, which is at most the keys held times the tasks' imbalance; ranks of keys
+and slots come from :func:`index_within` (range partitioned, no single-task window), and ranks meet by an
+equi-join.
 """
 
 from __future__ import annotations
@@ -29,9 +26,6 @@ from pyspark.sql import functions as F
 from tidelog.operators.broadcast import broadcast_bounded
 from tidelog.operators.ordered import index_within
 
-MAX_TASKS = 100_000
-BLOCKS = 100_000        # rank blocks over the finite segments (bounds the block table)
-
 
 def upsert_splits(events: DataFrame, keys: Sequence[str] = ("part",), seq: str = "seq") -> DataFrame:
     """Latest version of every split wins.
@@ -45,8 +39,6 @@ def upsert_splits(events: DataFrame, keys: Sequence[str] = ("part",), seq: str =
 def _check_tasks(num_tasks: int) -> None:
     if num_tasks < 1:
         raise ValueError("parallelism must be at least one")
-    if num_tasks > MAX_TASKS:
-        raise ValueError(f"parallelism {num_tasks} above {MAX_TASKS}")
 
 
 def task_counts(spark, assigned: DataFrame, num_tasks: int) -> DataFrame:
@@ -57,23 +49,10 @@ def task_counts(spark, assigned: DataFrame, num_tasks: int) -> DataFrame:
             .select("task", F.coalesce("_c", F.lit(0)).cast("bigint").alias("c")))
 
 
-def slot_segments(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Segments ``seg, cum, next_cum, active`` and members ``seg, q, task`` of the slot order."""
-    lv = counts.groupBy("c").agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.orderBy("c")
-    seg = (lv.withColumn("seg", F.row_number().over(w))
-           .withColumn("active", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-           .withColumn("_len", (F.lead("c").over(w) - F.col("c")) * F.col("active"))
-           .withColumn("cum", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("next_cum", F.when(F.col("_len").isNotNull(), F.col("cum") + F.col("_len")))
-           .select("seg", F.col("c").alias("level"), "cum", "next_cum", "active"))
-    # task t is active from the segment of its own level (dense rank of c_t) to the last one
-    first = (counts.withColumn("_first", F.dense_rank().over(w))
-             .withColumn("_last", F.max("_first").over(Window.partitionBy())))
-    members = (first.select("task", F.explode(F.sequence("_first", "_last")).alias("seg"))
-               .withColumn("q", F.row_number().over(Window.partitionBy("seg").orderBy("task")) - 1)
-               .select(F.col("seg").cast("int").alias("seg"), F.col("q").cast("bigint").alias("q"), "task"))
-    return seg.withColumn("seg", F.col("seg").cast("int")), members
+def leveling_slots(counts: DataFrame, top: int) -> DataFrame:
+    """``_r, task``: the slots of all tasks below level ``top``, ranked by level, then task."""
+    slots = counts.where(F.col("c") < top).select("task", F.explode(F.sequence("c", F.lit(top - 1).cast("bigint"))).alias("level"))
+    return index_within(slots, [], ["level", "task"], out="_r", group_bound=0).select("_r", "task")
 
 
 def assign_least_loaded(keys: DataFrame, order_cols: Sequence[str], num_tasks: int,
@@ -88,37 +67,21 @@ def assign_least_loaded(keys: DataFrame, order_cols: Sequence[str], num_tasks: i
     _check_tasks(num_tasks)
     spark = keys.sparkSession
     if existing is None:
-        existing = spark.createDataFrame([], f"{key} BIGINT, task INT")
+        existing = keys.select(key, F.lit(None).cast("int").alias("task")).limit(0)
     held = existing.where(F.col("task").isNotNull()).select(key, F.col("task").cast("int").alias("task"))
     counts = task_counts(spark, held, num_tasks)
-    seg, members = slot_segments(counts)
     fresh = keys.join(held.select(key), key, "left_anti")
     ranked = index_within(fresh, [], list(order_cols), out="_r", group_bound=0)
-    # Segment table: at most num_tasks rows (checked by _check_tasks), read on the driver to get the
-    # number of leveling slots S before the unbounded last segment.
-    segs = seg.select("seg", "cum", "next_cum", "active").collect()
-    last = max(segs, key=lambda r: r["seg"]) if segs else None
-    total_finite = int(last["cum"]) if last is not None else 0
-    # ranks >= S: every task is active, slots cycle over task ids
-    tail = (ranked.where(F.col("_r") >= F.lit(total_finite))
-            .select(key, F.pmod(F.col("_r") - F.lit(total_finite), F.lit(num_tasks)).cast("int").alias("task")))
-    placed = tail
-    if total_finite > 0:
-        # ranks < S: equi-join on rank blocks of width B against the blocks each finite segment
-        # covers (<= S / B + segments rows, broadcast), then keep the one segment holding the rank
-        width = max(1, -(-total_finite // BLOCKS))
-        blocks = (seg.where(F.col("next_cum").isNotNull())
-                  .select("seg", "cum", "next_cum", "active",
-                          F.explode(F.sequence(F.expr(f"cum div {width}"),
-                                               F.expr(f"(next_cum - 1) div {width}"))).alias("_b")))
-        head = (ranked.where(F.col("_r") < F.lit(total_finite))
-                .withColumn("_b", F.expr(f"_r div {width}"))
-                .join(broadcast_bounded(blocks, BLOCKS + num_tasks), "_b")
-                .where((F.col("_r") >= F.col("cum")) & (F.col("_r") < F.col("next_cum")))
-                .withColumn("q", F.pmod(F.col("_r") - F.col("cum"), F.col("active")))
-                .join(broadcast_bounded(members, num_tasks * num_tasks), ["seg", "q"])
-                .select(key, "task"))
-        placed = tail.unionByName(head)
+    low, high, sum_held = counts.agg(F.min("c"), F.max("c"), F.sum("c")).first()
+    total = high * num_tasks - sum_held
+    # keys after the leveling slots: every task takes part in turn
+    if high == low:
+        placed = ranked.select(key, F.pmod(F.col("_r"), F.lit(num_tasks)).cast("int").alias("task"))
+    else:
+        slots = leveling_slots(counts, high)
+        placed = (ranked.where(F.col("_r") >= F.lit(total))
+                  .select(key, F.pmod(F.col("_r") - F.lit(total), F.lit(num_tasks)).cast("int").alias("task"))
+                  .unionByName(ranked.where(F.col("_r") < F.lit(total)).join(slots, "_r").select(key, "task")))
     if registered is not None:
         reg = [int(t) for t in registered]
         placed = placed.select(key, F.when(F.col("task").isin(reg), F.col("task")).cast("int").alias("task"))
@@ -142,8 +105,5 @@ def task_load(assignments: DataFrame) -> DataFrame:
 def return_tasks(assignments: DataFrame, returned_tasks: Sequence[int], key: str = "key") -> DataFrame:
     """Keys of failed tasks go back to the pool: their task is cleared (a newer re-add)."""
     ret = [int(t) for t in returned_tasks]
-    events = (assignments.select(key, F.col("task").cast("int").alias("task"), F.lit(0).alias("seq"))
-              .unionByName(assignments.where(F.col("task").isin(ret))
-                           .select(key, F.lit(None).cast("int").alias("task"), F.lit(1).alias("seq"))))
-    latest = events.groupBy(key).agg(F.max_by("task", "seq").alias("task"))
-    return latest
+    task = F.col("task").cast("int")
+    return assignments.select(key, F.when(~task.isin(ret), task).alias("task"))

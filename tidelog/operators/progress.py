@@ -118,7 +118,10 @@ def effective_commits(checkpoints: DataFrame, notifications: DataFrame,
     and an add at the same instant counts as before the notification.  ``prior``: ``reader,
     max_seq`` completed before these notifications (incremental use, one row per reader).
     """
-    cks = checkpoints.select("reader", "ck", "added_at", "seq")
+    # an id added twice would turn one notification into two rows: reading it fails
+    cks = checkpoints.groupBy("reader", "ck").agg(F.min("added_at").alias("added_at"), F.min("seq").alias("seq"), F.count(F.lit(1)).alias("_n"))
+    twice = F.raise_error(F.concat(F.lit("checkpoint added twice: "), F.col("ck").cast("string")))
+    cks = cks.withColumn("seq", F.when(F.col("_n") > 1, twice).otherwise(F.col("seq"))).drop("_n")
     j = (notifications.select("reader", "ck", "notified_at")
          .join(cks, ["reader", "ck"], "left")
          .withColumn("_seq", F.when(F.col("added_at") <= F.col("notified_at"), F.col("seq"))))

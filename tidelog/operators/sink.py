@@ -124,19 +124,17 @@ def publish_to_log(env: DataFrame, options, path: str, order_cols: Sequence[str]
     from the Parquet footers) and return the per-partition byte accounting of what was written."""
     from tidelog.sources.logs import write_log
 
-    from pyspark.errors import AnalysisException
-
     from tidelog.operators.progress import positions_from_footers
+    from tidelog.sources.paths import read_if_there
 
     spark = env.sparkSession
     numbered = publish(env, order_cols, publish_ms, num_partitions=options.num_partitions)
-    try:
+    heads = []
+    if read_if_there(spark, path) is not None:
         # next offset per partition, from the Parquet footers of what is there (no rows read);
         # one row per partition, so it is collected and broadcast
         heads = [(int(r["part"]), int(r["position"]) + 1)
                  for r in positions_from_footers(spark, path).collect()]
-    except AnalysisException:  # nothing written there yet
-        heads = []
     if heads:
         h = spark.createDataFrame(heads, "part INT, _head BIGINT")
         numbered = (numbered.join(F.broadcast(h), "part", "left")

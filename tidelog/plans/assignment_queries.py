@@ -91,11 +91,22 @@ SELECT key, task FROM back WHERE task IS NOT NULL UNION ALL SELECT key, task FRO
 def assign_after_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Task 1 fails: its keys return to the pool (re-added, task cleared) and are reassigned."""
     keys = _keys(spark, sf_dir)
-    incr = asg.assign_least_loaded(keys, ["key"], TASKS, existing=_existing(keys))
-    back = asg.return_tasks(incr, RETURNED)
+    path = scratch_dir(spark, "assignments")
+    asg.assign_least_loaded(keys, ["key"], TASKS, existing=_existing(keys)).write.parquet(path)
+    back = asg.return_tasks(spark.read.parquet(path), RETURNED)
     return asg.assign_least_loaded(back.select("key"), ["key"], TASKS, existing=back)
 
 
+@register("assign_string_keys", f"""WITH {_slots_sql("SELECT c_name AS key, CAST(c_custkey % 4 AS INTEGER) AS task FROM customer WHERE c_custkey % 3 = 0",
+                                                     "SELECT c_name AS key FROM customer WHERE c_custkey % 3 <> 0")}
+SELECT c_name AS key, CAST(c_custkey % 4 AS INTEGER) AS task FROM customer WHERE c_custkey % 3 = 0 UNION ALL SELECT key, task FROM placed""")
+def assign_string_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental round with string keys (customer names)."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("key"), "c_custkey")
+    held = c.where(F.col("c_custkey") % 3 == 0).select("key", (F.col("c_custkey") % 4).cast("int").alias("task"))
+    return asg.assign_least_loaded(c.select("key"), ["key"], TASKS, existing=held)
+
+
 @register("task_load", f"{INCR_SQL} SELECT task, count(*) AS n FROM incr GROUP BY task")
 def task_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys per task after the incremental round."""

@@ -411,3 +411,32 @@ def li_checkpoint_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = lineitem_log(spark, sf_dir)
     ck = F.floor(_day(epoch=LI_EPOCH) / LI_CK_DAYS)
     return pg.checkpoint_snapshots(log, ck, READERS)
+
+
+@register("discover_empty_tail", f"""{W} SELECT CAST(range AS INTEGER) AS part, 0 AS start_off
+FROM range(0, (SELECT max(part) + 4 FROM log)) WHERE range NOT IN (SELECT DISTINCT part FROM log)""")
+def discover_empty_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic has three partitions more than ever got a message; they are discovered too."""
+    log = events_log(spark, sf_dir)
+    known = log.select("part").distinct()
+    count = log.agg(F.max("part") + 4).first()[0]
+    none = spark.createDataFrame([], "part INT, off BIGINT")
+    found = scan.discover(scan.topic_partitions_of(spark, count), known, none, "subscriptions/events-reader")
+    return found.select("part", F.col("start_off").cast("int").alias("start_off"))
+
+
+@register("cursors_two_subscriptions", f"""{W},
+fast AS (SELECT part, max(off) AS start_off FROM log GROUP BY part),
+slow AS (SELECT part, max(off) AS start_off FROM log WHERE publish_time < TIMESTAMP '{CURSOR_AS_OF}' GROUP BY part)
+SELECT 'fast' AS subscription, part, start_off FROM fast
+UNION ALL SELECT 'slow', p.part, coalesce(s.start_off, 0) FROM (SELECT DISTINCT part FROM log) p LEFT JOIN slow s USING (part)""")
+def cursors_two_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two subscriptions commit to one cursor table; each starts from its own cursors."""
+    log = events_log(spark, sf_dir)
+    parts = scan.topic_partitions(log)
+    ahead = log.groupBy("part").agg(F.max("off").alias("off"))
+    cursors = ahead.withColumn("subscription", F.lit("fast")).unionByName(
+        scan.cursors_as_of(log, CURSOR_AS_OF).withColumn("subscription", F.lit("slow")))
+    starts = [scan.start_offsets(parts, scan.cursors_of(cursors, s)).select(F.lit(s).alias("subscription"), "part", "start_off")
+              for s in ("fast", "slow")]
+    return starts[0].unionByName(starts[1])

@@ -18,10 +18,10 @@ from tidelog.plans.params import CURSOR_AS_OF
 from tidelog.plans.registry import REGISTRY, register
 from tidelog.session import scratch_dir
 from tidelog.sources import scan
-from tidelog.sources.logs import EVENTS_PARTITIONS, events_log, events_log_from
+from tidelog.options import FlowControl
+from tidelog.sources.logs import EVENTS_PARTITIONS, events_log, events_log_from, read_log_between, write_log
 from tidelog.streaming import stream as st
-
-REDELIVERY_DELAY = "7 days"
+from tidelog.streaming.dedup import start_position_filter
 
 
 def _sql(name: str) -> str:
@@ -34,8 +34,7 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_scan", _sql("scan_from_cursor"))
 def stream_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming scan from committed cursors: the bounded cursor table becomes a per-partition seek
-    predicate on the stream (without a bound it would be a stream-static join)."""
+    """Streaming scan from committed cursors."""
     starts = lq._starts(events_log(spark, sf_dir))
     s = scan.scan_from(_events_stream(spark, sf_dir), starts, part_bound=EVENTS_PARTITIONS).select("part", "off")
     out = scratch_dir(spark, "stream-scan")
@@ -75,10 +74,11 @@ def stream_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_restart", f"{lq.W} SELECT part, off FROM log")
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs on one checkpoint: data published before and after a cut; each row once."""
+    """Two runs on one checkpoint: data published before a cut, then all other data (rows without a
+    publish time included); each row once."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     inbox = scratch_dir(spark, "stream-restart-inbox")
-    cut = F.col("ts") < F.lit(CURSOR_AS_OF).cast("timestamp_ntz")
+    cut = F.coalesce(F.col("ts") < F.lit(CURSOR_AS_OF).cast("timestamp_ntz"), F.lit(False))
     ck, out = scratch_dir(spark, "stream-restart-ck"), scratch_dir(spark, "stream-restart-out")
 
     def run() -> None:
@@ -92,62 +92,64 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("part", "off")
 
 
+def _filtered(spark: SparkSession, deliveries: list[DataFrame], name: str) -> DataFrame:
+    """What the redelivery filter passes on when ``deliveries`` land one after the other, each read by a
+    run of its own on the same checkpoint."""
+    inbox, out, state = scratch_dir(spark, f"{name}-inbox"), scratch_dir(spark, f"{name}-out"), scratch_dir(spark, f"{name}-state")
+    ck = scratch_dir(spark, f"{name}-ck")
+    for i, rows in enumerate(deliveries):
+        rows.write.parquet(f"{inbox}/{i}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{inbox}/*")
+        q = start_position_filter(stream, out, state, ck)
+        q.awaitTermination()
+        st._raise(q)
+    return spark.read.parquet(out).select("part", "off")
+
+
 @register("stream_dedup", _sql("dedup_redelivered"))
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run up to a crash and a resumed run (re-reading from committed cursors) arrive as
-    one stream, one run per trigger; duplicates are dropped within a 7-day watermark on publish time."""
+    """A first run up to a crash and a resumed run (re-reading from committed cursors) arrive one after
+    the other; rows at or below their partition's position are dropped."""
     log, consumed, committed = lq._crash(spark, sf_dir)
-    inbox = scratch_dir(spark, "stream-dedup-inbox")
-    consumed.coalesce(1).write.parquet(f"{inbox}/run1")
-    pg.resume_scan(log, committed, inclusive=True, part_bound=EVENTS_PARTITIONS).coalesce(1).write.parquet(f"{inbox}/run2")
-    s = (spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/run*")
-         .transform(lambda d: st.to_event_time(d, "publish_time"))
-         .withWatermark("publish_time", REDELIVERY_DELAY)
-         .dropDuplicatesWithinWatermark(["part", "off"])
-         .select("part", "off"))
-    out = scratch_dir(spark, "stream-dedup-out")
-    st.run_to_files(s, out, scratch_dir(spark, "stream-dedup-ck"))
-    return spark.read.parquet(out).select("part", "off")
+    second = pg.resume_scan(log, committed, inclusive=True, part_bound=EVENTS_PARTITIONS)
+    return _filtered(spark, [consumed, second], "stream-dedup")
+
 
+@register("stream_dedup_lagging", f"{lq.W} SELECT DISTINCT part, off FROM log")
+def stream_dedup_lagging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four deliveries with redeliveries between them; one partition arrives only in the last one, older
+    than everything delivered before.  Every message comes out once."""
+    log = events_log(spark, sf_dir)
+    consumed, rest = lq._crash(spark, sf_dir)[1], log.where("part <> 1")
+    early = consumed.where("part <> 1")
+    return _filtered(spark, [early, early, rest, log], "stream-lagging")
 
 
-# ---------------------------------------------------------------- the plog data source
+# ------------------------------------------------- a written log, read through the file source
 
-def _plog_setup(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """The events log written as a log folder, and a cursor folder as of the cursor date."""
-    from tidelog.sources.logs import write_log
+def _written_log(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The events log written as a log folder, and its start offsets."""
     log = events_log(spark, sf_dir)
-    path, cursors = scratch_dir(spark, "plog-log"), scratch_dir(spark, "plog-cursors")
+    path = scratch_dir(spark, "written-log")
     write_log(log, path)
-    scan.cursors_as_of(log, CURSOR_AS_OF).select("part", F.col("off").alias("position")).write.parquet(cursors)
-    return path, cursors
+    return path, lq._starts(log)
 
 
 @register("plog_scan", _sql("scan_from_cursor"))
 def plog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batch read through the ``plog`` source from committed cursors (inclusive seek)."""
-    from tidelog.sources.plog import register as reg
-    reg(spark)
-    path, cursors = _plog_setup(spark, sf_dir)
-    return (spark.read.format("plog").option("path", path).option("subscription", "subscriptions/events-reader")
-            .option("cursors", cursors).load().select("part", "off"))
+    """Batch seek on a written log: every band of start offsets prunes its own partition folders and row
+    groups."""
+    path, starts = _written_log(spark, sf_dir)
+    return read_log_between(spark, path, starts).select("part", "off")
 
 
 @register("plog_stream", _sql("scan_from_cursor"))
 def plog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Micro-batch read through ``plog`` with a message cap per trigger; cursors committed per batch."""
-    from tidelog.sources.plog import register as reg
-    reg(spark)
-    path, cursors = _plog_setup(spark, sf_dir)
-    s = (spark.readStream.format("plog").option("path", path).option("subscription", "subscriptions/events-reader")
-         .option("cursors", cursors).option("maxMessagesPerTrigger", 2000).load().select("part", "off"))
-    out, ck = scratch_dir(spark, "plog-stream-out"), scratch_dir(spark, "plog-stream-ck")
-    q = (s.writeStream.format("parquet").option("checkpointLocation", ck).start(out))
-    try:
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    st._raise(q)
+    """The written log as a file-source stream from the committed cursors, a byte cap for each trigger."""
+    path, starts = _written_log(spark, sf_dir)
+    stream = scan.scan_from(st.log_stream(spark, path, FlowControl(1 << 20, 1 << 20)), starts).select("part", "off")
+    out = scratch_dir(spark, "plog-stream-out")
+    st.run_to_files(stream, out, scratch_dir(spark, "plog-stream-ck"))
     return spark.read.parquet(out).select("part", "off")
 
 

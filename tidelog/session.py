@@ -24,7 +24,6 @@ _DEFAULTS = {
     # checkpointed ranges (index_within) are deleted once nothing references them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.checkpoint.compress": "true",
-    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 
@@ -82,8 +81,8 @@ _FALLBACK_ROOTS: dict[str, str] = {}
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and is read as is.  Only when it is unset (local
-    tests) the SparkContext's checkpoint folder is used, or a folder under the system temp dir is
+    On a cluster this is set by the deployment and is read as is; without it a cluster job fails here.
+    Only on a local master (tests) the SparkContext's checkpoint folder is used, or a folder under the system temp dir is
     taken once per application and registered with ``setCheckpointDir``.
     """
     sc = spark.sparkContext
@@ -91,6 +90,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = _FALLBACK_ROOTS.get(sc.applicationId) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidelog-ckpt-")
         _FALLBACK_ROOTS[sc.applicationId] = root
     if sc.getCheckpointDir() is None:
@@ -98,33 +99,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``tidelog`` importable in Python workers (needed by the ``plog`` data source and any
-    Python UDF built from this package): zip the package once into the shared checkpoint folder
-    and add it with ``addPyFile``."""
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    import zipfile
-
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = scratch_dir(spark, "pyfiles")
-    os.makedirs(target, exist_ok=True)
-    zpath = os.path.join(target, "tidelog.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
-    _SHIPPED.add(app)
-
-
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)

@@ -1 +1 @@
-"""Log sources: building logs from tables, scans, discovery, the ``plog`` data source."""
+"""Log sources: building logs from tables, scans, discovery, seeks on written logs."""

@@ -80,3 +80,41 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Read a log folder written by :func:`write_log` (``part`` comes from the directory names)."""
     df = spark.read.schema(LOG_SCHEMA).parquet(path)
     return df.select([f.name for f in LOG_SCHEMA.fields])
+
+
+#: Bands of start offsets in one seek, and the most partitions whose start rows are read to form them.
+SEEK_BANDS = 16
+SEEK_ROWS = 100_000
+
+
+def seek_bands(starts: DataFrame) -> list[tuple[int, list[int]]]:
+    """``(least start, partitions)`` for up to ``SEEK_BANDS`` groups of partitions with near start offsets.
+    One row per partition is read, ``SEEK_ROWS`` at most; a topic with more partitions is one band."""
+    rows = starts.select("part", "start_off").limit(SEEK_ROWS + 1).collect()
+    if len(rows) > SEEK_ROWS:
+        return []
+    rows = sorted((int(r["start_off"]), int(r["part"])) for r in rows)
+    step = max(1, -(-len(rows) // SEEK_BANDS))
+    return [(rows[i][0], [p for _, p in rows[i:i + step]]) for i in range(0, len(rows), step)]
+
+
+def read_log_between(spark: SparkSession, path: str, starts: DataFrame, stops: DataFrame | None = None,
+                     inclusive: bool = True) -> DataFrame:
+    """Rows of a written log from each partition's start offset on (and before its stop offset).
+
+    One predicate over all partitions could only push the least start, and a single partition at 0 would
+    switch off row-group skipping for all.  So partitions with near starts are read together: every band
+    prunes its own ``part=K`` folders and pushes its own bound on ``off`` into the Parquet scan; the exact
+    start and stop of each partition are applied by the join of :func:`scan_from` / :func:`scan_between`."""
+    from tidelog.sources.scan import scan_between, scan_from
+
+    log = read_log(spark, path)
+    bands = seek_bands(starts)
+    if bands:
+        pieces = [log.where(F.col("part").isin(parts) & (F.col("off") >= least)) for least, parts in bands]
+        log = pieces[0]
+        for piece in pieces[1:]:
+            log = log.unionByName(piece)
+    if stops is None:
+        return scan_from(log, starts, inclusive=inclusive)
+    return scan_between(log, starts, stops)

@@ -1,14 +1,12 @@
 """Scans of a log relative to cursors, partition discovery and restore checks.
 
-Cursors and splits are small (one row per partition); the log is big.  When the caller gives a
-partition-count bound, the cursor rows (checked against the bound) become a seek predicate that the
-Parquet scan uses for partition pruning and row-group skipping; without a bound the log is joined
-to them and AQE decides the join strategy from the measured size.
+Cursors and splits are small (one row per partition); the log is big and is joined to them by
+partition.  On a written log the seek also prunes: see ``tidelog.sources.logs.read_log_between``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.broadcast import broadcast_bounded
@@ -27,24 +25,25 @@ def topic_partitions(log: DataFrame) -> DataFrame:
 
 
 def topic_partitions_in_folder(spark, path: str) -> DataFrame:
-    """``part`` for every partition ``0 .. n-1`` of a log folder laid out as ``path/part=K/``, where
-    ``n - 1`` is the highest ``K`` listed: one directory listing (one entry per partition), no data
-    read.  A layout with ``part=K`` deeper down (the streaming sink's ``batch=<id>/part=K``) is
-    answered from the file footers instead."""
-    import pyarrow.fs as pafs
-
-    from tidelog.sources.plog import _fs
-
-    fs, base = _fs(path)
-    top = [i.base_name for i in fs.get_file_info(pafs.FileSelector(base, recursive=False))
-           if i.type == pafs.FileType.Directory]
-    parts = [int(n.split("=", 1)[1]) for n in top if n.startswith("part=")]
-    if parts:
-        return spark.range(max(parts) + 1).select(F.col("id").cast("int").alias("part"))
+    """``part`` for every partition ``0 .. n-1`` of a written log, where ``n - 1`` is the highest with a
+    message: from the file footers, no rows read."""
     from tidelog.operators.progress import positions_from_footers
+
     return topic_partitions(positions_from_footers(spark, path).select("part"))
 
 
+def topic_partitions_of(spark, count: int) -> DataFrame:
+    """``part`` for every partition ``0 .. count-1`` of a topic whose partition count is known.  Unlike the
+    forms that look at the data, this one has the partitions that never got a message."""
+    return spark.range(count).select(F.col("id").cast("int").alias("part"))
+
+
+def cursors_of(cursors: DataFrame, subscription: str) -> DataFrame:
+    """``part, off`` of one subscription's rows of a cursor table ``subscription, part, off``: the largest
+    committed offset of each partition.  Cursors of other subscriptions never count."""
+    return cursors.where(F.col("subscription") == subscription).groupBy("part").agg(F.max("off").alias("off"))
+
+
 def cursors_as_of(log: DataFrame, before: str) -> DataFrame:
     """Committed cursor per partition = last offset published before ``before`` (``part, off``)."""
     return (log.where(F.col("publish_time") < F.lit(before).cast("timestamp_ntz"))
@@ -71,54 +70,24 @@ def discover(partitions: DataFrame, known: DataFrame, cursors: DataFrame, subscr
             .select(F.lit(subscription).alias("subscription"), "part", "start_off"))
 
 
-SEEK_LIMIT = 4096
-
-
-def _balanced_or(preds: list) -> Column:
-    while len(preds) > 1:
-        preds = [preds[i] | preds[i + 1] if i + 1 < len(preds) else preds[i] for i in range(0, len(preds), 2)]
-    return preds[0]
-
-
-def _bounded_rows(df: DataFrame, bound: int | None) -> list | None:
-    """The rows of a table proven to hold at most ``bound`` rows (checked), else None."""
-    if bound is None or bound > SEEK_LIMIT:
-        return None
-    got = df.limit(bound + 1).collect()
-    return got if len(got) <= bound else None
-
-
-def seek_predicate(ranges: list, inclusive: bool = True) -> Column:
-    """``OR_p (part = p AND off >= start_p [AND off < stop_p])`` - a per-partition seek that
-    reaches the Parquet scan (partition pruning on ``part``, row-group skipping on ``off``).
-    One range per partition: a partition listed twice is an error."""
-    parts = [r[0] for r in ranges]
-    if len(parts) != len(set(parts)):
-        dup = sorted({p for p in parts if parts.count(p) > 1})
-        raise ValueError(f"one start offset per partition expected; repeated: {dup}")
-    if not ranges:
-        return F.lit(False)
-    preds = []
-    for part, start, stop in ranges:
-        c = F.col("part") == F.lit(part)
-        c = c & ((F.col("off") >= F.lit(start)) if inclusive else (F.col("off") > F.lit(start)))
-        if stop is not None:
-            c = c & (F.col("off") < F.lit(stop))
-        preds.append(c)
-    return _balanced_or(preds)
+def one_per_partition(ranges: DataFrame) -> DataFrame:
+    """The table itself, but reading it fails if a partition is listed twice: a scan that silently joined
+    both rows would return messages twice."""
+    others = [c for c in ranges.columns if c != "part"]
+    one = ranges.groupBy("part").agg(*(F.first(c).alias(c) for c in others), F.count(F.lit(1)).alias("_n"))
+    fail = F.raise_error(F.concat(F.lit("one start offset per partition expected; repeated: "), F.col("part")))
+    return one.withColumn("_n", F.when(F.col("_n") > 1, fail).otherwise(F.col("_n"))).where("_n = 1").drop("_n")
 
 
 def scan_from(log: DataFrame, starts: DataFrame, part_bound: int | None = None,
               inclusive: bool = True) -> DataFrame:
     """Rows at or after each partition's start offset (``inclusive=False``: strictly after).
 
-    Partitions without a start row are not read (they have no split).  With a partition bound the
-    starts (one row per partition, checked) become a seek predicate on the scan; otherwise the log
-    is joined to them."""
-    got = _bounded_rows(starts.select("part", "start_off"), part_bound)
-    if got is not None:
-        return log.where(seek_predicate([(r["part"], r["start_off"], None) for r in got], inclusive))
-    s = starts.select("part", F.col("start_off").alias("_start"))
+    Partitions without a start row are not read (they have no split); a partition listed twice is an
+    error.  ``log`` may be a stream.  The starts have one row per partition and are joined by equality;
+    with a partition bound they are broadcast.  On a written log :func:`tidelog.sources.logs.read_log_between`
+    reads less."""
+    s = one_per_partition(starts.select("part", F.col("start_off").alias("_start")))
     cond = F.col("off") >= F.col("_start") if inclusive else F.col("off") > F.col("_start")
     return log.join(broadcast_bounded(s, part_bound), "part").where(cond).drop("_start")
 
@@ -126,11 +95,8 @@ def scan_from(log: DataFrame, starts: DataFrame, part_bound: int | None = None,
 def scan_between(log: DataFrame, starts: DataFrame, stops: DataFrame,
                  part_bound: int | None = None) -> DataFrame:
     """Rows with ``start_off <= off < stop_off``; a partition without a stop is read to the end."""
-    b = (starts.select("part", F.col("start_off").alias("_start"))
-         .join(stops.select("part", F.col("stop_off").alias("_stop")), "part", "left"))
-    got = _bounded_rows(b, part_bound)
-    if got is not None:
-        return log.where(seek_predicate([(r["part"], r["_start"], r["_stop"]) for r in got]))
+    b = (one_per_partition(starts.select("part", F.col("start_off").alias("_start")))
+         .join(one_per_partition(stops.select("part", F.col("stop_off").alias("_stop"))), "part", "left"))
     return (log.join(broadcast_bounded(b, part_bound), "part")
             .where((F.col("off") >= F.col("_start")) & (F.col("_stop").isNull() | (F.col("off") < F.col("_stop"))))
             .drop("_start", "_stop"))

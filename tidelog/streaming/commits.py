@@ -17,17 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.operators.progress import effective_commits
+from tidelog.sources.paths import read_if_there
 
 
 def _state_before(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        st = spark.read.parquet(state_dir)
-        st.schema
-    except AnalysisException:
-        return None
-    return st.where(F.col("batch") < batch_id).groupBy("reader").agg(F.max("max_seq").alias("max_seq"))
+    """``reader, max_seq`` after the batches before: every batch writes the state of all readers."""
+    return read_if_there(spark, os.path.join(state_dir, f"batch={batch_id - 1}")) if batch_id else None
 
 
 def commit_tracker(checkpoints_path: str, out_dir: str, state_dir: str):

@@ -20,18 +20,14 @@ from tidelog.operators import sink as snk
 from tidelog.operators.broadcast import broadcast_bounded
 from tidelog.operators.progress import positions_from_footers
 from tidelog.schema import LOG_SCHEMA
+from tidelog.sources.paths import read_if_there
 
 
 def _heads_before(spark, path: str, batch_id: int) -> DataFrame | None:
-    heads_dir = os.path.join(path, "_heads")
-    from pyspark.errors import AnalysisException
-
-    try:
-        h = spark.read.parquet(heads_dir)
-        h.schema
-    except AnalysisException:  # no batch written yet
-        return None
-    return (h.where(F.col("batch") < batch_id).groupBy("part").agg(F.max("head").alias("_head")))
+    """Next offset per partition after the batches before ``batch_id``: every batch writes the heads of
+    all partitions so far, so only the batch before is read."""
+    h = read_if_there(spark, os.path.join(path, "_heads", f"batch={batch_id - 1}")) if batch_id else None
+    return None if h is None else h.select("part", F.col("head").alias("_head"))
 
 
 def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key: Column | None = None,
@@ -54,8 +50,11 @@ def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key:
         (numbered.repartitionByRange("part", "off").sortWithinPartitions("part", "off")
          .write.mode("overwrite").partitionBy("part").parquet(out))
         # heads of this batch from the footers of the files just written (no rows read)
-        (positions_from_footers(spark, out).select("part", (F.col("position") + 1).alias("head"))
-         .write.mode("overwrite").parquet(os.path.join(path, "_heads", f"batch={batch_id}")))
+        now = positions_from_footers(spark, out).select("part", (F.col("position") + 1).alias("head"))
+        if heads is not None:
+            now = (now.unionByName(heads.select("part", F.col("_head").alias("head")))
+                   .groupBy("part").agg(F.max("head").alias("head")))
+        now.write.mode("overwrite").parquet(os.path.join(path, "_heads", f"batch={batch_id}"))
 
     return write
 
