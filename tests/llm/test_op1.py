@@ -58,6 +58,7 @@ def corpus():
 def test_components_equal_brute_force(spark, words, percent, block, monkeypatch):
     monkeypatch.setattr(op, "BLOCK_ELEMENTS", block)
     monkeypatch.setattr(op, "BLOCK_SETS", 12 if block < 1000 else 3072)
+    monkeypatch.setattr(op, "FEW", 3 if block < 1000 else 16)
     rows = corpus() + [(None, "null id alone"), (None, "same text here now"), (5, "row row twice"), (5, "row row twice")]
     df = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, class string").repartition(6)
     want, groups = brute(rows, words, percent)
@@ -83,8 +84,9 @@ def test_similar_sets_share_a_signature():
             both = len(np.intersect1d(a, b))
             if not len(b) or 100 * both < percent * (len(a) + len(b) - both):
                 continue
-            owner, sig = op.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), bands)
-            assert set(sig[owner == 0]) & set(sig[owner == 1]), (len(a), len(b), both)
+            owner, sig, need = op.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]), bands)
+            shared = set(sig[owner == 0]) & set(sig[owner == 1])
+            assert len(shared) >= need[[x in shared for x in sig]].min(initial=10**6) if shared else False, (len(a), len(b), both)
 
 
 def test_all_links_and_forest(spark):

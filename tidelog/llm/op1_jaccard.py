@@ -15,9 +15,10 @@ domain is partitioned by hash into more than ``k`` parts, so similar sets agree
 
 No pair of similar sets is missed.
 
-**Candidates.**  Signatures that occur once are dropped (partial count, then the planner's join); each
-other one links its classes to the least, a star instead of all pairs; the stars' connected components
-are the candidate clusters.
+**Candidates.**  Signatures that occur once are dropped (partial count, then the planner's join).  A rare
+one gives its few pairs, of which those count that share as many signatures as similar sets must; a
+frequent one links its classes to the least, a star instead of all pairs.  The connected components of
+both are the candidate clusters.
 
 **Verification.**  A cluster is cut into blocks of bounded size; every pair of blocks is one group, in
 which all intersections are counted exactly.  A group returns a spanning forest of its links (or all
@@ -54,6 +55,8 @@ PERCENT = 80
 #: Size bands grow by this factor (it must exceed 100 / percent).
 BAND = 1.6
 PAIRED = 7
+#: Rows of a signature up to which its pairs are listed.
+FEW = 16
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 20
 BLOCK_SETS = 3072
@@ -109,12 +112,13 @@ class Bands:
 
 
 def slack(k: np.ndarray) -> np.ndarray:
-    return np.maximum(4, -(-12 * k // 100))
+    return np.maximum(6, -(-15 * k // 100))
 
 
-def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all sets: (index of the set, signature)."""
-    owners, out = [], []
+def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of all sets: (index of the set, signature, least number that similar sets share).  Two
+    similar sets share at least the smaller of their two numbers."""
+    owners, out, needs = [], [], []
     starts = np.cumsum(sizes) - sizes
     spread = mix(elements ^ U(0xC2B2AE3D27D4EB4F))
     for sets, instance in bands.memberships(sizes):
@@ -138,6 +142,7 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[n
         emit = single[slot_set] & (filled | (empty >= parts - k)[slot_set])
         owners.append(sets[slot_set[emit]])
         out.append(value[emit])
+        needs.append(np.where(empty < parts - k, parts - k - empty, parts - k)[slot_set[emit]])
         for differ in np.unique(k[~single]):
             chosen = np.flatnonzero(~single & (k == differ))
             grid = value[base[chosen][:, None] + np.arange(differ + 2)]
@@ -145,9 +150,10 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[n
                 for j in range(i + 1, differ + 2):
                     owners.append(sets[chosen])
                     out.append(mix(grid[:, i] * U(5) ^ grid[:, j]))
+                    needs.append(np.ones(len(chosen), dtype=np.int64))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(owners), np.concatenate(out)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(owners), np.concatenate(out), np.concatenate(needs)
 
 
 def sets_of(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
@@ -164,7 +170,8 @@ def sets_of(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
-    """``sig, class`` rows; copies inside one batch of rows give theirs once."""
+    """``sig, class, info`` rows (``info``: set size * 256 + least number of shared signatures, 255 at
+    most); copies inside one batch of rows give theirs once."""
     bands = Bands(percent)
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -176,23 +183,37 @@ def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text"
             keep = np.zeros(len(keys), dtype=bool)
             keep[once] = True
             elements, sizes, keys = elements[np.repeat(keep, sizes)], sizes[keep], keys[keep]
-            owner, sig = signatures(elements, sizes, bands)
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(keys[owner])], names=["sig", "class"])
+            owner, sig, need = signatures(elements, sizes, bands)
+            info = sizes[owner] * 256 + np.minimum(need, 255)
+            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(keys[owner]), pa.array(info)], names=["sig", "class", "info"])
 
-    return arrow_map(docs.select(text), run, "sig bigint, class bigint")
+    return arrow_map(docs.select(text), run, "sig bigint, class bigint, info bigint")
 
 
 def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
-    """``node, root``: classes that share a signature with another class, and their cluster."""
-    rows = signature_rows(docs, words, percent, text)
+    """``node, root``: classes that may be similar to another class, and their cluster.
+
+    A signature of up to ``FEW`` rows gives its pairs of near sizes, and only pairs that share as many
+    signatures as similar sets must are kept; a larger one gives a star.  A similar pair either shares a
+    larger signature, or all it shares is counted."""
     spark = docs.sparkSession
+    rows = signature_rows(docs, words, percent, text)
     # written before the join: both its sides are plain shuffles, so a hot signature can be split
     often, path = scratch_dir(spark, "often"), scratch_dir(spark, "signatures")
-    rows.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig").write.parquet(often)
+    rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").write.parquet(often)
     rows.join(spark.read.parquet(often), "sig").write.parquet(path)
     shared = spark.read.parquet(path)
-    hubs = shared.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub")
-    return components(shared.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct())
+    many = shared.where(F.col("m") > FEW)
+    hubs = many.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub")
+    stars = many.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
+    # at most FEW entries in a list
+    lists = shared.where(F.col("m") <= FEW).groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("class", "info"))).alias("l"))
+    near = (f"100 * least(x.info DIV 256, y.info DIV 256) >= {percent} * greatest(x.info DIV 256, y.info DIV 256)")
+    pairs = lists.where("size(l) > 1").select(F.explode(F.expr(
+        "flatten(transform(l, (x, i) -> transform(filter(slice(l, i + 2, size(l)), y -> y.class <> x.class AND " + near + "), "
+        "y -> struct(x.class AS a, y.class AS b, least(x.info % 256, y.info % 256) AS need))))")).alias("p")).select("p.*")
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
+    return components(stars.unionByName(counted))
 
 
 def intersections(elements: np.ndarray, owner: np.ndarray, n: int, popular: int = 64) -> np.ndarray:
