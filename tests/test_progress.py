@@ -228,3 +228,17 @@ def test_checkpoint_added_twice_is_an_error(spark):
     notes = spark.createDataFrame([(0, 1, 5)], "reader INT, ck INT, notified_at INT")
     with pytest.raises(Exception, match="checkpoint added twice"):
         pg.effective_commits(cks, notes).collect()
+
+
+def test_sparse_offsets_give_as_many_chunks_as_dense_ones(spark, monkeypatch):
+    from tidelog.operators import ordered
+
+    seen = []
+    real = ordered.prefix_max
+    monkeypatch.setattr(ordered, "prefix_max", lambda df, keys, order, value, chunk, *a, **k: seen.append(
+        df.select("part", chunk.alias("c")).distinct().count()) or real(df, keys, order, value, chunk, *a, **k))
+    for stride in (1, 2000):
+        log = spark.range(6000).selectExpr("CAST(IF(id < 4000, 0, 1) AS INT) AS part", f"id * {stride} AS off")
+        got = prev_offset(log, width=100)
+        assert got.where("prev_off IS NOT NULL").selectExpr("min(off - prev_off)", "max(off - prev_off)", "count(*)").first() == (stride, stride, 5998)
+    assert seen == [60, 60]

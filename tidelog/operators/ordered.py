@@ -10,8 +10,7 @@ aggregate:
 * :func:`prefix_max` - running max of a value inside a group, computed per chunk and carried
   across chunks.  ``chunk`` must be monotone in the order (e.g. ``off DIV width``).
 * :func:`prev_offset` - the previous offset of the same partition (a lag), chunked the same way;
-  a chunk of offset width ``w`` never holds more than ``w`` rows of a partition because offsets
-  are unique per partition.
+  chunks follow the mean gap of the partition's offsets, so their number follows its rows.
 """
 
 from __future__ import annotations
@@ -98,6 +97,12 @@ def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], va
 
 def prev_offset(log: DataFrame, out: str = "prev_off", width: int = DEFAULT_CHUNK_WIDTH,
                 part: str = "part", off: str = "off") -> DataFrame:
-    """``out`` = previous ``off`` of the same ``part`` (null for the first), without one task per part."""
-    chunk = F.expr(f"`{off}` div {int(width)}")
-    return prefix_max(log, [part], [off], off, chunk, out, inclusive=False)
+    """``out`` = previous ``off`` of the same ``part`` (null for the first), without one task per part.
+
+    A chunk is ``width`` offsets wide times the partition's mean gap between offsets, so a partition of
+    ``n`` rows has about ``n / width`` chunks however sparse its offsets are."""
+    span = log.groupBy(F.col(part).alias("_p")).agg(
+        F.min(off).alias("_lo"), F.greatest(F.lit(1), F.ceil((F.max(off).cast("double") - F.min(off) + 1) / F.count(off))).cast("bigint").alias("_gap"))
+    placed = log.join(span, log[part].eqNullSafe(span["_p"])).drop("_p")
+    chunk = F.expr(f"(`{off}` - _lo) div (_gap * {int(width)})")
+    return prefix_max(placed, [part], [off], off, chunk, out, inclusive=False).drop("_lo", "_gap")

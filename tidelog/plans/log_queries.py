@@ -76,6 +76,14 @@ def ordered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prev_offset(log, width=1024).select("part", "off", "prev_off")
 
 
+@register("ordered_scan_sparse", f"""{W}
+SELECT part, off * 2000 AS off, lag(off * 2000) OVER (PARTITION BY part ORDER BY off) AS prev_off FROM log""")
+def ordered_scan_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offset order on a log with large gaps between its offsets."""
+    log = events_log(spark, sf_dir).select("part", (F.col("off") * 2000).alias("off"))
+    return prev_offset(log, width=1024).select("part", "off", "prev_off")
+
+
 @register("start_offsets", f"""{W}, {STARTS_SQL} SELECT part, start_off FROM starts""")
 def start_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start offset of every partition: committed cursor, else 0."""
