@@ -143,3 +143,44 @@ def stream_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     back = read_log(spark, path)
     return back.select("part", "off", dec.json_field("o_orderkey")(F.col("data")).alias("o_orderkey"), "event_time")
+
+
+@register("stream_sink_round_robin", f"""
+WITH r AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS k FROM orders)
+SELECT CAST(k % {PARTS} AS INTEGER) AS part, k // {PARTS} AS off, o_orderkey FROM r""")
+def stream_sink_round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a key streamed into a log folder: dealt round robin, offsets in order."""
+    from tidelog.options import LogSinkOptions
+    from tidelog.streaming.sink import start_log_sink
+    from tidelog.streaming.stream import table_stream
+
+    opts = LogSinkOptions("topics/orders", PARTS, encoder=snk.data_only(snk.json_value(["o_orderkey"])))
+    path = scratch_dir(spark, "stream-round-robin")
+    q = start_log_sink(table_stream(spark, sf_dir, "orders"), path, opts, scratch_dir(spark, "stream-round-robin-ck"),
+                       [dec.json_field("o_orderkey")(F.col("data"))], publish_ms=NOW_MS, rank_order=["o_orderkey"])
+    q.awaitTermination()
+    return read_log(spark, path).select("part", "off", dec.json_field("o_orderkey")(F.col("data")).alias("o_orderkey"))
+
+
+@register("stream_sink_timestamp", f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN epoch_ms(o_orderdate) END AS ts, o_orderkey % 2 AS b FROM orders),
+w AS (SELECT max(ts) AS wm FROM o WHERE b = 0)
+SELECT o_orderkey, coalesce(ts, CASE WHEN b = 1 THEN wm END, {NOW_MS})::BIGINT AS event_ms FROM o, w""")
+def stream_sink_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of orders, every third without a time: record time, else the watermark of the
+    deliveries before, else the wall clock."""
+    from tidelog.options import LogSinkOptions
+    from tidelog.streaming.sink import start_log_sink
+
+    opts = LogSinkOptions("topics/orders", PARTS, encoder=snk.data_only(snk.json_value(["o_orderkey"])))
+    path, inbox, ck = scratch_dir(spark, "stream-ts"), scratch_dir(spark, "stream-ts-inbox"), scratch_dir(spark, "stream-ts-ck")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate")
+    ts = F.when(F.col("o_orderkey") % 3 != 0, epoch_ms(F.col("o_orderdate")))
+    for b in (0, 1):
+        orders.where(F.col("o_orderkey") % 2 == b).write.parquet(f"{inbox}/{b}")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{inbox}/*")
+        q = start_log_sink(stream, path, opts, ck, [dec.json_field("o_orderkey")(F.col("data"))], key=F.col("o_orderkey"),
+                           ts_ms=ts, publish_ms=NOW_MS)
+        q.awaitTermination()
+    return read_log(spark, path).select(dec.json_field("o_orderkey")(F.col("data")).alias("o_orderkey"),
+                                        epoch_ms(F.col("event_time")).alias("event_ms"))

@@ -30,15 +30,32 @@ def _heads_before(spark, path: str, batch_id: int) -> DataFrame | None:
     return None if h is None else h.select("part", F.col("head").alias("_head"))
 
 
+def _watermark_before(spark, path: str, batch_id: int) -> int | None:
+    """Largest record time (ms) of the batches before, one value; every batch writes it anew."""
+    w = read_if_there(spark, os.path.join(path, "_watermark", f"batch={batch_id - 1}")) if batch_id else None
+    return None if w is None else w.first()["watermark"]
+
+
 def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key: Column | None = None,
-                    key_kind: str = "int", ts_ms: Column | None = None, publish_ms: int | None = None):
-    """The ``foreachBatch`` function of the log sink: ``write(batch, batch_id)``."""
+                    key_kind: str = "int", ts_ms: Column | None = None, publish_ms: int | None = None,
+                    rank_order: Sequence[str] | None = None):
+    """The ``foreachBatch`` function of the log sink: ``write(batch, batch_id)``.
+
+    A record without a time of its own (``ts_ms`` null) gets the watermark - the largest record time of the
+    batches before - and the wall clock only before any record time was seen.  Without ``key`` records
+    are dealt round robin in ``rank_order``, from partition 0 on in every batch."""
     import time
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = publish_ms if publish_ms is not None else int(time.time() * 1000)
-        env = snk.encode_for(batch, options, ts_ms=ts_ms, now_ms=now, key=key, key_kind=key_kind)
+        watermark = _watermark_before(spark, path, batch_id)
+        rank = None
+        records = batch
+        if key is None:
+            records, rank = snk.round_robin_rank(batch, list(rank_order or ())), F.col("_rank")
+        env = snk.encode_for(records, options, ts_ms=ts_ms, watermark_ms=None if watermark is None else F.lit(watermark).cast("bigint"),
+                             now_ms=now, key=key, key_kind=key_kind, rank=rank)
         numbered = snk.publish(env, order_cols, now, num_partitions=options.num_partitions)
         heads = _heads_before(spark, path, batch_id)
         if heads is not None:
@@ -55,18 +72,23 @@ def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key:
             now = (now.unionByName(heads.select("part", F.col("_head").alias("head")))
                    .groupBy("part").agg(F.max("head").alias("head")))
         now.write.mode("overwrite").parquet(os.path.join(path, "_heads", f"batch={batch_id}"))
+        if ts_ms is not None:
+            least = F.lit(watermark).cast("bigint")
+            (batch.agg(F.greatest(F.max(ts_ms), least).alias("watermark"))
+             .write.mode("overwrite").parquet(os.path.join(path, "_watermark", f"batch={batch_id}")))
 
     return write
 
 
 def start_log_sink(stream: DataFrame, path: str, options, checkpoint: str, order_cols: Sequence[str | Column],
                    key: Column | None = None, key_kind: str = "int", ts_ms: Column | None = None,
-                   publish_ms: int | None = None, trigger_available_now: bool = True) -> StreamingQuery:
+                   publish_ms: int | None = None, trigger_available_now: bool = True,
+                   rank_order: Sequence[str] | None = None) -> StreamingQuery:
     """Publish a stream of records to the log folder ``path`` under ``options`` (:class:`LogSinkOptions`).
 
     ``order_cols`` (names or expressions over the envelope) give the order of offsets inside a
     partition within one batch; batches follow each other."""
-    write = log_sink_writer(path, options, order_cols, key, key_kind, ts_ms, publish_ms)
+    write = log_sink_writer(path, options, order_cols, key, key_kind, ts_ms, publish_ms, rank_order)
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger_available_now:
         w = w.trigger(availableNow=True)
