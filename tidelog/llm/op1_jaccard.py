@@ -58,8 +58,8 @@ PAIRED = 7
 #: Rows of a signature up to which its pairs are listed.
 FEW = 16
 #: Set elements and sets in a block of a candidate cluster.
-BLOCK_ELEMENTS = 1 << 20
-BLOCK_SETS = 3072
+BLOCK_ELEMENTS = 1 << 19
+BLOCK_SETS = 1024
 #: One of so many elements is compared first.
 PICKED = 4
 
