@@ -86,3 +86,25 @@ def test_no_training_text_and_empty_table(spark):
     r = op.score(df, model, counts).collect()
     assert [(x.n_tokens, x.n_known, x.train_tokens) for x in r] == [(3, 0, 0)]
     assert op.score(df.limit(0), model, counts).collect() == []
+
+
+@pytest.mark.parametrize("cache", [1, op.ARCS])
+def test_no_n_gram_is_lost_to_the_size_of_the_corpus(spark, monkeypatch, cache):
+    monkeypatch.setattr(op, "ARCS", cache)
+    monkeypatch.setattr(op, "PART_BYTES", 100)
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").repartition(3)
+    model, counts = op.train(df.where(~op.held_out()))
+    b = Brute([t for i, t in enumerate(TEXTS) if not out(i)], arcs=1 << 60)
+    got = op.score(df, model, counts, block_bytes=200).collect()
+    assert len(got) == len(TEXTS) and counts.count() > 1
+    assert all(r.score == pytest.approx(b.score(TEXTS[r.doc_id])) for r in got)
+
+
+def test_a_pair_counts_as_much_in_a_large_corpus_as_in_a_small_one(spark):
+    texts = ["so a rare pair is seen"] * 2 + ["f " * 1000] * 2500
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model, counts = op.train(df)
+    assert model.total > 2 << 20
+    got = op.score(df.where("doc_id < 2"), model, counts).first()
+    assert got.score == pytest.approx(Brute(texts, arcs=1 << 60).score(texts[0]))
+    assert got.score > got.base_score / 2

@@ -6,18 +6,18 @@ discounting, ``p(w | h) = (c(hw) - D) / c(h) + b(h) p(w | h')``, with ``b(h)`` t
 arcs leave; every distribution sums to one.
 
 **Automaton.**  Every kept n-gram is an arc, every kept history a state; a state's failure arc leads to
-its history without the oldest word and costs ``log b(h)``.  A text is read once from left to right:
-the state is carried on, failure arcs are followed until the word has an arc, log-probabilities are
-added up.
-
-**Scale.**  An n-gram is kept if it makes up at least ``1 / ARCS`` of the training tokens (and occurs
-``MIN_COUNT`` times), so at most ``ARCS`` n-grams of each length exist whatever the corpus: that bound
-is what the broadcast automaton rests on.  Counts cover all training texts, map-side first; an n-gram
-is only counted if both its shorter parts are kept (no longer one could be kept otherwise).  Words
-below the bound keep their exact counts too: texts are dealt into blocks, each block asks for its
-distinct rare words, the counts come back by a join whose keys are rare by definition, and the block's
-texts are read beside that table.  No word is shuffled per occurrence and no table grows in a task
-beyond its block.
+its history without the oldest word and costs ``log b(h)``.  A token's state is the longest kept history
+before it; failure arcs are followed until the word has an arc, log-probabilities are added up.  All
+tokens of a group of texts are read at once, one level of failure arcs after the other.
+
+**Scale.**  An n-gram is kept if it occurs ``MIN_COUNT`` times, whatever the size of the corpus, so the
+model grows with the input and no task or driver holds it.  Keys are 64-bit fingerprints, dealt into
+parts by their high bits; a part has the keys of about ``PART_BYTES`` of text.  Counts are packed by part
+in the tasks, added up for each part and written, with what each history's arcs take.  Texts are dealt
+into blocks; each block asks the parts for its distinct n-grams and gets the counts and failure weights
+of those that exist, beside which its texts are read.  A key has at most one row in each block, however
+often it occurs.  The arcs with at least ``1 / ARCS`` of the training tokens (at most ``ARCS`` of each
+length) are broadcast as a cache, so that blocks need not ask for them; results do not depend on it.
 
 Defined cases: a null text has the end as its only token; a null id reads as the empty text in the
 fold rule; rows that repeat are texts of their own; without training texts every token has the
@@ -46,9 +46,12 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 ADDED = 0.1
 BLOCK_BYTES = 16 << 20
-#: Fingerprint of the end token, and bits of a word's number in an n-gram key.
+PART_BYTES = 4 << 20
+#: Entries a task holds before they are packed and sent.
+HELD = 1 << 22
+#: Fingerprint of the end token, and a salt for each further length of n-grams.
 END = int(mix(np.array([0x5EED0E9D], dtype=np.uint64))[0])
-BITS = 20
+SALT, ODD = (U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)), U(0xD6E8FEB86659FD93)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -76,138 +79,209 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _count_rows(keys: np.ndarray) -> pa.RecordBatch:
-    distinct, n = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n)], names=["key", "n"])
+def grams(words: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per length the keys of the n-grams that end at each token, and whether one does (none crosses a
+    text).  The key of its history is the shorter key at the token before."""
+    place = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
+    out = [(words, np.ones(len(words), dtype=bool))]
+    for length in range(2, order + 1):
+        key = np.zeros(len(words), dtype=np.uint64)
+        key[1:] = mix((out[-1][0][:-1] + SALT[length - 2]) * ODD + words[1:])
+        out.append((key, place >= length - 1))
+    return out
 
 
-class Model:
-    """Kept n-grams with their counts: sorted word fingerprints (a word's number is its index), and per
-    length sorted keys of word numbers, oldest word highest."""
+def distinct_of(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys by a plain sort: faster than ``np.unique`` where most are distinct."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
 
-    def __init__(self, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
-        self.total, self.distinct = total, distinct
-        self.words, self.counts = words, [counts]
-        self.keys = [np.arange(len(words))]
 
-    def least(self, arcs: int, min_count: int) -> int:
-        return max(min_count, -(-self.total // arcs))
+def planes(values: np.ndarray) -> bytes:
+    """64-bit values as eight planes of bytes: what sorted keys and small counts share compresses."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
 
-    def root(self, n: np.ndarray) -> np.ndarray:
-        return (n + ADDED) / (self.total + ADDED * (self.distinct + 1))
 
-    def grams(self, numbers: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
-        """Keys of the n-grams of one length whose shorter parts are kept; none crosses a text."""
-        size = len(numbers) - length + 1
-        if size <= 0:
-            return np.zeros(0, dtype=np.int64)
-        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-        ok = text[:size] == text[length - 1:]
-        key = np.zeros(size, dtype=np.int64)
-        for k in range(length):
-            part = numbers[k:k + size]
-            ok &= part >= 0
-            key = key << BITS | np.maximum(part, 0)
-        key = key[ok]
-        if length > 2:
-            shorter = self.keys[length - 2]
-            key = key[(find(shorter, key >> BITS) >= 0) & (find(shorter, key & ((1 << BITS * (length - 1)) - 1)) >= 0)]
-        return key
-
-
-class Automaton:
-    """The model as states and arcs for one left-to-right reading."""
-
-    def __init__(self, model: Model, discount: float = DISCOUNT):
-        n = len(model.words)
-        end = find(model.words, np.array([END], dtype=np.uint64))[0]
-        # states: 0 the root, then single words, then kept histories of each length
-        self.state = list(range(1, n + 1))
-        if end >= 0:
-            self.state[end] = 0
-        fail, back, arcs, gain, to = [0] * (n + 1), [0.0] * (n + 1), {}, [], []
-        base, above = 1, model.root(model.counts[0])
-        for length in range(2, len(model.keys) + 1):
-            keys, counts = model.keys[length - 1], model.counts[length - 1]
-            history = find(model.keys[length - 2], keys >> BITS)
-            shorter = find(model.keys[length - 2], keys & ((1 << BITS * (length - 1)) - 1))
-            share = (counts - discount) / model.counts[length - 2][history]
-            left = 1.0 - np.bincount(history, share, minlength=len(model.keys[length - 2]))
-            here = share + left[history] * above[shorter]
-            last = keys & ((1 << BITS) - 1)
-            states = len(fail) + np.arange(len(keys))
-            grows = (last != end) & (length < len(model.keys))
-            back[base:] = np.log10(left).tolist()
-            for s, w, g, t, short in zip((base + history).tolist(), last.tolist(), np.log10(here).tolist(),
-                                         np.where(grows, states, np.where(last == end, 0, base + shorter)).tolist(),
-                                         (base + shorter).tolist()):
-                arcs[s << BITS | w] = len(gain)
-                gain.append(g)
-                to.append(t)
-                fail.append(short)
-            back += [0.0] * len(keys)
-            base, above = base + len(model.keys[length - 2]), here
-        self.fail, self.back, self.arcs, self.gain, self.to = fail, back, arcs, gain, to
-
-    def read(self, numbers: list[int], root: list[float]) -> float:
-        """Log10 probability of a text: word numbers (-1: not kept) and root log-probabilities."""
-        state, total = 0, 0.0
-        arcs, gain, to, fail, back, single = self.arcs, self.gain, self.to, self.fail, self.back, self.state
-        for w, p in zip(numbers, root):
-            while state:
-                arc = arcs.get(state << BITS | w) if w >= 0 else None
-                if arc is not None:
-                    total += gain[arc]
-                    state = to[arc]
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                total += p
-                state = single[w] if w >= 0 else 0
-        return total
+def values_of(data: pa.Scalar, kind=np.int64) -> np.ndarray:
+    raw = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+
+def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Sorted distinct keys; of the other columns the first (length, history) or the sum (the rest)."""
+    keys, length, history, n = (np.concatenate(c) for c in zip(*held))
+    distinct, at, which = np.unique(keys, return_index=True, return_inverse=True)
+    total = np.zeros(len(distinct), dtype=np.int64)
+    np.add.at(total, which, n)
+    return distinct, length[at], history[at], total
+
 
+def by_part(parts: int, keys: np.ndarray, *columns: np.ndarray, **fixed: int) -> Iterator[pa.RecordBatch]:
+    """Rows ``part``, the ``fixed`` numbers, and the slices of sorted keys and their columns as planes."""
+    of = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
+    cut = np.flatnonzero(np.diff(of)) + 1
+    bounds = [0, *cut.tolist(), len(keys)]
+    for k in range(0, len(bounds) - 1, 256):
+        some = [(a, b) for a, b in zip(bounds[k:k + 256], bounds[k + 1:k + 257]) if a < b]
+        if some:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(of[a]) for a, _ in some], pa.int64()), *(pa.array([v] * len(some), pa.int64()) for v in fixed.values()),
+                 *(pa.array([planes(c[a:b]) for a, b in some], pa.binary()) for c in (keys, *columns))],
+                names=["part", *fixed, *(f"c{i}" for i in range(len(columns) + 1))])
 
-def _collect(table: DataFrame, least: int, bound: int) -> tuple[np.ndarray, np.ndarray]:
-    """Kept keys and counts in key order; ``least`` bounds them by ``bound`` rows."""
-    got = table.where(F.col("n") >= least).select("key", "n").toArrow()
-    if got.num_rows > bound:
-        raise ValueError("more n-grams than the bound allows")
-    return got.column("key").to_numpy(), got.column("n").to_numpy()
 
+def dealt(rows: DataFrame, n: int, by: str, *then: str) -> DataFrame:
+    return rows.repartition(n, by).sortWithinPartitions(by, *then)
 
-def train(docs: DataFrame, text: str = "text", arcs: int = ARCS, order: int = ORDER, min_count: int = MIN_COUNT) -> tuple[Model, DataFrame]:
-    """The model of all texts of ``docs``, and the written table ``key, n`` of all word counts."""
-    if arcs > 1 << BITS or not 1 <= order <= 3:
-        raise ValueError("at most 2**20 arcs of each length and order 3")
+
+def whole_parts(batches, start, each, end):
+    """Rows in order of their first column: ``start()`` a state, ``each(state, batch, row)``, ``end(part, state)``."""
+    now, state = None, None
+    for batch in batches:
+        for i, part in enumerate(batch.column(0).to_pylist()):
+            if part != now:
+                if now is not None:
+                    yield from end(now, state)
+                now, state = part, start()
+            yield from each(state, batch, i) or ()
+    if now is not None:
+        yield from end(now, state)
+
+
+class Model:
+    """What every task gets: the totals, the threshold, and the cache of frequent n-grams (of each length
+    sorted keys with their counts, and count and number of the arcs that leave them)."""
+
+    def __init__(self, total: int, distinct: int, least: int, order: int):
+        self.total, self.distinct, self.least, self.order = total, distinct, least, order
+        self.keys = [np.zeros(0, np.uint64)] * order
+        self.rest = [(np.zeros(0, np.int64),) * 3] * order
+
+    def root(self, n: np.ndarray) -> np.ndarray:
+        return (n + ADDED) / (self.total + ADDED * (self.distinct + 1))
+
+    def log_scores(self, words: np.ndarray, first: np.ndarray, table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token: whether it is known, and the log10 probabilities of the root and of the automaton;
+        ``table`` has the sorted keys and the counts of the n-grams that are not in the cache."""
+        p = history = None
+        for length, (key, ok) in enumerate(grams(words, first, self.order)):
+            n, sent, arcs = (np.zeros(len(words), dtype=np.int64) for _ in range(3))
+            for keys, rest in ((self.keys[length], self.rest[length]), (table[0], table[1:])):
+                at = find(keys, key)
+                hit = ok & (at >= 0)
+                for column, value in zip((n, sent, arcs), rest):
+                    column[hit] = value[at[hit]]
+            if p is None:
+                known, p = n > 0, self.root(n)
+                base = np.log10(p)
+            else:
+                # states whose history is kept; without an arc only the failure weight counts
+                at = np.flatnonzero(ok[1:] & (history[0][:-1] >= self.least)) + 1
+                below = history[0][at - 1]
+                left = 1.0 - (history[1][at - 1] - DISCOUNT * history[2][at - 1]) / below
+                p[at] = np.where(n[at] >= self.least, n[at] - DISCOUNT, 0.0) / below + left * p[at]
+            history = n, sent, arcs
+        return known, base, np.log10(p)
+
+
+def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: int = ORDER, min_count: int = MIN_COUNT) -> tuple[Model, DataFrame]:
+    """The model of all texts of ``docs``: totals with the cache, and the written table of all words and
+    kept n-grams by part.  With ``arcs`` only n-grams with ``1 / arcs`` of the tokens are kept."""
+    if not 1 <= order <= 3:
+        raise ValueError("order 1 to 3")
     spark = docs.sparkSession
-    source = docs.select(text)
-
-    def count_words(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for _, _, words, _ in _batches(batch.column(0)):
-            yield _count_rows(words)
-
-    path = scratch_dir(spark, "words")
-    arrow_map(source, count_words, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).write.parquet(path)
-    counts = spark.read.parquet(path)
-    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    model = Model(total, distinct, np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    keys, n = _collect(counts, model.least(arcs, min_count), arcs)
-    order_of = np.argsort(keys.view(np.uint64))
-    model = Model(total, distinct, keys.view(np.uint64)[order_of], n[order_of])
-    for length in range(2, order + 1):
-        shared = spark.sparkContext.broadcast(model)
+    ship(spark)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = max(1, -(-size // PART_BYTES))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26)
 
-        def count_grams(batch: pa.RecordBatch, length=length, shared=shared) -> Iterator[pa.RecordBatch]:
+    def count(batches):
+        held, entries = [], 0
+        for batch in batches:
             for _, _, words, first in _batches(batch.column(0)):
-                yield _count_rows(shared.value.grams(find(shared.value.words, words), first, length))
+                shorter = np.zeros(len(words), dtype=np.uint64)
+                for length, (key, ok) in enumerate(grams(words, first, order), 1):
+                    keys, at, times = np.unique(key[ok], return_index=True, return_counts=True)
+                    held.append((keys, np.full(len(keys), length), shorter[ok][at], times))
+                    entries += len(keys)
+                    shorter = np.append(U(0), key[:-1])
+                if entries > HELD:
+                    held = [merged(held)]
+                    entries = len(held[0][0])
+                    if entries > HELD // 2:
+                        yield from by_part(parts, *held[0])
+                        held, entries = [], 0
+        if held:
+            yield from by_part(parts, *merged(held))
+
+    def gather(state, batch, i):
+        state.append((values_of(batch.column(1)[i], np.uint64), values_of(batch.column(2)[i]), values_of(batch.column(3)[i], np.uint64), values_of(batch.column(4)[i])))
+
+    def add_up(part, state):
+        keys, length, history, times = merged(state)
+        keep = (length == 1) | (times >= min_count)
+        one = length == 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part]), pa.array([int(times[one].sum())]), pa.array([int(one.sum())]),
+             *(pa.array([planes(c[keep])], pa.binary()) for c in (keys, length, history, times))],
+            names=["part", "total", "words", "c0", "c1", "c2", "c3"])
+
+    columns = "c0 binary, c1 binary, c2 binary, c3 binary"
+    packed = docs.select(text).mapInArrow(count, f"part bigint, {columns}")
+    path = scratch_dir(spark, "grams")
+    dealt(packed, n, "part").mapInArrow(lambda b: whole_parts(b, list, gather, add_up), f"part bigint, total bigint, words bigint, {columns}").write.parquet(path)
+    counted = spark.read.parquet(path)
+    total, distinct = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    least = max(min_count, -(-total // arcs) if arcs else 0)
+
+    def leaving(batches):
+        """Of each history: count and number of its kept arcs."""
+        for batch in batches:
+            for i in range(batch.num_rows):
+                length, history, times = values_of(batch.column(1)[i]), values_of(batch.column(2)[i], np.uint64), values_of(batch.column(3)[i])
+                kept = (length > 1) & (times >= least)
+                states, which = np.unique(history[kept], return_inverse=True)
+                sent, number = np.zeros(len(states), dtype=np.int64), np.bincount(which, minlength=len(states)).astype(np.int64)
+                np.add.at(sent, which, times[kept])
+                yield from by_part(parts, states, sent, number, number, kind=1)
+
+    def beside(state, batch, i):
+        state[batch.column(1)[i].as_py()].append([values_of(batch.column(k)[i], np.uint64 if k == 2 else np.int64) for k in (2, 3, 4, 5)])
+
+    def finish(part, state):
+        keys, length, _, times = state[0][0]
+        keep = (length == 1) | (times >= least)
+        keys, length, times = keys[keep], length[keep], times[keep]
+        sent, number = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+        for states, s, a, _ in state[1]:
+            at = find(keys, states)
+            sent[at] += s
+            number[at] += a
+        yield pa.RecordBatch.from_arrays([pa.array([part]), *(pa.array([planes(c)], pa.binary()) for c in (keys, length, times, sent, number))],
+                                         names=["part", "c0", "c1", "c2", "c3", "c4"])
+
+    both = counted.select("part", F.lit(0).cast("bigint").alias("kind"), "c0", "c1", "c2", "c3").unionByName(
+        counted.select("c0", "c1", "c2", "c3").mapInArrow(leaving, f"part bigint, kind bigint, {columns}"))
+    path = scratch_dir(spark, "arcs")
+    dealt(both, n, "part", "kind").mapInArrow(lambda b: whole_parts(b, lambda: ([], []), beside, finish), f"part bigint, {columns}, c4 binary").write.parquet(path)
+    table = spark.read.parquet(path)
+    model, often = Model(total, distinct, least, order), max(least, -(-total // ARCS))
+
+    def frequent(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, *rest = (values_of(batch.column(k)[i]) for k in range(1, 6))
+                some = rest[1] >= often
+                yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (keys, *rest)], names=["key", "length", "n", "sent", "arcs"])
 
-        grams = arrow_map(source, count_grams, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-        keys, n = _collect(grams, model.least(arcs, min_count), arcs)
-        order_of = np.argsort(keys)
-        model.keys.append(keys[order_of])
-        model.counts.append(n[order_of])
-    return model, counts
+    cache = table.mapInArrow(frequent, "key bigint, length bigint, n bigint, sent bigint, arcs bigint").toArrow()
+    keys, lengths, *rest = (cache.column(k).to_numpy() for k in range(5))
+    for length in range(order):
+        at = np.flatnonzero(lengths == length + 1)
+        at = at[np.argsort(keys[at].view(np.uint64))]
+        model.keys[length], model.rest[length] = keys[at].view(np.uint64), tuple(c[at] for c in rest)
+    model.parts = parts
+    return model, table
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -222,30 +296,62 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
                        held_out(id_col).alias("held_out"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(model)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26)
 
-    def ask(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        block = batch.column(0).to_numpy()
-        for i, j, words, first in _batches(batch.column(1)):
-            rare = np.flatnonzero(find(shared.value.words, words) < 0)
-            owner = np.searchsorted(first, rare, side="right") - 1
-            pairs = np.unique(np.stack([block[i + owner], words[rare].view(np.int64)], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].copy()), pa.array(pairs[:, 0].copy())], names=["key", "block"])
-
-    asked = arrow_map(rows.select("block", "text"), ask, "key bigint, block bigint").distinct()
-    answers = asked.join(counts, "key").select(
-        "block", F.lit(0).alias("kind"), "key", "n", F.lit(None).cast(kind).alias("doc_id"),
-        F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
-    texts = rows.select("block", F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("n"),
-                        "doc_id", "held_out", "text")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    beside = answers.unionByName(texts).repartition(n, "block").sortWithinPartitions("block", "kind")
+    def ask(batches):
+        m = shared.value
+        now, held, entries = None, [], 0
+
+        def asked():
+            return by_part(m.parts, distinct_of(np.concatenate(held)), kind=1, block=now) if held else ()
+
+        for batch in batches:
+            block = batch.column(0).to_numpy()
+            bounds = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(bounds, bounds[1:]):
+                if a == b:
+                    continue
+                if block[a] != now:
+                    yield from asked()
+                    now, held, entries = int(block[a]), [], 0
+                for _, _, words, first in _batches(batch.column(1).slice(a, b - a)):
+                    for length, (key, ok) in enumerate(grams(words, first, m.order)):
+                        keys = distinct_of(key[ok])
+                        held.append(keys[find(m.keys[length], keys) < 0])
+                        entries += len(held[-1])
+                    if entries > HELD:
+                        held = [distinct_of(np.concatenate(held))]
+                        entries = len(held[0]) // 2
+        yield from asked()
+
+    def answer(batches):
+        """Counts of the asked keys that exist; a part's table comes before what asks for it."""
+        def each(state, batch, i):
+            if not batch.column(1)[i].as_py():
+                state += [values_of(batch.column(3)[i], np.uint64)] + [values_of(batch.column(k)[i]) for k in (4, 5, 6)]
+            elif state:
+                at = find(state[0], values_of(batch.column(3)[i], np.uint64))
+                at = at[at >= 0]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([batch.column(2).slice(i, 1), *(pa.array([planes(c[at])], pa.binary()) for c in state)],
+                                                     names=["block", "c0", "c1", "c2", "c3"])
+
+        yield from whole_parts(batches, list, each, lambda part, state: ())
+
+    no_bytes, no_number = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
+    texts = dealt(rows.select("block", "text"), n, "block")
+    asks = texts.mapInArrow(ask, "part bigint, kind bigint, block bigint, c0 binary").select(
+        "*", *(no_bytes.alias(f"c{k}") for k in (1, 2, 3)))
+    there = counts.select("part", no_number.alias("kind"), no_number.alias("block"), "c0", F.col("c2").alias("c1"), F.col("c3").alias("c2"), F.col("c4").alias("c3"))
+    answers = dealt(there.unionByName(asks), n, "part", "kind").mapInArrow(answer, "block bigint, c0 binary, c1 binary, c2 binary, c3 binary")
+    answers = answers.select("block", F.lit(0).alias("kind"), "c0", "c1", "c2", "c3", F.lit(None).cast(kind).alias("doc_id"),
+                             F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
+    texts = rows.select("block", F.lit(1).alias("kind"), *(no_bytes.alias(f"c{k}") for k in range(4)), "doc_id", "held_out", "text")
+    beside = dealt(answers.unionByName(texts), n, "block", "kind")
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def read(batches):
         m = shared.value
-        automaton = Automaton(m)
-        kept_log = np.log10(m.root(m.counts[0])) if len(m.words) else np.zeros(0)
-        unseen = float(np.log10(m.root(np.array([0.0]))[0])) if m.total else 0.0
         now, held, table = None, [], None
         for batch in batches:
             block, is_text = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -255,34 +361,25 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
                     continue
                 if block[a] != now:
                     now, held, table = block[a], [], None
-                part = batch.slice(a, b - a)
                 if not is_text[a]:
-                    held.append((part.column(2).to_numpy().view(np.uint64), part.column(3).to_numpy()))
+                    held += [[values_of(batch.column(k)[i], np.uint64 if k == 2 else np.int64) for k in (2, 3, 4, 5)] for i in range(a, b)]
                     continue
                 if table is None:
-                    keys = np.concatenate([k for k, _ in held]) if held else np.zeros(0, np.uint64)
-                    n_of = np.concatenate([c for _, c in held]) if held else np.zeros(0, np.int64)
-                    by = np.argsort(keys)
-                    table, held = (keys[by], np.log10(m.root(n_of[by])) if len(by) else np.zeros(0)), []
-                yield scored(part, m, automaton, table, kept_log, unseen)
+                    columns = [np.concatenate(c) for c in zip(*held)] if held else [np.zeros(0, np.uint64)] + [np.zeros(0, np.int64)] * 3
+                    by = np.argsort(columns[0])
+                    table, held = [c[by] for c in columns], []
+                yield scored(batch.slice(a, b - a), m, table)
 
-    def scored(part, m, automaton, table, kept_log, unseen):
+    def scored(part, m, table):
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-        for _, _, words, first in _batches(part.column(6)):
-            number = find(m.words, words)
-            in_table = np.where(number < 0, find(table[0], words), -1)
-            logs = np.full(len(words), unseen)
-            logs[number >= 0] = kept_log[number[number >= 0]]
-            logs[in_table >= 0] = table[1][in_table[in_table >= 0]]
-            known = ((number >= 0) | (in_table >= 0)).astype(np.int64)
-            sums, numbers, root = np.add.reduceat(logs, first[:-1]), number.tolist(), logs.tolist()
+        for _, _, words, first in _batches(part.column(8)):
+            known, base, logs = m.log_scores(words, first, table)
             out["n_tokens"] += np.diff(first).tolist()
-            out["n_known"] += np.add.reduceat(known, first[:-1]).tolist()
-            out["base_score"] += sums.tolist()
-            out["score"] += [automaton.read(numbers[a:b], root[a:b]) for a, b in zip(first[:-1], first[1:])]
+            for name, values in (("n_known", known.astype(np.int64)), ("base_score", base), ("score", logs)):
+                out[name] += np.add.reduceat(values, first[:-1]).tolist()
         size = part.num_rows
         return pa.RecordBatch.from_arrays(
-            [part.column(4), part.column(5), pa.array(out["n_tokens"], pa.int64()), pa.array(out["n_known"], pa.int64()),
+            [part.column(6), part.column(7), pa.array(out["n_tokens"], pa.int64()), pa.array(out["n_known"], pa.int64()),
              pa.array(np.full(size, m.total, dtype=np.int64)), pa.array(out["base_score"], pa.float64()), pa.array(out["score"], pa.float64())],
             names=names)
 
