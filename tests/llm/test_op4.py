@@ -19,7 +19,7 @@ def brute(docs, items, window, percent):
     for (d, t), (i, u) in itertools.product(docs, items):
         a, b = TOKEN.findall((t or "").lower()), TOKEN.findall((u or "").lower())
         k = min(window, len(b))
-        if k < 7:
+        if not k:
             continue
         for g in range(-len(b), len(a)):
             same = [a[g + q] == b[q] for q in range(len(b)) if 0 <= g + q < len(a)]
@@ -66,6 +66,26 @@ def test_equals_brute_force_up_to_two_substitutions(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _ in docs if d not in bad)
 
 
+def test_short_masks_hit_every_whole_item():
+    for n in range(1, op.WINDOW):
+        places = [{at + o for o in mask} for at, mask in op.short_masks(n)]
+        allowed = max(e for e in range(n) if 100 * (n - e) >= op.PERCENT * n)
+        for errors in itertools.combinations(range(n), allowed):
+            assert any(p and max(p) < n and not p & set(errors) for p in places), (n, errors)
+
+
+def test_short_items_are_found_with_all_substitutions_allowed(spark):
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, op.WINDOW)] + [(90, None), (91, "...")]
+    docs = []
+    for n, t in items[:-2]:
+        for count in range(4):
+            for errors in itertools.combinations(range(n), count):
+                docs.append("before " * (n % 3) + " ".join("other" if k in errors else w for k, w in enumerate(t.split())) + " after")
+    rows = list(enumerate(docs))
+    got = op.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute(rows, items, op.WINDOW, op.PERCENT)
+
+
 def test_a_benchmark_over_the_bound_is_joined_by_shuffle(spark, monkeypatch):
     docs, items = corpus()
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

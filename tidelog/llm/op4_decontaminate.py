@@ -3,7 +3,10 @@
 Texts are compared as tokens: maximal runs of letters and digits, lower-cased.  A spaced seed hashes
 the tokens at fixed offsets and ignores those between, so a hit survives substitutions at the ignored
 places.  The masks are chosen so that every window of ``WINDOW`` aligned tokens with up to two
-substitutions holds a hit; ``tests/llm`` proves it by enumeration.
+substitutions holds a hit; ``tests/llm`` proves it by enumeration.  An item shorter than ``WINDOW`` is
+compared whole and has masks of its length (``short_masks``): as many blocks are left out as it may have
+substitutions, in every choice, down to the whole item as one seed.  Documents get the masks of those
+lengths only that the benchmark has.
 
 1. The benchmark's seeds are joined with the seeds of all documents.  The benchmark side is broadcast
    only when its counted rows stay under ``BROADCAST_ROWS``; a larger one is joined by shuffle.
@@ -13,13 +16,15 @@ substitutions holds a hit; ``tests/llm`` proves it by enumeration.
    pair counts if some window of ``WINDOW`` aligned tokens (the whole item, if that is shorter) agrees
    in at least ``PERCENT`` percent.
 
-Defined cases: null texts and ids are handled (no tokens; the id stays null); items or documents with
-fewer tokens than a mask spans have no seeds and match nothing; rows that repeat are reported once and
+Defined cases: null texts and ids are handled (no tokens; the id stays null); items without tokens match
+nothing; an item of one token is in every document that has the token; rows that repeat are reported once and
 removed alike; an empty table on either side gives no overlap; other columns are not read.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +67,29 @@ def seeds(tokens: DataFrame, masks=MASKS) -> DataFrame:
     return out.select(*others, place.alias("pos"), "seed")
 
 
+def short_masks(n: int, percent: int = PERCENT) -> list[tuple[int, tuple[int, ...]]]:
+    """Masks for an item of ``n`` tokens that is compared whole, each with its place in the item: any
+    substitutions that ``percent`` allows leave one of them intact."""
+    errors = n + -n * percent // 100
+    blocks = min(n, errors + 2) if errors else 1
+    out = []
+    for gone in combinations(range(blocks), errors):
+        kept = [o for k in range(blocks) if k not in gone for o in range(n * k // blocks, n * (k + 1) // blocks)]
+        out.append((kept[0], tuple(o - kept[0] for o in kept)))
+    return out
+
+
+def short_seeds(tokens: DataFrame, masks, lengths: list[int], percent: int) -> DataFrame:
+    """As :func:`seeds` for the whole texts of the given lengths; ``masks`` has all their masks."""
+    cases = []
+    for n in lengths:
+        one = (f"named_struct('pos', {at}, 'seed', xxhash64({masks.index(mask)}, {', '.join(f'tokens[{at + o}]' for o in mask)}))"
+               for at, mask in short_masks(n, percent))
+        cases.append(f"WHEN {n} THEN array({', '.join(one)})")
+    others = [c for c in tokens.columns if c != "tokens"]
+    return tokens.select(*others, F.explode(F.expr(f"CASE size(tokens) {' '.join(cases)} END")).alias("s")).select(*others, "s.pos", "s.seed")
+
+
 def _bounded(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
@@ -74,7 +102,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", id_col:
     items = benchmark.select(row_key(item_id, item_text).alias("item"), F.col(item_id).alias("item_id"), F.col(item_text).alias("__text"))
     items = held(items.dropDuplicates(["item"]), "tokens", token_hashes("__text")).drop("__text")
     plain = docs.select(row_key(id_col, text).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    wanted = seeds(items.select("item", F.size("tokens").alias("n"), "tokens"), masks).select("item", "n", F.col("pos").alias("at"), "seed")
+    sized = items.select("item", F.size("tokens").alias("n"), "tokens")
+    wanted, masks = seeds(sized.where(F.col("n") >= window), masks), list(masks)
+    # at most window - 1 lengths
+    lengths = sorted(r.n for r in sized.where(F.col("n").between(1, window - 1)).select("n").distinct().collect())
+    if lengths:
+        masks += sorted({mask for n in lengths for _, mask in short_masks(n, percent)} - set(masks))
+        wanted = wanted.unionByName(short_seeds(sized, masks, lengths, percent))
+    wanted = wanted.select("item", "n", F.col("pos").alias("at"), "seed")
     rows = wanted.count()
     found = seeds(held(plain, "tokens", token_hashes("text")).select("rid", "tokens"), masks).join(_bounded(wanted, rows), "seed")
     diagonals = found.select("rid", "item", "n", (F.col("pos") - F.col("at")).alias("diagonal")).distinct()
