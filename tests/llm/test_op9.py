@@ -56,6 +56,20 @@ def test_repeated_rows_are_documents_of_their_own(spark):
     assert got == [(1, 50), (1, 50), (2, 0)]
 
 
+def test_equal_rows_list_their_runs_once(spark):
+    docs = spark.createDataFrame([(1, "t")] * 5 + [(2, "u")], "rid long, text string")
+    runs_of = spark.createDataFrame([(1, r) for r in (3, 4, -5)] * 5 + [(2, 3)], "rid long, run long").repartition(4)
+    got = sorted((r.rid, sorted(r.runs)) for r in anchors.with_runs(docs, runs_of).collect())
+    assert got == [(1, [-5, 3, 4])] * 5 + [(2, [3])]
+
+
+def test_equal_rows_with_null_ids_equal_brute_force(spark):
+    texts = [corpus()[6]] * 30 + corpus()[5:9]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(4)
+    got = sorted((r.n_words, r.n_removed, r.kept) for r in op.deduplicate(df, 12, 4).collect())
+    assert got == sorted(brute(texts, 12))
+
+
 def test_empty_table(spark):
     assert op.deduplicate(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

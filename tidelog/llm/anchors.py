@@ -139,9 +139,10 @@ def repeat_contexts(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def with_runs(docs: DataFrame, runs_of: DataFrame, how: str = "inner") -> DataFrame:
-    """``docs`` joined by ``rid`` with the list of its runs.  A list is bounded by its text's length.  All
-    columns of ``docs`` stay, so that every such join of a plan reads the same exchange of the texts."""
-    return docs.join(runs_of.groupBy("rid").agg(F.collect_list("run").alias("runs")), "rid", how)
+    """``docs`` joined by ``rid`` with the list of its runs.  Rows that repeat share ``rid`` and give their
+    runs once, by a partial aggregate, so a list is bounded by its text's length.  All columns of ``docs``
+    stay, so that every such join of a plan reads the same exchange of the texts."""
+    return docs.join(runs_of.groupBy("rid").agg(F.collect_set("run").alias("runs")), "rid", how)
 
 
 def batched_runs(batch: pa.RecordBatch, text: int, symbols: Symbols, rid: int = 0) -> Iterator[tuple[np.ndarray, ...]]:
