@@ -13,8 +13,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating stars: in each round every node's larger neighbours, then its smaller ones, are linked
     to its least neighbour, which keeps the components and about halves the paths.  Groups are only
-    reduced by partial aggregates and joins, never listed, so a star of any size is fine.  Every round
-    is written to the checkpoint folder; the rounds end when the edges no longer change.
+    reduced by partial aggregates and joins, never listed.  The least neighbours are written before they
+    are joined, so both sides of the join are plain shuffles and the edges of a hub can be split.  Every
+    round is written to the checkpoint folder; the rounds end when the edges no longer change.
     """
     spark = edges.sparkSession
 
@@ -26,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     def star(pairs: DataFrame, large: bool) -> DataFrame:
         """``u, v`` with v < u; large: each node's larger neighbours move to its least one."""
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else pairs
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")))
         near = both.where("v > u") if large else both
         moved = near.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         if not large:
