@@ -13,8 +13,8 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_operators_and_the_pipeline_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm.queries())
-    assert numbers == list(range(1, 13)) and set(llm.queries()) | {"pipeline"} <= set(E.queries())
-    assert set(llm.queries()) - set(llm.oracle_sql()) == {"op5_token_counts", "op6_lm_scoring", "op8_sentencepiece", "op12_simhash_dedup"}
+    assert numbers == list(range(1, 14)) and set(llm.queries()) | {"pipeline"} <= set(E.queries())
+    assert set(llm.queries()) - set(llm.oracle_sql()) == {"op5_token_counts", "op6_lm_scoring", "op8_sentencepiece", "op12_simhash_dedup", "op13_periodic_runs"}
 
 
 @pytest.mark.parametrize("name", sorted(llm.oracle_sql()))

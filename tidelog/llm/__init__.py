@@ -9,10 +9,10 @@ from __future__ import annotations
 
 def _modules():
     from . import (op1_jaccard, op2_quality, op3_sharding, op4_decontaminate, op5_tokens, op6_lm, op7_warc,
-                   op8_sentencepiece, op9_substring, op10_suffix, op11_divergence, op12_simhash)
+                   op8_sentencepiece, op9_substring, op10_suffix, op11_divergence, op12_simhash, op13_runs)
 
     return (op1_jaccard, op2_quality, op3_sharding, op4_decontaminate, op5_tokens, op6_lm, op7_warc,
-            op8_sentencepiece, op9_substring, op10_suffix, op11_divergence, op12_simhash)
+            op8_sentencepiece, op9_substring, op10_suffix, op11_divergence, op12_simhash, op13_runs)
 
 
 def queries():
