@@ -114,3 +114,45 @@ def test_closed_form_with_uneven_tasks(spark, n, held_tasks, m, rnd):
     new = rnd.sample(range(500), m)
     got = _run(spark, [k for k, _ in existing] + new, n, existing=existing)
     assert {k: got[k] for k in new} == _heap(existing, sorted(new), n)
+
+
+def test_water_level_bounds_the_slots(spark, monkeypatch):
+    import time
+
+    from tidelog.operators import assign as op
+
+    listed = []
+    real = op.leveling_slots
+    monkeypatch.setattr(op, "leveling_slots", lambda counts, top: listed.append(counts.where(F.col("c") < top).selectExpr(
+        f"sum({top} - c)").first()[0] or 0) or real(counts, top))
+    held = spark.range(300_000).selectExpr("id AS key", "CAST(7 AS INT) AS task")
+    start = time.time()
+    for new in (1, 60):
+        keys = held.select("key").unionByName(spark.range(300_000, 300_000 + new).selectExpr("id AS key"))
+        got = op.assign_least_loaded(keys, ["key"], 50, held)
+        added = sorted((r.key, r.task) for r in got.where("key >= 300000").collect())
+        others = [t for t in range(50) if t != 7]
+        assert added == [(300_000 + i, others[i % 49]) for i in range(new)]
+        assert listed[-1] <= new + 50
+    assert time.time() - start < 60
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.integers(0, 30), min_size=1, max_size=6), st.integers(0, 40))
+def test_uneven_counts_equal_the_heap(spark, counts, new):
+    import heapq
+
+    from tidelog.operators import assign as op
+
+    held = [(f"h{t}-{i}", t) for t, c in enumerate(counts) for i in range(c)]
+    heap = [(c, t) for t, c in enumerate(counts)]
+    heapq.heapify(heap)
+    want = {}
+    for i in range(new):
+        c, t = heapq.heappop(heap)
+        want[f"n{i:03d}"] = t
+        heapq.heappush(heap, (c + 1, t))
+    existing = spark.createDataFrame(held, "key STRING, task INT")
+    keys = spark.createDataFrame([(f"n{i:03d}",) for i in range(new)] + [(k,) for k, _ in held], "key STRING")
+    got = {r.key: r.task for r in op.assign_least_loaded(keys, ["key"], len(counts), existing).collect()}
+    assert got == {**dict(held), **want}

@@ -223,11 +223,13 @@ def test_chunked_running_max_equals_brute_force(spark, width, rnd):
     assert got_max == want_max
 
 
-def test_checkpoint_added_twice_is_an_error(spark):
+def test_checkpoint_added_twice_is_accepted_but_not_by_the_incremental_tracker(spark):
     cks = spark.createDataFrame([(0, 1, 1, 1), (0, 1, 2, 2)], "reader INT, ck INT, added_at INT, seq INT")
     notes = spark.createDataFrame([(0, 1, 5)], "reader INT, ck INT, notified_at INT")
+    assert rows(pg.effective_commits(cks, notes), "ck", "effective", "added_at") == [(1, True, 2)]
+    prior = spark.createDataFrame([], "reader INT, max_seq INT")
     with pytest.raises(Exception, match="checkpoint added twice"):
-        pg.effective_commits(cks, notes).collect()
+        pg.effective_commits(cks, notes, prior=prior).collect()
 
 
 def test_sparse_offsets_give_as_many_chunks_as_dense_ones(spark, monkeypatch):

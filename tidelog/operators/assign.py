@@ -7,13 +7,16 @@ is a closed form that runs as joins:
 * Task ``t`` holding ``c_t`` keys offers one slot per level ``c_t, c_t + 1, ...``.  Serving keys
   in arrival order from the heap equals taking slots in ``(level, task)`` order, so the key of
   rank ``r`` gets slot ``r``.
-* With ``L`` the highest count, the slots below level ``L`` are the *leveling slots*: ``L - c_t`` of
-  task ``t``, ``S`` in all.  They are listed once, ranked by ``(level, task)`` and joined to the first
-  ``S`` keys by rank.  From rank ``S`` on every task takes part in turn: ``task = (r - S) mod tasks``.
-
-The slot table has ``S`` rows, which is at most the keys held times the tasks' imbalance; ranks of keys
-and slots come from :func:`index_within` (range partitioned, no single-task window), and ranks meet by an
-equi-join.
+* ``m`` new keys reach a *water level*: with the counts sorted and summed up, raising the ``k`` least loaded
+  tasks to the ``k``-th count takes ``k c_k - (c_1 + .. + c_k)`` keys; the last ``k`` for which ``m`` suffices
+  gives the level ``(m + c_1 + .. + c_k) div k``.  Only the slots up to it are listed, at most ``m`` plus one
+  for each task, however uneven the counts are.  They are ranked by ``(level, task)`` and joined to
+  the keys by rank.
+* Where the level exceeds the highest count ``L``, the slots below ``L`` are listed, ``S`` in all, and from rank
+  ``S`` on every task takes part in turn: ``task = (r - S) mod tasks``.
+
+Ranks of keys and slots come from :func:`index_within` (range partitioned, no single-task window), and ranks
+meet by an equi-join.  Only the sort of the counts is one task: one row for each task of the job.
 """
 
 from __future__ import annotations
@@ -49,6 +52,14 @@ def task_counts(spark, assigned: DataFrame, num_tasks: int) -> DataFrame:
             .select("task", F.coalesce("_c", F.lit(0)).cast("bigint").alias("c")))
 
 
+def water_level(counts: DataFrame, new_keys: int) -> int | None:
+    """The number of keys that the least loaded tasks hold, rounded down, after ``new_keys`` more."""
+    w = Window.orderBy("c", "task").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counts.select("c", F.count(F.lit(1)).over(w).alias("k"), F.sum("c").over(w).alias("held"))
+    enough = summed.where(F.col("k") * F.col("c") - F.col("held") <= F.lit(int(new_keys)))
+    return enough.agg(F.max_by(F.expr(f"({int(new_keys)} + held) DIV k"), "k")).first()[0]
+
+
 def leveling_slots(counts: DataFrame, top: int) -> DataFrame:
     """``_r, task``: the slots of all tasks below level ``top``, ranked by level, then task."""
     slots = counts.where(F.col("c") < top).select("task", F.explode(F.sequence("c", F.lit(top - 1).cast("bigint"))).alias("level"))
@@ -70,15 +81,16 @@ def assign_least_loaded(keys: DataFrame, order_cols: Sequence[str], num_tasks: i
         existing = keys.select(key, F.lit(None).cast("int").alias("task")).limit(0)
     held = existing.where(F.col("task").isNotNull()).select(key, F.col("task").cast("int").alias("task"))
     counts = task_counts(spark, held, num_tasks)
-    fresh = keys.join(held.select(key), key, "left_anti")
-    ranked = index_within(fresh, [], list(order_cols), out="_r", group_bound=0)
+    fresh = keys.join(held.select(key), key, "left_anti").select(*dict.fromkeys([key, *order_cols]))
+    ranked = index_within(fresh, [], list(order_cols), out="_r", group_bound=0).select("_r", key)
     low, high, sum_held = counts.agg(F.min("c"), F.max("c"), F.sum("c")).first()
     total = high * num_tasks - sum_held
     # keys after the leveling slots: every task takes part in turn
     if high == low:
         placed = ranked.select(key, F.pmod(F.col("_r"), F.lit(num_tasks)).cast("int").alias("task"))
     else:
-        slots = leveling_slots(counts, high)
+        # the level that is being filled when the keys run out is listed too
+        slots = leveling_slots(counts, min(high, water_level(counts, ranked.count()) + 1))
         placed = (ranked.where(F.col("_r") >= F.lit(total))
                   .select(key, F.pmod(F.col("_r") - F.lit(total), F.lit(num_tasks)).cast("int").alias("task"))
                   .unionByName(ranked.where(F.col("_r") < F.lit(total)).join(slots, "_r").select(key, "task")))

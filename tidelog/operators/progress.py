@@ -5,9 +5,10 @@ included; the split's start offset when nothing was consumed.
 
 Checkpoint commit rule: when checkpoint ``k`` of a reader completes and ``k`` is still pending,
 its cursors are committed and every checkpoint the reader added before ``k`` is dropped; a
-completion for an unknown or dropped checkpoint does nothing.  With insertion sequence ``seq``,
-a completion is effective iff its checkpoint was added by then and ``seq`` exceeds every ``seq``
-completed earlier by the same reader - a running max, computed with :func:`prefix_max`.
+completion for an unknown or dropped checkpoint does nothing.  Where a reader adds each id once, with
+insertion sequence ``seq``, a completion is effective iff its checkpoint was added by then and ``seq``
+exceeds every ``seq`` completed earlier by the same reader - a running max, computed with
+:func:`prefix_max`.  Readers that add an id again are folded.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.broadcast import broadcast_bounded
+from tidelog.operators.commits import fold_commits, trace_events
 from tidelog.operators.ordered import prefix_max
 from tidelog.schema import DEFAULT_START_OFFSET
 
@@ -111,37 +113,87 @@ def checkpoint_snapshots(log: DataFrame, ck_of_row: Column, readers: int,
 
 def effective_commits(checkpoints: DataFrame, notifications: DataFrame,
                       chunk_width: int = DEFAULT_CK_CHUNK, prior: DataFrame | None = None) -> DataFrame:
-    """``reader, ck, notified_at, effective`` for every completion notification.
-
-    ``checkpoints``: ``reader, ck, added_at, seq`` (each checkpoint added once per reader).
-    ``notifications``: ``reader, ck, notified_at``; at equal ``notified_at`` ties go by ``ck``,
-    and an add at the same instant counts as before the notification.  ``prior``: ``reader,
-    max_seq`` completed before these notifications (incremental use, one row per reader).
-    """
-    # an id added twice would turn one notification into two rows: reading it fails
-    cks = checkpoints.groupBy("reader", "ck").agg(F.min("added_at").alias("added_at"), F.min("seq").alias("seq"), F.count(F.lit(1)).alias("_n"))
-    twice = F.raise_error(F.concat(F.lit("checkpoint added twice: "), F.col("ck").cast("string")))
-    cks = cks.withColumn("seq", F.when(F.col("_n") > 1, twice).otherwise(F.col("seq"))).drop("_n")
-    j = (notifications.select("reader", "ck", "notified_at")
-         .join(cks, ["reader", "ck"], "left")
-         .withColumn("_seq", F.when(F.col("added_at") <= F.col("notified_at"), F.col("seq"))))
+    """``reader, ck, notified_at, [note,] effective, added_at, seq`` for every completion notification.
+
+    ``checkpoints``: ``reader, ck, added_at, seq``, added in the order of ``added_at``, then ``seq``; an id that is added again while it is held replaces the
+    value in place, otherwise it is a new checkpoint.  ``notifications``: ``reader, ck, notified_at`` and
+    optionally ``note``; at equal ``notified_at`` ties go by ``ck`` (then ``note``), and an add at the same
+    instant counts as before the notification.  ``added_at`` and ``seq`` are those of the committed value.
+
+    Readers that add each id once have a closed form (a running max, split into chunks); the events of the
+    others are folded (:mod:`tidelog.operators.commits`).  ``prior``: ``reader, max_seq`` completed before
+    these notifications (incremental use, one row per reader; repeated ids are an error there)."""
+    adds = checkpoints.groupBy("reader", "ck").agg(F.min("added_at").alias("added_at"), F.min("seq").alias("seq"), F.count(F.lit(1)).alias("_n"))
+    extra = ["note"] if "note" in notifications.columns else []
+    columns = ["reader", "ck", "notified_at", *extra, "effective", "added_at", "seq"]
+    if prior is not None:
+        twice = F.raise_error(F.concat(F.lit("checkpoint added twice: "), F.col("ck").cast("string")))
+        adds = adds.withColumn("seq", F.when(F.col("_n") > 1, twice).otherwise(F.col("seq")))
+        return _running_commits(adds, notifications, extra, chunk_width, prior).select(columns)
+    again = adds.where("_n > 1").select("reader").distinct()
+    once = _running_commits(adds.join(again, "reader", "left_anti"), notifications.join(again, "reader", "left_anti"), extra, chunk_width, None)
+    folded = fold_commits(trace_events(checkpoints, notifications).join(again, "reader", "left_semi"))
+    return once.select(columns).unionByName(folded.select([F.col(c).cast(once.schema[c].dataType) for c in columns]))
+
+
+def _running_commits(adds: DataFrame, notifications: DataFrame, extra: list[str], chunk_width: int, prior: DataFrame | None) -> DataFrame:
+    j = (notifications.select("reader", "ck", "notified_at", *extra)
+         .join(adds.drop("_n"), ["reader", "ck"], "left")
+         .withColumn("_seq", F.when(F.col("added_at") <= F.col("notified_at"), F.col("seq") if prior is not None else F.struct("added_at", "seq"))))
     chunk = _chunk_of("notified_at", j.schema["notified_at"].dataType, chunk_width)
-    pm = prefix_max(j, ["reader"], ["notified_at", "ck"], "_seq", chunk, "_prior", inclusive=False)
+    pm = prefix_max(j, ["reader"], ["notified_at", "ck", *extra], "_seq", chunk, "_prior", inclusive=False)
     if prior is not None:
-        pm = (pm.join(F.broadcast(prior.select("reader", F.col("max_seq").alias("_state"))), "reader", "left")
+        pm = (pm.join(prior.select("reader", F.col("max_seq").alias("_state")), "reader", "left")
               .withColumn("_prior", F.greatest("_prior", "_state")).drop("_state"))
-    eff = F.col("_seq").isNotNull() & (F.col("_prior").isNull() | (F.col("_seq") > F.col("_prior")))
-    return pm.select("reader", "ck", "notified_at", F.coalesce(eff, F.lit(False)).alias("effective"),
-                     F.col("_seq").alias("seq"))
+    eff = F.coalesce(F.col("_seq").isNotNull() & (F.col("_prior").isNull() | (F.col("_seq") > F.col("_prior"))), F.lit(False))
+    if prior is not None:
+        return pm.withColumn("effective", eff).withColumn("seq", F.col("_seq"))
+    return (pm.withColumn("effective", eff).withColumn("seq", F.when(F.col("effective"), F.col("seq")))
+            .withColumn("added_at", F.when(F.col("effective"), F.col("added_at"))))
 
 
 def committed_cursors(snapshots: DataFrame, commits: DataFrame) -> DataFrame:
     """``part, position``: the cursor each partition holds after all effective commits, i.e. the
-    snapshot position of the last effective completion (in notification order) covering it."""
-    eff = commits.where("effective").select("reader", "ck", "notified_at")
-    j = snapshots.join(eff, ["reader", "ck"])
+    snapshot position of the last effective completion (in notification order) covering it.
+
+    Snapshots with a ``seq`` (:func:`snapshots_at`) are those of one adding of a checkpoint id, and only the
+    adding whose value was committed counts."""
+    keys = ["reader", "ck"] + (["seq"] if "seq" in snapshots.columns else [])
+    extra = ["note"] if "note" in commits.columns else []
+    eff = commits.where("effective").select(*keys, "notified_at", *extra)
+    j = snapshots.join(eff, keys)
     return j.groupBy("part").agg(
-        F.max_by("position", F.struct("notified_at", "ck")).alias("position"))
+        F.max_by("position", F.struct("notified_at", "ck", *extra)).alias("position"))
+
+
+def snapshots_at(log: DataFrame, barriers: DataFrame, parts: DataFrame, finished: DataFrame | None = None,
+                 at: str = "publish_time") -> DataFrame:
+    """``reader, ck, seq, added_at, part, position`` at every barrier that there is.
+
+    ``barriers``: ``reader, ck, seq, added_at`` - one row for each adding of a checkpoint.  ``parts``: ``reader,
+    part, start_off`` - who reads which partition, from where.  A barrier covers the messages with ``at`` up to
+    ``added_at``.  ``finished``: ``part, position, finished_at`` - from then on the reader no longer holds the
+    partition, but every checkpoint it adds still carries it, once, at its last position; messages after the
+    finish do not count.
+
+    Position changes (the log reduced to one row per partition and instant), finish events and barriers are
+    merged in time order and the position is carried forward from row to row (running max in chunks of
+    an hour), so the cost follows changes and barriers, never the time between them."""
+    changes = log.select("part", "off", F.col(at).alias("at")).groupBy("part", "at").agg(F.max("off").alias("off"))
+    kinds = {f.name: f.dataType for f in barriers.schema.fields}
+    if finished is not None:
+        end = finished.select("part", F.col("finished_at").alias("_end"), F.col("position").alias("_last"))
+        changes = (changes.join(end, "part", "left").where(F.col("_end").isNull() | (F.col("at") <= F.col("_end")))
+                   .select("part", "at", F.least("off", "_last").alias("off")))
+        changes = changes.unionByName(end.select("part", F.col("_end").alias("at"), F.col("_last").cast("bigint").alias("off")))
+    empty = [F.lit(None).cast(kinds[c]).alias(c) for c in ("reader", "ck", "seq")]
+    rows = changes.select("part", "at", "off", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("start_off"), *empty).unionByName(
+        barriers.select("reader", "ck", "seq", F.col("added_at").alias("at")).join(parts.select("reader", "part", "start_off"), "reader").select(
+            "part", "at", F.lit(None).cast("bigint").alias("off"), F.lit(1).alias("kind"), F.col("start_off").cast("bigint").alias("start_off"),
+            *[F.col(c).cast(kinds[c]).alias(c) for c in ("reader", "ck", "seq")]))
+    run = prefix_max(rows, ["part"], ["at", "kind"], "off", _chunk_of("at", rows.schema["at"].dataType, DEFAULT_CK_CHUNK), "_run")
+    return run.where("kind = 1").select("reader", "ck", "seq", F.col("at").alias("added_at"), "part",
+                                        F.coalesce("_run", "start_off", F.lit(DEFAULT_START_OFFSET).cast("bigint")).alias("position"))
 
 
 def redelivered(consumed: DataFrame, committed: DataFrame, inclusive: bool = True,

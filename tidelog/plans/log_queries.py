@@ -12,14 +12,14 @@ from tidelog.functions.splits import (dedup_splits, enumerator_from_state, enume
 from tidelog.operators import progress as pg
 from tidelog.operators.ordered import prev_offset
 from tidelog.operators.records import emitted, fetch_batches, flatten_batches, to_records
-from tidelog.plans.params import (CRASH_DAY, CURSOR_AS_OF, CURSOR_PARTS, EPOCH, EVENTS_LOG_SQL,
-                                  FETCH_SIZE, FOREIGN_SUBSCRIPTION, K_SQL, KNOWN_BELOW, LI_CK_DAYS,
-                                  LI_CURSOR_AS_OF, LI_EPOCH, LINEITEM_LOG_SQL, READERS, STOP_AS_OF,
-                                  SUBSCRIPTION)
+from tidelog.plans.params import (CHECKPOINT_IDS, COMMIT_READERS, CRASH_AT, CURSOR_AS_OF, CURSOR_PARTS, EPOCH,
+                                  EVENTS_LOG_SQL, FETCH_SIZE, FINISHED_AT, FINISHED_FROM, FOREIGN_SUBSCRIPTION,
+                                  K_SQL, KNOWN_BELOW, LI_CK_DAYS, LI_CURSOR_AS_OF, LI_EPOCH, LINEITEM_LOG_SQL,
+                                  READERS, STOP_AS_OF, SUBSCRIPTION, TRACE_EPOCH, TRACE_MINUTES, TRACE_SQL)
 from tidelog.plans.registry import register
 from tidelog.schema import SPLIT_DDL
 from tidelog.sources import scan
-from tidelog.sources.logs import EVENTS_PARTITIONS, LINEITEM_PARTITIONS, events_log, lineitem_log
+from tidelog.sources.logs import EVENTS_PARTITIONS, LINEITEM_PARTITIONS, events_log, lineitem_log, table
 
 K = dec.data_only(dec.json_field("k"))
 P = EVENTS_PARTITIONS
@@ -282,72 +282,104 @@ SNAP_SQL = f"""snaps AS (
                                             (SELECT max(CAST(CAST(publish_time AS DATE) - DATE '{EPOCH}' AS BIGINT)) FROM log) + 1)) d
   LEFT JOIN (SELECT part, CAST(CAST(publish_time AS DATE) - DATE '{EPOCH}' AS BIGINT) AS ck, max(off) AS m FROM log GROUP BY ALL) x
     ON x.part = p.part AND x.ck = d.ck)"""
-NOTE_SQL = f"""notes AS (
-  SELECT reader, ck, ck + (ck * 7) % 5 AS notified_at, ck AS seq FROM (SELECT DISTINCT reader, ck FROM snaps) WHERE ck % 3 <> 0),
-commits AS (
-  SELECT reader, ck, notified_at,
-         coalesce(seq > max(seq) OVER (PARTITION BY reader ORDER BY notified_at, ck
-                                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS effective
-  FROM notes)"""
-COMMITTED_SQL = """committed AS (
-  SELECT s.part, arg_max(s.position, c.notified_at * 1000000 + c.ck) AS position
-  FROM snaps s JOIN commits c USING (reader, ck) WHERE c.effective {extra} GROUP BY s.part)"""
+WR = "WITH RECURSIVE " + EVENTS_LOG_SQL
+COMMITTED_SQL = """last AS (SELECT reader, arg_max(added_at, i) AS added_at FROM commits WHERE effective {extra} GROUP BY reader),
+committed AS (
+  SELECT p.part, coalesce(max(l.off), 0) AS position
+  FROM (SELECT DISTINCT part FROM log) p JOIN last ON last.reader = p.part % """ + str(COMMIT_READERS) + """
+  LEFT JOIN log l ON l.part = p.part AND l.publish_time <= last.added_at GROUP BY p.part)"""
 
 
 def _snapshots(log: DataFrame) -> DataFrame:
     return pg.checkpoint_snapshots(log, _day(), READERS)
 
 
-def _trace(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Checkpoints (each added once, at its barrier) and completions (every ck with ck % 3 <> 0,
-    notified (ck * 7) % 5 barriers later)."""
-    cks = (pg.checkpoint_barriers(log, _day(), READERS)
-           .select("reader", "ck", F.col("ck").alias("added_at"), F.col("ck").alias("seq")))
-    notes = (cks.where(F.col("ck") % 3 != 0)
-             .select("reader", "ck", (F.col("ck") + (F.col("ck") * 7) % 5).alias("notified_at")))
+def order_trace(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Checkpoints and completions, one each for every order: the reader of its customer adds a checkpoint at
+    the order date, and is told that it is complete when the order's last item is shipped.  Ids come again."""
+    def on_axis(day: str):
+        minutes = F.datediff(F.to_date(F.col(day)), F.lit(TRACE_EPOCH)) * F.lit(TRACE_MINUTES)
+        return F.lit(EPOCH).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+
+    reader, ck = F.col("o_custkey") % COMMIT_READERS, F.col("o_orderkey") % CHECKPOINT_IDS
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    shipped = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("shipped"))
+    cks = orders.select(reader.alias("reader"), ck.alias("ck"), on_axis("o_orderdate").alias("added_at"), F.col("o_orderkey").alias("seq"))
+    notes = orders.join(shipped, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        reader.alias("reader"), ck.alias("ck"), on_axis("shipped").alias("notified_at"), F.col("o_orderkey").alias("note"))
     return cks, notes
 
 
+def _reader_parts(log: DataFrame) -> DataFrame:
+    """``reader, part, start_off`` of the checkpoint trace."""
+    return scan.topic_partitions(log).select((F.col("part") % COMMIT_READERS).cast("bigint").alias("reader"), "part",
+                                             F.lit(0).cast("bigint").alias("start_off"))
+
+
+def _committed(log: DataFrame, commits: DataFrame) -> DataFrame:
+    """Cursors after ``commits``: positions at the barriers whose values were committed."""
+    barriers = commits.where("effective").select("reader", "ck", "seq", "added_at")
+    return pg.committed_cursors(pg.snapshots_at(log, barriers, _reader_parts(log)), commits)
+
+
 @register("checkpoint_snapshots", f"{W}, {SNAP_SQL} SELECT reader, ck, part, position FROM snaps")
 def checkpoint_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of every partition at every daily checkpoint barrier."""
     return _snapshots(events_log(spark, sf_dir))
 
 
-@register("effective_commits", f"{W}, {SNAP_SQL}, {NOTE_SQL} SELECT reader, ck, notified_at, effective FROM commits")
+@register("checkpoint_snapshots_sparse", f"""{W},
+bars AS (
+  SELECT o_custkey % {COMMIT_READERS} AS reader, o_orderkey % {CHECKPOINT_IDS} AS ck, o_orderkey AS seq,
+         TIMESTAMP '{EPOCH}' + (CAST(o_orderdate AS DATE) - DATE '{TRACE_EPOCH}') * INTERVAL {TRACE_MINUTES} MINUTE AS added_at FROM orders),
+changes AS (
+  SELECT part, publish_time AS t, max(off) AS off FROM log
+  WHERE part < {FINISHED_FROM} OR publish_time < TIMESTAMP '{FINISHED_AT}' GROUP BY ALL),
+r AS (
+  SELECT NULL AS reader, NULL AS ck, NULL AS seq, part, t, 0 AS kind, off FROM changes
+  UNION ALL SELECT b.reader, b.ck, b.seq, p.part, b.added_at, 1, NULL FROM bars b JOIN (SELECT DISTINCT part FROM log) p ON p.part % {COMMIT_READERS} = b.reader)
+SELECT reader, ck, seq, t AS added_at, part, position FROM (
+  SELECT *, coalesce(max(off) OVER (PARTITION BY part ORDER BY t, kind, seq ROWS UNBOUNDED PRECEDING), 0) AS position FROM r) WHERE kind = 1""")
+def checkpoint_snapshots_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions at every checkpoint that an order adds, and nowhere else; two partitions are finished and
+    keep their last position in all later checkpoints."""
+    log = events_log(spark, sf_dir)
+    at = F.lit(FINISHED_AT).cast("timestamp_ntz")
+    finished = (log.where((F.col("part") >= FINISHED_FROM) & (F.col("publish_time") < at))
+                .groupBy("part").agg(F.max("off").alias("position")).withColumn("finished_at", at))
+    return pg.snapshots_at(log, order_trace(spark, sf_dir)[0], _reader_parts(log), finished)
+
+
+@register("effective_commits", f"{WR}, {TRACE_SQL} SELECT reader, ck, notified_at, note, effective, added_at FROM commits")
 def effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which completion notifications commit cursors (out-of-order completions prune)."""
-    cks, notes = _trace(events_log(spark, sf_dir))
-    return pg.effective_commits(cks, notes).select("reader", "ck", "notified_at", "effective")
+    """Which completion notifications commit cursors, of which adding of their checkpoint."""
+    cks, notes = order_trace(spark, sf_dir)
+    return pg.effective_commits(cks, notes).drop("seq")
 
 
-@register("committed_cursors", f"""{W}, {SNAP_SQL}, {NOTE_SQL}, {COMMITTED_SQL.format(extra='')}
+@register("committed_cursors", f"""{WR}, {TRACE_SQL}, {COMMITTED_SQL.format(extra='')}
 SELECT part, position FROM committed""")
 def committed_cursors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cursor of every partition after all effective commits."""
-    log = events_log(spark, sf_dir)
-    cks, notes = _trace(log)
-    return pg.committed_cursors(_snapshots(log), pg.effective_commits(cks, notes))
+    return _committed(events_log(spark, sf_dir), pg.effective_commits(*order_trace(spark, sf_dir)))
 
 
 def _crash(spark: SparkSession, sf_dir: str):
     log = events_log(spark, sf_dir)
-    snaps = _snapshots(log)
-    cks, notes = _trace(log)
-    commits = pg.effective_commits(cks, notes).where(F.col("notified_at") <= CRASH_DAY)
-    committed = pg.committed_cursors(snaps, commits)
-    consumed = log.where(_day() <= CRASH_DAY)
-    return log, consumed, committed
+    crash = F.lit(CRASH_AT).cast("timestamp_ntz")
+    cks, notes = order_trace(spark, sf_dir)
+    commits = pg.effective_commits(cks.where(F.col("added_at") < crash), notes.where(F.col("notified_at") < crash))
+    return log, log.where(F.col("publish_time") < crash), _committed(log, commits)
 
 
-_CRASH_SQL = f"""{W}, {SNAP_SQL}, {NOTE_SQL}, {COMMITTED_SQL.format(extra=f'AND c.notified_at <= {CRASH_DAY}')},
-consumed AS (SELECT part, off FROM log WHERE CAST(CAST(publish_time AS DATE) - DATE '{EPOCH}' AS BIGINT) <= {CRASH_DAY})"""
+_CRASH_SQL = f"""{WR}, {TRACE_SQL}, {COMMITTED_SQL.format(extra=f"AND notified_at < TIMESTAMP '{CRASH_AT}'")},
+consumed AS (SELECT part, off FROM log WHERE publish_time < TIMESTAMP '{CRASH_AT}')"""
 
 
 @register("redelivery", f"""{_CRASH_SQL}
 SELECT c.part, c.off FROM consumed c LEFT JOIN committed k USING (part) WHERE k.position IS NULL OR c.off >= k.position""")
 def redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages delivered twice after a crash on day 20 and a restart from committed cursors."""
+    """Messages delivered twice after a crash and a restart from committed cursors."""
     _, consumed, committed = _crash(spark, sf_dir)
     return pg.redelivered(consumed, committed, inclusive=True, part_bound=P).select("part", "off")
 

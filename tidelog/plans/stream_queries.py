@@ -14,14 +14,16 @@ from tidelog.functions import timestamps as tsf
 from tidelog.operators import progress as pg
 from tidelog.operators.records import emitted, to_records
 from tidelog.plans import log_queries as lq
-from tidelog.plans.params import CURSOR_AS_OF
+from tidelog.operators.commits import trace_events
+from tidelog.plans.params import CURSOR_AS_OF, EPOCH
 from tidelog.plans.registry import REGISTRY, register
 from tidelog.session import scratch_dir
 from tidelog.sources import scan
-from tidelog.options import FlowControl
+from tidelog.options import FlowControl, LogSourceOptions
 from tidelog.sources.logs import EVENTS_PARTITIONS, events_log, events_log_from, read_log_between, write_log
 from tidelog.streaming import stream as st
-from tidelog.streaming.dedup import start_position_filter
+from tidelog.streaming.commits_state import run_commit_stream
+from tidelog.streaming.dedup import start_redelivery_filter
 
 
 def _sql(name: str) -> str:
@@ -100,7 +102,7 @@ def _filtered(spark: SparkSession, deliveries: list[DataFrame], name: str) -> Da
     for i, rows in enumerate(deliveries):
         rows.write.parquet(f"{inbox}/{i}")
         stream = spark.readStream.schema(rows.schema).parquet(f"{inbox}/*")
-        q = start_position_filter(stream, out, state, ck)
+        q = start_redelivery_filter(stream, out, state, ck)
         q.awaitTermination()
         st._raise(q)
     return spark.read.parquet(out).select("part", "off")
@@ -109,7 +111,7 @@ def _filtered(spark: SparkSession, deliveries: list[DataFrame], name: str) -> Da
 @register("stream_dedup", _sql("dedup_redelivered"))
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first run up to a crash and a resumed run (re-reading from committed cursors) arrive one after
-    the other; rows at or below their partition's position are dropped."""
+    the other; rows that were passed on before are dropped."""
     log, consumed, committed = lq._crash(spark, sf_dir)
     second = pg.resume_scan(log, committed, inclusive=True, part_bound=EVENTS_PARTITIONS)
     return _filtered(spark, [consumed, second], "stream-dedup")
@@ -125,6 +127,16 @@ def stream_dedup_lagging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _filtered(spark, [early, early, rest, log], "stream-lagging")
 
 
+@register("stream_dedup_unordered", f"{lq.W} SELECT DISTINCT part, off FROM log")
+def stream_dedup_unordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries out of offset order: the later half, the earlier half with an overlap, days from the middle,
+    everything again.  Every message comes out once, also those below offsets that were delivered before."""
+    log = events_log(spark, sf_dir)
+    late = F.col("publish_time") >= F.lit(CURSOR_AS_OF).cast("timestamp_ntz")
+    middle = F.dayofmonth("publish_time").between(8, 20)
+    return _filtered(spark, [log.where(late), log.where(~late | middle), log.where(middle), log], "stream-unordered")
+
+
 # ------------------------------------------------- a written log, read through the file source
 
 def _written_log(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -155,24 +167,40 @@ def plog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_effective_commits", _sql("effective_commits"))
 def stream_effective_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Completion notifications arrive as a stream (three files, in notification order, one per
-    trigger); the commit rule is applied batch by batch with per-reader state carried over."""
-    from tidelog.streaming.commits import start_commit_tracker
-
-    cks, notes = lq._trace(events_log(spark, sf_dir))
-    cks_path, inbox = scratch_dir(spark, "ck-table"), scratch_dir(spark, "notes-inbox")
-    cks.write.parquet(cks_path)
-    bounds = [(None, 10), (10, 20), (20, None)]
-    for i, (lo, hi) in enumerate(bounds):
-        part = notes
-        if lo is not None:
-            part = part.where(F.col("notified_at") >= lo)
-        if hi is not None:
-            part = part.where(F.col("notified_at") < hi)
-        part.coalesce(1).write.parquet(f"{inbox}/n{i}")
-    stream = spark.readStream.schema(notes.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
-    out, state = scratch_dir(spark, "commits-out"), scratch_dir(spark, "commits-state")
-    q = start_commit_tracker(stream, cks_path, out, state, scratch_dir(spark, "commits-ck"))
-    q.awaitTermination()
-    st._raise(q)
-    return spark.read.parquet(out).select("reader", "ck", "notified_at", "effective")
+    """The checkpoint trace arrives as a stream in three deliveries; every reader's open checkpoints are keyed
+    state that is carried from run to run."""
+    cks, notes = lq.order_trace(spark, sf_dir)
+    events = trace_events(cks, notes)
+    events = events.select("reader", "ck", tsf.epoch_ms(F.col("at")).alias("at"), "kind", F.col("tie.a").alias("tie_a"), F.col("tie.b").alias("tie_b"))
+    inbox, out, ck = scratch_dir(spark, "trace-inbox"), scratch_dir(spark, "commits-out"), scratch_dir(spark, "commits-ck")
+    day = F.floor((F.col("at") - tsf.epoch_ms(F.lit(EPOCH).cast("timestamp_ntz"))) / 86_400_000)
+    for i, some in enumerate((day < 10, (day >= 10) & (day < 20), day >= 20)):
+        events.where(some).write.parquet(f"{inbox}/{i}")
+        run_commit_stream(spark.readStream.schema(spark.read.parquet(f"{inbox}/{i}").schema).parquet(f"{inbox}/*"), out, ck)
+    return spark.read.parquet(out).select("reader", "ck", tsf.from_epoch_ms(F.col("notified_at")).alias("notified_at"), "note", "effective",
+                                          tsf.from_epoch_ms(F.col("added_at")).alias("added_at"))
+
+
+@register("stream_two_subscriptions", f"""{lq.W},
+slow AS (SELECT part, max(off) AS position FROM log WHERE publish_time < TIMESTAMP '{CURSOR_AS_OF}' GROUP BY part),
+fast AS (SELECT part, max(off) AS position FROM log GROUP BY part)
+SELECT 'slow' AS subscription, l.part, l.off FROM log l LEFT JOIN slow USING (part) WHERE position IS NULL OR l.off >= position
+UNION ALL SELECT 'fast', l.part, l.off FROM log l JOIN fast USING (part) WHERE l.off >= position""")
+def stream_two_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two subscriptions commit their cursors to one folder, one of them stops early; a stream under the
+    options of each resumes from its own cursors."""
+    path, log = scratch_dir(spark, "two-log"), events_log(spark, sf_dir)
+    write_log(log, path)
+    cursors, found = scratch_dir(spark, "two-cursors"), None
+    early = F.col("publish_time") < F.lit(CURSOR_AS_OF).cast("timestamp_ntz")
+    for name, rows in (("fast", st.log_stream(spark, path)), ("slow", st.log_stream(spark, path).where(early))):
+        q = st.start_with_cursors(rows.select("part", "off"), scratch_dir(spark, f"two-{name}"), cursors, scratch_dir(spark, f"two-{name}-ck"), subscription=name)
+        q.awaitTermination()
+        st._raise(q)
+    for name in ("fast", "slow"):
+        options = LogSourceOptions(name, FlowControl(1 << 30, 1 << 30), resume="inclusive")
+        out = scratch_dir(spark, f"two-{name}-again")
+        st.run_to_files(st.open_log_stream(spark, path, options, cursors), out, scratch_dir(spark, f"two-{name}-again-ck"))
+        again = spark.read.parquet(out).select(F.lit(name).alias("subscription"), "part", "off")
+        found = again if found is None else found.unionByName(again)
+    return found

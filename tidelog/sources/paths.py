@@ -15,3 +15,14 @@ def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+
+
+def batch_folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """Batch id -> folder, for the finished (``_SUCCESS``) folders ``path/batch=<id>``.  One listing by the
+    file system that ``path`` names."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "batch=*/_SUCCESS"))
+    folders = (s.getPath().getParent() for s in done or [])
+    return {int(f.getName().split("=", 1)[1]): f.toString() for f in folders}
