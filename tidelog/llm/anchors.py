@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
-from .base import arrow_map, flat, groups
+from .base import arrow_map, flat, groups, written
 from .rolling import BYTE_VALUES, Prefix, U, mix, winnow, word_bounds, word_prints
 
 #: Window starts handled at once; a longer text is cut into overlapping pieces.
@@ -132,7 +132,7 @@ def repeat_contexts(seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
     with the sign bit of ``run`` set where the context occurs twice or more."""
     mixed = seeds.where(~F.col("uniform"))
     contexts = mixed.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "run")).alias("one"))
-    many = contexts.where("n > 1").select("anchor", "context")
+    many = written(contexts.where("n > 1").select("anchor", "context"), "contexts")
     whole = seeds.where("uniform").select("rid", "run").unionByName(mixed.join(many, ["anchor", "context"]).select("rid", "run"))
     sign = F.when(F.col("n") > 1, F.lit(-(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     return whole, contexts.select(F.col("one.rid").alias("rid"), F.col("one.run").bitwiseOR(sign).alias("run"))

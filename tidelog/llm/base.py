@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.session import scratch_dir
+
 _shipped: set[str] = set()
 
 
@@ -32,14 +35,28 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def give_back() -> None:
+    """Hands free memory of the Arrow pool and the C heap back to the system.  Python workers live on between
+    stages; what one task's batches took would otherwise count against the executor in all later ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
     """``df.mapInArrow`` with ``fn(batch) -> iterable of batches`` applied to each batch."""
     ship(df.sparkSession)
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield from fn(batch)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield from fn(batch)
+                    del batch
+                    give_back()
+        finally:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -79,5 +96,14 @@ def per_text(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def row_key(id_col: str, text_col: str):
-    """64-bit key of a row from its id and text; rows equal in both share it."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+    """64-bit key of a row from its id and text; rows equal in both share it.  A hash skips nulls, so it also
+    takes whether each is null: (null, 'a') and ('a', null) are two rows."""
+    return F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared checkpoint folder.  A table on one side of a join is a plain shuffle
+    there, where an aggregate by the join's key would keep a hot key from being split."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tidelog.session import scratch_dir
 
 from .anchors import anchor_rows, batched_runs, merge_ranges, octets, pack, repeat_contexts, shared_anchors, unpack, with_runs
-from .base import arrow_map, documents, flat, row_key
+from .base import arrow_map, documents, flat, row_key, written
 from .rolling import Prefix, U, mix
 
 NAME = "op10_suffix_dedup"
@@ -92,9 +92,11 @@ def rerank(pairs: DataFrame, last: bool) -> tuple[DataFrame, DataFrame | None]:
         pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("least"))
     alive = counted.where("n > 1 OR least < 0")
     alive = alive.select(*keys) if last else alive.select("rank", (F.col("lo") == F.col("hi")).alias("uniform"))
-    left = pairs.join(alive, keys)
+    left = pairs.join(written(alive, "ranks"), keys)
     if last:
         return left.where("run >= 0").select("rid", "run"), None
+    # written, so that the next round does not do this one again
+    left = written(left.select("uniform", "rid", "run"), "alive")
     return left.where("uniform AND run >= 0").select("rid", "run"), left.where("NOT uniform").select("rid", "run")
 
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
-from .base import arrow_map, documents, flat, groups, row_key, ship
+from .base import arrow_map, documents, flat, groups, row_key, ship, written
 from .components import components
 from .rolling import Prefix, U, fold_ascii, mix, word_bounds, word_prints
 
@@ -204,7 +204,7 @@ def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "t
     rows.join(spark.read.parquet(often), "sig").write.parquet(path)
     shared = spark.read.parquet(path)
     many = shared.where(F.col("m") > FEW)
-    hubs = many.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub")
+    hubs = written(many.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub"), "hubs")
     stars = many.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
     # at most FEW entries in a list
     lists = shared.where(F.col("m") <= FEW).groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("class", "info"))).alias("l"))
@@ -397,7 +397,8 @@ def join(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, text: st
     rows = classes.join(ids, "rid").join(found, F.col("class") == F.col("node"), "left").select(
         "rid", "doc_id", "n_shingles", "class",
         F.when(F.col("n_shingles") > 0, F.coalesce("root", "class")).alias("component"))
-    least = rows.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    rows = written(rows, "rows")
+    least = written(rows.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
     return rows.join(least, "component", "left").select(
         "rid", "doc_id", "n_shingles", "class", "component",
         F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))

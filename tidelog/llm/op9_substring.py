@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidelog.session import scratch_dir
 
 from .anchors import anchor_rows, batched_runs, merge_ranges, pack, repeat_contexts, shared_anchors, unpack, with_runs, words
-from .base import arrow_map, documents, flat, row_key
+from .base import arrow_map, documents, flat, row_key, written
 from .rolling import Prefix, U, mix, word_bounds
 
 NAME = "op9_substring_dedup"
@@ -53,7 +53,7 @@ def repeats(docs: DataFrame, at: str, window: int = WINDOW, seed: int = SEED) ->
     whole, ones = repeat_contexts(spark.read.parquet(path))
     extended = _extend(with_runs(docs, ones), docs.columns.index(at), window)
     twice = extended.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("least"))
-    twice = twice.where("n > 1 OR least < 0").select("w1", "w2")
+    twice = written(twice.where("n > 1 OR least < 0").select("w1", "w2"), "windows")
     single = extended.where("run >= 0").join(twice, ["w1", "w2"]).select("rid", "run")
     return whole.unionByName(single)
 
