@@ -22,8 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
 from .base import arrow_map, flat, groups, written
 from .rolling import BYTE_VALUES, Prefix, U, mix, winnow, word_bounds, word_prints
 
@@ -109,9 +107,8 @@ def shared_anchors(rows: DataFrame) -> DataFrame:
     join are plain shuffles: adaptive execution can then split an anchor that has any share of all rows.
     """
     counted = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("__n"), F.min("context").alias("__lo"), F.max("context").alias("__hi"))
-    path = scratch_dir(rows.sparkSession, "anchors")
-    counted.where("__n > 1").select("anchor", (F.col("__lo") == F.col("__hi")).alias("uniform")).write.parquet(path)
-    return rows.join(rows.sparkSession.read.parquet(path), "anchor")
+    often = written(counted.where("__n > 1").select("anchor", (F.col("__lo") == F.col("__hi")).alias("uniform")), "anchors")
+    return rows.join(often, "anchor")
 
 
 def merge_ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
+#: Setting by which a finished job's shuffle files go.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _shipped: set[str] = set()
 
 
@@ -103,7 +106,14 @@ def row_key(id_col: str, text_col: str):
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder.  A table on one side of a join is a plain shuffle
-    there, where an aggregate by the join's key would keep a hot key from being split."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    there, where an aggregate by the join's key would keep a hot key from being split.  The shuffle files of
+    the job are deleted with its end: nothing reads them again, and without that they stay until the
+    driver happens to collect garbage."""
+    spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.parquet(path)

@@ -37,8 +37,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
 from .anchors import anchor_rows, batched_runs, merge_ranges, octets, pack, repeat_contexts, shared_anchors, unpack, with_runs
 from .base import arrow_map, documents, flat, row_key, written
 from .rolling import Prefix, U, mix
@@ -105,10 +103,7 @@ def repeats(docs: DataFrame, at: str, window: int = WINDOW, lengths: Sequence[in
     column ``at`` of ``docs``, whose first column is the row key ``rid``.  Runs may overlap."""
     if lengths[-1] != window or list(lengths) != sorted(set(lengths)):
         raise ValueError("lengths must grow up to the window")
-    spark = docs.sparkSession
-    path = scratch_dir(spark, "positions")
-    shared_anchors(anchor_rows(docs, octets, window, lengths[0], "rid", at)).write.parquet(path)
-    found, active = repeat_contexts(spark.read.parquet(path))
+    found, active = repeat_contexts(written(shared_anchors(anchor_rows(docs, octets, window, lengths[0], "rid", at)), "positions"))
     for length in lengths[1:]:
         pairs = ranked(with_runs(docs, active), docs.columns.index(at), length, window)
         more, active = rerank(pairs, length == window)

@@ -38,9 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
-from .base import documents, ship
+from .base import documents, ship, written
 
 NAME = "op11_source_divergence"
 #: Fixed value: what separates terms, every ASCII character but letters.
@@ -209,14 +207,8 @@ def audit(docs: DataFrame, least: int = LEAST, ranks: int = RANKS, text: str = "
           side: int = SIDE, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """``lang, source, part, item, value, rank``: part ``pair`` has the other sources of the language, part
     ``term`` the first ``ranks`` kept terms that the source has oftener than its language."""
-    spark = docs.sparkSession
     named = docs.select(F.coalesce(F.col(lang), F.lit("")).alias("lang"), F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(text).alias("text"))
 
-    def written(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
     counts = written(partial_counts(named).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "term_counts")
     words = written(counts.groupBy("lang", "term").agg(F.sum("n").alias("whole"), F.sum("docs").alias("docs")).where(F.col("docs") >= least)
                     .select("lang", "term", "whole"), "kept_terms")

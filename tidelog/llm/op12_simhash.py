@@ -40,9 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
-from .base import arrow_map, documents, ship
+from .base import arrow_map, documents, ship, written
 from .components import components
 from .rolling import U, mix
 
@@ -250,19 +248,16 @@ def shards(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, vantag
 def cells(rows: DataFrame, radius: int, cap: int) -> DataFrame:
     """``tree, shard, lo, hi, side, fp``: shards of up to ``cap`` rows as they are, larger ones as pairs of
     pieces, cut by the distance to a vantage point of the shard."""
-    spark = rows.sparkSession
-    path, bands_path = scratch_dir(spark, "hot_shards"), scratch_dir(spark, "hot_bands")
-    rows.groupBy("tree", "shard").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("v")).where(F.col("n") > cap) \
-        .select("tree", "shard", "v").write.parquet(path)
-    hot = spark.read.parquet(path)
+    hot = written(rows.groupBy("tree", "shard").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("v")).where(F.col("n") > cap)
+                  .select("tree", "shard", "v"), "hot_shards")
     far = F.bit_count(F.col("fp").bitwiseXOR(F.col("v")))
     placed = rows.join(hot, ["tree", "shard"], "left")
     # at most 65 distances in a shard's map
-    placed.where("v IS NOT NULL").groupBy("tree", "shard", far.alias("d")).agg(F.ceil(F.count(F.lit(1)) / F.lit(cap)).cast("int").alias("n")) \
-        .groupBy("tree", "shard").agg(F.map_from_entries(F.collect_list(F.struct("d", "n"))).alias("bands")).write.parquet(bands_path)
+    bands = written(placed.where("v IS NOT NULL").groupBy("tree", "shard", far.alias("d")).agg(F.ceil(F.count(F.lit(1)) / F.lit(cap)).cast("int").alias("n"))
+                    .groupBy("tree", "shard").agg(F.map_from_entries(F.collect_list(F.struct("d", "n"))).alias("bands")), "hot_bands")
     none = F.lit(0)
     plain = placed.where("v IS NULL").select("tree", "shard", none.alias("lo"), none.alias("hi"), none.alias("side"), "fp")
-    cut = placed.where("v IS NOT NULL").join(spark.read.parquet(bands_path), ["tree", "shard"]).withColumn("d", far)
+    cut = placed.where("v IS NOT NULL").join(bands, ["tree", "shard"]).withColumn("d", far)
     # a cell is a pair of pieces; a piece is numbered by its distance and its place there
     number = lambda d, p: d * F.lit(1 << 24) + p
     cut = cut.withColumn("own", number(F.col("d"), F.pmod(F.xxhash64("fp"), F.element_at("bands", F.col("d"))).cast("int")))
@@ -313,13 +308,6 @@ def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, block
                 vantages: int = VANTAGES, cap: int = CAP) -> DataFrame:
     """Per row: the id, ``fp`` (the fingerprint as a long), ``fingerprint`` (16 hex digits) and
     ``component_id``, the least id reachable by links, its own included."""
-    spark = docs.sparkSession
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
     rows = written(fingerprints(docs, words, text, id_col), "prints")
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_prints")
     found = components(written(links(distinct, radius, blocks, vantages, cap), "print_links"))

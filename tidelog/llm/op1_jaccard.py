@@ -43,9 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
-from .base import arrow_map, documents, flat, groups, row_key, ship, written
+from .base import arrow_map, documents, flat, give_back, groups, row_key, ship, written
 from .components import components
 from .rolling import Prefix, U, fold_ascii, mix, word_bounds, word_prints
 
@@ -196,13 +194,10 @@ def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "t
     A signature of up to ``FEW`` rows gives its pairs of near sizes, and only pairs that share as many
     signatures as similar sets must are kept; a larger one gives a star.  A similar pair either shares a
     larger signature, or all it shares is counted."""
-    spark = docs.sparkSession
     rows = signature_rows(docs, words, percent, text)
     # written before the join: both its sides are plain shuffles, so a hot signature can be split
-    often, path = scratch_dir(spark, "often"), scratch_dir(spark, "signatures")
-    rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").write.parquet(often)
-    rows.join(spark.read.parquet(often), "sig").write.parquet(path)
-    shared = spark.read.parquet(path)
+    often = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "often")
+    shared = written(rows.join(often, "sig"), "signatures")
     many = shared.where(F.col("m") > FEW)
     hubs = written(many.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub"), "hubs")
     stars = many.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
@@ -339,6 +334,8 @@ def blocked_pairs(members: DataFrame, read, compare, forest: bool) -> DataFrame:
                     held.append((np.split(elements, np.cumsum(count)[:-1]), side[a + i:a + j], keys[a + i:a + j], sizes[a + i:a + j]))
         if held and (out := finish(group, held)) is not None:
             yield out
+        held = []
+        give_back()
 
     return grouped.mapInArrow(run, "a bigint, b bigint")
 
@@ -386,11 +383,8 @@ def join(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, text: st
     """Per row: ``rid`` (row key), ``doc_id``, ``n_shingles``, ``class`` (fingerprint of its set, 0 for an
     empty one), ``component`` (a fingerprint too; null for an empty set) and ``component_id``, the least
     id reachable by links, its own included."""
-    spark = docs.sparkSession
     plain = docs.select(row_key(id_col, text).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    path = scratch_dir(spark, "classes")
-    sets_of(plain, words).write.parquet(path)
-    classes = spark.read.parquet(path)
+    classes = written(sets_of(plain, words), "classes")
     found = components(links(plain, classes.where("n_shingles > 0"), words, percent))
     # ids travel with the row key; rows that repeat in id and text share both
     ids = plain.select("rid", "doc_id").distinct()

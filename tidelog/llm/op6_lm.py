@@ -33,9 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
-from .base import arrow_map, documents, flat, groups, row_key, ship
+from .base import arrow_map, documents, flat, groups, row_key, ship, written
 from .rolling import U, fold_ascii, mix, word_bounds, word_prints
 
 NAME = "op6_lm_scoring"
@@ -228,9 +226,8 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
 
     columns = "c0 binary, c1 binary, c2 binary, c3 binary"
     packed = docs.select(text).mapInArrow(count, f"part bigint, {columns}")
-    path = scratch_dir(spark, "grams")
-    dealt(packed, n, "part").mapInArrow(lambda b: whole_parts(b, list, gather, add_up), f"part bigint, total bigint, words bigint, {columns}").write.parquet(path)
-    counted = spark.read.parquet(path)
+    counted = written(dealt(packed, n, "part").mapInArrow(lambda b: whole_parts(b, list, gather, add_up),
+                                                          f"part bigint, total bigint, words bigint, {columns}"), "grams")
     total, distinct = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     least = max(min_count, -(-total // arcs) if arcs else 0)
 
@@ -262,9 +259,8 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
 
     both = counted.select("part", F.lit(0).cast("bigint").alias("kind"), "c0", "c1", "c2", "c3").unionByName(
         counted.select("c0", "c1", "c2", "c3").mapInArrow(leaving, f"part bigint, kind bigint, {columns}"))
-    path = scratch_dir(spark, "arcs")
-    dealt(both, n, "part", "kind").mapInArrow(lambda b: whole_parts(b, lambda: ([], []), beside, finish), f"part bigint, {columns}, c4 binary").write.parquet(path)
-    table = spark.read.parquet(path)
+    table = written(dealt(both, n, "part", "kind").mapInArrow(lambda b: whole_parts(b, lambda: ([], []), beside, finish),
+                                                              f"part bigint, {columns}, c4 binary"), "arcs")
     model, often = Model(total, distinct, least, order), max(least, -(-total // ARCS))
 
     def frequent(batches):

@@ -33,8 +33,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.session import scratch_dir
-
 from .anchors import anchor_rows, batched_runs, merge_ranges, pack, repeat_contexts, shared_anchors, unpack, with_runs, words
 from .base import arrow_map, documents, flat, row_key, written
 from .rolling import Prefix, U, mix, word_bounds
@@ -47,10 +45,7 @@ SEED = 10
 def repeats(docs: DataFrame, at: str, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``rid`` and ``run``: runs of repeated windows of the texts in column ``at`` of ``docs``, whose first
     column is the row key ``rid``.  Runs of one text may overlap."""
-    spark = docs.sparkSession
-    path = scratch_dir(spark, "seeds")
-    shared_anchors(anchor_rows(docs, words, window, seed, "rid", at)).write.parquet(path)
-    whole, ones = repeat_contexts(spark.read.parquet(path))
+    whole, ones = repeat_contexts(written(shared_anchors(anchor_rows(docs, words, window, seed, "rid", at)), "seeds"))
     extended = _extend(with_runs(docs, ones), docs.columns.index(at), window)
     twice = extended.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("least"))
     twice = written(twice.where("n > 1 OR least < 0").select("w1", "w2"), "windows")
