@@ -57,7 +57,9 @@ PAIRED = 7
 FEW = 16
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
-BLOCK_SETS = 1024
+BLOCK_SETS = 2048
+#: Rows of a matrix of pairs that are tested at once.
+ROWS = 256
 #: One of so many elements is compared first.
 PICKED = 4
 
@@ -242,12 +244,18 @@ def _pairs(sets: list[np.ndarray], side: np.ndarray, test) -> tuple[np.ndarray,
     occur only pairs across the sides count."""
     owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
     common = intersections(np.concatenate(sets), owner, len(sets))
-    i, j = np.nonzero(common)
-    if side.min() != side.max():
-        across = side[i] != side[j]
-        i, j = i[across], j[across]
-    good = test(i, j, common[i, j].astype(np.int64))
-    return i[good], j[good]
+    left, right = [], []
+    # a few rows of the matrix at a time: in a group of near copies most entries are filled
+    for lo in range(0, len(sets), ROWS):
+        i, j = np.nonzero(common[lo:lo + ROWS])
+        i += lo
+        if side.min() != side.max():
+            across = side[i] != side[j]
+            i, j = i[across], j[across]
+        good = test(i, j, common[i, j].astype(np.int64))
+        left.append(i[good].astype(np.int32))
+        right.append(j[good].astype(np.int32))
+    return np.concatenate(left), np.concatenate(right)
 
 
 def linked_pairs(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
