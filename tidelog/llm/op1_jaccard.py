@@ -57,7 +57,7 @@ PAIRED = 7
 FEW = 16
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
-BLOCK_SETS = 2048
+BLOCK_SETS = 1024
 #: Rows of a matrix of pairs that are tested at once.
 ROWS = 256
 #: One of so many elements is compared first.
