@@ -43,7 +43,8 @@ def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key:
 
     A record without a time of its own (``ts_ms`` null) gets the watermark - the largest record time of the
     batches before - and the wall clock only before any record time was seen.  Without ``key`` records
-    are dealt round robin in ``rank_order``, from partition 0 on in every batch."""
+    are dealt round robin in ``rank_order``, each batch from the partition after the last one on: as offsets
+    have no gaps, the heads add up to the number of records before."""
     import time
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -52,12 +53,14 @@ def log_sink_writer(path: str, options, order_cols: Sequence[str | Column], key:
         watermark = _watermark_before(spark, path, batch_id)
         rank = None
         records = batch
+        heads = _heads_before(spark, path, batch_id)
         if key is None:
-            records, rank = snk.round_robin_rank(batch, list(rank_order or ())), F.col("_rank")
+            # one row, the sum over one row per partition
+            sent = 0 if heads is None else heads.agg(F.sum("_head")).first()[0] or 0
+            records, rank = snk.round_robin_rank(batch, list(rank_order or ())), F.col("_rank") + F.lit(sent)
         env = snk.encode_for(records, options, ts_ms=ts_ms, watermark_ms=None if watermark is None else F.lit(watermark).cast("bigint"),
                              now_ms=now, key=key, key_kind=key_kind, rank=rank)
         numbered = snk.publish(env, order_cols, now, num_partitions=options.num_partitions)
-        heads = _heads_before(spark, path, batch_id)
         if heads is not None:
             numbered = (numbered.join(broadcast_bounded(heads, options.num_partitions), "part", "left")
                         .withColumn("off", F.col("off") + F.coalesce("_head", F.lit(0)))
