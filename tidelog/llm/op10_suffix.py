@@ -1,10 +1,10 @@
-"""Suffix-array dedup: distributed prefix doubling over byte positions.
+"""Suffix-array dedup by names of growing prefixes.
 
-The repeated strings of ``window`` bytes are the positions whose rank by the first ``window`` bytes is
-not unique.  Ranks grow by doubling: the rank of a prefix of ``h`` bytes is the pair of the ranks of
-its halves, pairs are named by 64-bit fingerprints, Spark groups the (rank, position) pairs of each
-round, drops positions whose rank is unique and goes on with longer prefixes for the others until the
-prefix is past the threshold.
+The repeated strings of ``window`` bytes are the positions whose name by the first ``window`` bytes is
+not unique.  Rounds name prefixes of growing length: Spark groups the (name, position) pairs of a round,
+drops positions whose name is unique and goes on with longer prefixes for the others until the prefix
+is past the threshold.  This stands in for prefix doubling: a name is a fingerprint made of the text
+anew, no rank of an earlier round is joined at an offset.
 
 Doubling every byte position would shuffle tens of bytes for each byte of text in each round, so the
 early rounds rank blocks of neighbouring positions that share part of their prefix:
@@ -19,8 +19,8 @@ early rounds rank blocks of neighbouring positions that share part of their pref
 
 Copies of a text or passage are one row with a count in every round, so groups of any size cost what
 one member costs.  Ranks are counted by partial aggregates and joined by the planner (adaptive skew
-splitting).  The positions left after round 0 are written once to the checkpoint folder; texts move
-once, and every round and the removal read that exchange.  A repeat is decided by 128 bits (rank and
+splitting).  What a round leaves is written to the checkpoint folder for the next one; each round and the
+removal deal the texts once.  A repeat is decided by 128 bits (rank and
 block bytes).
 
 Defined cases: a null text is empty; a text shorter than the window stays whole; rows that repeat

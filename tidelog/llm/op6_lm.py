@@ -1,14 +1,14 @@
-"""LM scoring with a weighted backoff automaton.
+"""LM scoring with the arcs and failure weights of a backoff model.
 
 **Model.**  Tokens are lower-cased words and one end for each text.  The root distribution is the
 smoothed unigram ``(c + a) / (N + a (V + 1))``.  Longer n-grams are smoothed by interpolated absolute
 discounting, ``p(w | h) = (c(hw) - D) / c(h) + b(h) p(w | h')``, with ``b(h)`` the mass that the kept
 arcs leave; every distribution sums to one.
 
-**Automaton.**  Every kept n-gram is an arc, every kept history a state; a state's failure arc leads to
-its history without the oldest word and costs ``log b(h)``.  A token's state is the longest kept history
-before it; failure arcs are followed until the word has an arc, log-probabilities are added up.  All
-tokens of a group of texts are read at once, one level of failure arcs after the other.
+**Backoff.**  Every kept n-gram is an arc, every kept history a state with a failure weight ``b(h)``.  The
+traversal of an automaton is not carried out: all tokens of a group of texts are read at once, one length
+of n-grams after the other from the shortest, and each length adds its arcs and the failure weights of the
+histories before it.  The result is that of following failure arcs from the longest kept history.
 
 **Scale.**  An n-gram is kept if it occurs ``MIN_COUNT`` times, whatever the size of the corpus, so the
 model grows with the input and no task or driver holds it.  Keys are 64-bit fingerprints, dealt into

@@ -14,8 +14,8 @@ Copies therefore never meet pair by pair: a group of any size is one context wit
 windows that overlap or touch are merged to maximal repeats and removed from the text.
 
 Scale: the seed rows are counted by a partial aggregate and joined by the planner (adaptive skew
-splitting); texts move once, hash-partitioned by row key, and that exchange serves both the window
-step and the removal.  The rows of shared seeds are written once to the checkpoint folder.  Contexts
+splitting), the counted side of every join being a written table; texts are dealt by row key for the window
+step and again for the removal.  The rows of shared seeds are written once to the checkpoint folder.  Contexts
 and windows are compared by 128 bits (two 64-bit fingerprints).
 
 Defined cases: a null text has no words; a text shorter than the window keeps all its words; rows that
