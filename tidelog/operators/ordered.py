@@ -9,6 +9,7 @@ aggregate:
   once, so the counts and the rows always agree.
 * :func:`prefix_max` - running max of a value inside a group, computed per chunk and carried
   across chunks.  ``chunk`` must be monotone in the order (e.g. ``off DIV width``).
+* :func:`prefix_sum` - sum over the earlier rows of a group, by chunks of numbered rows.
 * :func:`prev_offset` - the previous offset of the same partition (a lag), chunked the same way;
   chunks follow the mean gap of the partition's offsets, so their number follows its rows.
 """
@@ -95,6 +96,24 @@ def prefix_max(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], va
     return res.withColumn(out, F.greatest("_local", "_carry")).drop("_chunk", "_local", "_carry", "_incl")
 
 
+def prefix_sum(df: DataFrame, keys: Sequence[str], index: str, value: str, out: str,
+               width: int = DEFAULT_CHUNK_WIDTH) -> DataFrame:
+    """``out`` = sum of ``value`` over the earlier rows of the same ``keys`` (0 for the first).
+
+    ``index`` numbers the rows of a group without gaps (:func:`index_within`); a chunk is ``width`` of them, so a hot
+    group is many chunks of equal size, carried through one row per chunk."""
+    earlier = Window.partitionBy(*keys, "_chunk").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
+    local = (df.withColumn("_chunk", F.expr(f"`{index}` div {int(width)}"))
+             .withColumn("_local", F.coalesce(F.sum(value).over(earlier), F.lit(0))))
+    chunks = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (local.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_sum"))
+             .select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_chunk").alias("_c_chunk"),
+                     F.coalesce(F.sum("_sum").over(chunks), F.lit(0)).alias("_carry")))
+    cond = [local[k].eqNullSafe(carry[f"_c_{k}"]) for k in keys] + [local["_chunk"].eqNullSafe(carry["_c_chunk"])]
+    return (local.join(carry, cond).withColumn(out, (F.col("_local") + F.col("_carry")).cast("bigint"))
+            .drop(*[f"_c_{k}" for k in keys], "_c_chunk", "_chunk", "_local", "_carry"))
+
+
 def prev_offset(log: DataFrame, out: str = "prev_off", width: int = DEFAULT_CHUNK_WIDTH,
                 part: str = "part", off: str = "off") -> DataFrame:
     """``out`` = previous ``off`` of the same ``part`` (null for the first), without one task per part.

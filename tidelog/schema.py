@@ -13,6 +13,15 @@ LOG_SCHEMA = T.StructType([
     T.StructField("data", T.StringType()), T.StructField("attr", T.StringType()),
     T.StructField("value", T.DoubleType())])
 
+# The same with every field a message has: bytes, an ordering key, attributes with repeated values.
+MESSAGE_DDL = ("part INT, off BIGINT, publish_time TIMESTAMP_NTZ, event_time TIMESTAMP_NTZ, "
+               "key BINARY, data BINARY, attributes MAP<STRING, ARRAY<BINARY>>")
+MESSAGE_SCHEMA = T.StructType([
+    T.StructField("part", T.IntegerType()), T.StructField("off", T.LongType()),
+    T.StructField("publish_time", T.TimestampNTZType()), T.StructField("event_time", T.TimestampNTZType()),
+    T.StructField("key", T.BinaryType()), T.StructField("data", T.BinaryType()),
+    T.StructField("attributes", T.MapType(T.StringType(), T.ArrayType(T.BinaryType())))])
+
 # A split: one partition of one subscription, read from ``start_off``.
 SPLIT_DDL = "subscription STRING, part INT, start_off BIGINT"
 
