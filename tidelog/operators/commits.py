@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import ship_code
+
 ADD, COMPLETE = 0, 1
 
 
@@ -63,6 +65,7 @@ def fold_commits(events: DataFrame) -> DataFrame:
     (:func:`trace_events`): whether it commits, and when the committed value was added and its ``seq``."""
     kinds = {f.name: f.dataType.simpleString() for f in events.schema.fields}
     spark = events.sparkSession
+    ship_code(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (events.select("reader", "ck", "at", "kind", F.col("tie.a").alias("a"), F.col("tie.b").alias("b"))
                # by an expression that no step before is dealt by: the planner takes a union of parts dealt by

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import index_within, prefix_sum
 from tidelog.schema import DEFAULT_MAX_OUTSTANDING_BYTES, require_columns
-from tidelog.session import checkpoint_root
+from tidelog.session import checkpoint_root, ship_code
 
 BUDGETS_PER_BLOCK = 16
 LEAST_BLOCK_BYTES = 32 << 20
@@ -85,6 +85,7 @@ def flush_groups(log: DataFrame, size: Column, budget: int = DEFAULT_MAX_OUTSTAN
     if width < budget:
         raise ValueError("a block must hold at least one budget")
     checkpoint_root(log.sparkSession)
+    ship_code(log.sparkSession)
     sized = log.select("part", "off", F.coalesce(size, F.lit(0)).cast("bigint").alias("bytes"))
     numbered = (index_within(sized, ["part"], ["off"], out="idx", group_bound=part_bound)
                 .withColumn("acc", F.least("bytes", F.lit(int(budget)).cast("bigint"))))

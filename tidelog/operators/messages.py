@@ -62,17 +62,19 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MESSAGE_SCHEMA).parquet(path).select([f.name for f in MESSAGE_SCHEMA.fields])
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` evaluated once, however often ``then`` uses it."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _varint(n: Column) -> Column:
-    """Bytes of ``n`` (never null) as a base-128 varint; a negative number takes ten."""
-    length = F.lit(1).cast("bigint")
-    for k in range(1, 9):
-        length = length + (n >= F.lit(1 << (7 * k))).cast("bigint")
-    return F.when(n < 0, F.lit(10).cast("bigint")).otherwise(length)
+    """Bytes of ``n`` (never null) as a base-128 varint: seven bits a byte; a negative number has 64 bits."""
+    return F.floor((F.length(F.bin(n)) + 6) / 7)
 
 
 def _field(n: Column) -> Column:
     """A length-delimited field of ``n`` bytes: tag, length, content."""
-    return n + _varint(n) + 1
+    return _let(n, lambda v: v + _varint(v) + 1)
 
 
 def _bytes(col: Column) -> Column:
@@ -84,8 +86,7 @@ def serialized_size(df: DataFrame) -> Column:
     zero = F.lit(0).cast("bigint")
 
     def optional(col: Column) -> Column:
-        n = _bytes(col)
-        return F.when(n > 0, _field(n)).otherwise(zero)
+        return _let(_bytes(col), lambda n: F.when(n > 0, n + _varint(n) + 1).otherwise(zero))
 
     def entry(acc: Column, e: Column) -> Column:
         values = F.aggregate(F.coalesce(e["value"], F.array().cast("array<binary>")), zero,
@@ -93,13 +94,13 @@ def serialized_size(df: DataFrame) -> Column:
         return acc + _field(_field(_bytes(e["key"])) + _field(values))
 
     attributes = F.coalesce(F.aggregate(F.map_entries(df["attributes"]), zero, entry), zero)
-    t = epoch_ms(df["event_time"])
-    rest = F.pmod(t, F.lit(1000)).cast("bigint")
-    seconds = F.floor((t - rest) / 1000).cast("bigint")
-    nanos = rest * 1_000_000
-    stamp = (F.when(seconds != 0, _varint(seconds) + 1).otherwise(zero)
-             + F.when(nanos != 0, _varint(nanos) + 1).otherwise(zero))
-    time = F.when(t.isNull(), zero).otherwise(_field(stamp))
+    def stamp(t: Column) -> Column:
+        rest = F.pmod(t, F.lit(1000)).cast("bigint")
+        seconds = F.floor((t - rest) / 1000).cast("bigint")
+        return (F.when(seconds != 0, _varint(seconds) + 1).otherwise(zero)
+                + F.when(rest != 0, _varint(rest * 1_000_000) + 1).otherwise(zero))
+
+    time = F.when(df["event_time"].isNull(), zero).otherwise(_field(_let(epoch_ms(df["event_time"]), stamp)))
     return optional(df["key"]) + optional(df["data"]) + attributes + time
 
 

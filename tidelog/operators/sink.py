@@ -46,7 +46,7 @@ def watermark_by_batch(records: DataFrame, batch: str, ts_ms: str, out: str = "w
 
 
 def envelope(records: DataFrame, encoder: Encoder, ts_ms: Column | None, watermark_ms: Column | None,
-             now_ms: int | Column, num_partitions: int, key: Column | None = None,
+             now_ms: int | Column, num_partitions: int | Column, key: Column | None = None,
              key_kind: str = "int", rank: Column | None = None) -> DataFrame:
     """``key, part, data, attr, event_time`` for every record.
 
@@ -107,14 +107,16 @@ def round_robin_rank(records: DataFrame, order_cols: Sequence[str], out: str = "
 
 def encode_for(records: DataFrame, options, ts_ms: Column | None = None, watermark_ms: Column | None = None,
                now_ms: int | Column | None = None, key: Column | None = None, key_kind: str = "int",
-               rank: Column | None = None) -> DataFrame:
+               rank: Column | None = None, num_partitions: Column | None = None) -> DataFrame:
     """Envelope under ``options`` (:class:`tidelog.options.LogSinkOptions`): its encoder (default:
-    the ``value`` column as text) and partition count; ``now_ms`` defaults to the current time."""
+    the ``value`` column as text) and partition count (or the count ``num_partitions`` of each
+    record); ``now_ms`` defaults to the current time."""
     import time
 
     enc = options.encoder or data_only(lambda df: df["value"].cast("string"))
     now = now_ms if now_ms is not None else int(time.time() * 1000)
-    return envelope(records, enc, ts_ms, watermark_ms, now, options.num_partitions, key=key,
+    return envelope(records, enc, ts_ms, watermark_ms, now,
+                    options.num_partitions if num_partitions is None else num_partitions, key=key,
                     key_kind=key_kind, rank=rank)
 
 

@@ -26,7 +26,7 @@ def register(name: str, sql: str | None):
 
 def _load() -> None:
     # importing the modules fills REGISTRY
-    from tidelog.plans import assignment_queries, log_queries, sink_queries, stream_queries  # noqa: F401
+    from tidelog.plans import assignment_queries, log_queries, message_queries, sink_queries, stream_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

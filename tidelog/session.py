@@ -8,6 +8,7 @@ time zone.  The session helper still pins UTC for anything a user adds.
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -103,3 +104,19 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared checkpoint folder."""
     root = checkpoint_root(spark)
     return os.path.join(root, "tidelog", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers: one zip per application (code only), handed to ``addPyFile``,
+    which Spark sends to every executor, later ones included."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tidelog-package-"), "tidelog_package"), "zip",
+                                 os.path.dirname(package), os.path.basename(package))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -26,3 +26,15 @@ def batch_folders(spark: SparkSession, path: str) -> dict[int, str]:
     done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "batch=*/_SUCCESS"))
     folders = (s.getPath().getParent() for s in done or [])
     return {int(f.getName().split("=", 1)[1]): f.toString() for f in folders}
+
+
+#: Changes of a topic's partition count that are read to the driver; more are an error.
+HISTORY_ROWS = 10_000
+
+
+def partition_history(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """``(from_ms, count)`` of every change of a topic's partition count, from the table ``from_ms, count`` at ``path``."""
+    rows = spark.read.parquet(path).select("from_ms", "count").distinct().limit(HISTORY_ROWS + 1).collect()
+    if len(rows) > HISTORY_ROWS:
+        raise ValueError(f"more than {HISTORY_ROWS} changes of the partition count at {path}")
+    return sorted((int(r["from_ms"]), int(r["count"])) for r in rows)

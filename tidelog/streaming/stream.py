@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.options import FlowControl
-from tidelog.schema import LOG_SCHEMA
+from tidelog.schema import LOG_SCHEMA, MESSAGE_SCHEMA
 from tidelog.streaming.store import EVERY, BatchStore
 
 
@@ -43,6 +43,14 @@ def log_stream(spark: SparkSession, path: str, flow: FlowControl | None = None)
     return r.parquet(path).select([f.name for f in LOG_SCHEMA.fields])
 
 
+def message_stream(spark: SparkSession, path: str, flow: FlowControl | None = None) -> DataFrame:
+    """A stream over a message log (:mod:`tidelog.operators.messages`): bytes, key and attributes as written."""
+    r = spark.readStream.schema(MESSAGE_SCHEMA).option("basePath", path)
+    if flow is not None:
+        r = r.option("maxBytesPerTrigger", str(flow.bytes_outstanding))
+    return r.parquet(path).select([f.name for f in MESSAGE_SCHEMA.fields])
+
+
 def to_event_time(df: DataFrame, col: str = "ts") -> DataFrame:
     """Watermarks need ``TIMESTAMP``; the log's wall-clock ``TIMESTAMP_NTZ`` is UTC."""
     return df.withColumn(col, F.col(col).cast("timestamp"))
