@@ -133,3 +133,18 @@ def test_intersections_and_possible_pairs():
     for x, y in zip(a, b):
         root[find(x)] = find(y)
     assert len(i) and all(find(x) == find(y) for x, y in zip(i, j))
+
+
+def test_intersections_across_two_sides():
+    rng = np.random.default_rng(5)
+    for n, left, values in [(2, 1, 3), (40, 13, 30), (150, 149, 20), (150, 70, 2000), (5, 2, 1)]:
+        sets = [np.unique(rng.integers(0, values, rng.integers(0, 60)).astype(np.uint64)) for _ in range(n)]
+        owner = np.repeat(np.arange(n), [len(s) for s in sets])
+        got = op.across(np.concatenate(sets), owner, left, n)
+        assert np.array_equal(got, [[len(np.intersect1d(x, y)) for y in sets[left:]] for x in sets[:left]])
+        every = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+        assert np.array_equal(op.intersections(np.concatenate(sets), owner, n), np.triu(every, 1))
+        side = rng.permutation(np.arange(n) < left).astype(int)
+        i, j = op._pairs(sets, side, lambda i, j, c: c >= 2)
+        want = {(min(x, y), max(x, y)) for x in range(n) for y in range(n) if side[x] != side[y] and every[x][y] >= 2}
+        assert {(min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist())} == want

@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import arrow_map, documents, flat, give_back, groups, row_key, ship, written
@@ -57,7 +57,7 @@ PAIRED = 7
 FEW = 16
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
-BLOCK_SETS = 1024
+BLOCK_SETS = 2048
 #: Rows of a matrix of pairs that are tested at once.
 ROWS = 256
 #: One of so many elements is compared first.
@@ -239,23 +239,59 @@ def intersections(elements: np.ndarray, owner: np.ndarray, n: int, popular: int
     return out
 
 
+def across(elements: np.ndarray, owner: np.ndarray, left: int, n: int, popular: int = 64) -> np.ndarray:
+    """Sizes of the intersections of each of the first ``left`` sets with each of the other ``n - left``, counted
+    as in :func:`intersections`; pairs within one side are neither counted nor held."""
+    right = n - left
+    out = np.zeros((left, right), dtype=np.float32)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], owner[order]
+    begin = np.flatnonzero(np.append(True, elements[1:] != elements[:-1])) if len(elements) else np.zeros(0, np.int64)
+    held = np.diff(np.append(begin, len(elements)))
+    ours = np.add.reduceat((owner < left).astype(np.int64), begin) if len(begin) else begin
+    theirs = held - ours
+    work = ours * theirs
+    # an element of few sets: one for each left set with each right one
+    few = np.flatnonzero((work > 0) & (held <= popular))
+    for some in np.split(few, np.flatnonzero(np.diff(np.cumsum(work[few]) >> 21)) + 1):
+        if not len(some):
+            continue
+        k = work[some]
+        step = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+        wide = np.repeat(theirs[some], k)
+        x = owner[np.repeat(begin[some], k) + step // wide]
+        y = owner[np.repeat(begin[some] + ours[some], k) + step % wide]
+        np.add.at(out.reshape(-1), x * right + (y - left), 1)
+    many = np.flatnonzero((work > 0) & (held > popular))
+    width = max(64, (1 << 22) // max(n, 1))
+    for lo in range(0, len(many), width):
+        some = many[lo:lo + width]
+        grid = np.zeros((n, len(some)), dtype=np.float32)
+        at = np.repeat(begin[some], held[some]) + np.arange(held[some].sum()) - np.repeat(np.cumsum(held[some]) - held[some], held[some])
+        grid[owner[at], np.repeat(np.arange(len(some)), held[some])] = 1
+        out += grid[:left] @ grid[left:].T
+    return out
+
+
 def _pairs(sets: list[np.ndarray], side: np.ndarray, test) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j that hold a common element and pass ``test(i, j, common)``; where both sides
+    """Index pairs that hold a common element and pass ``test(i, j, common)``; where both sides
     occur only pairs across the sides count."""
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    common = intersections(np.concatenate(sets), owner, len(sets))
-    left, right = [], []
+    order = np.argsort(side, kind="stable")
+    left = int((side == side.min()).sum())
+    two = left < len(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(sets[i]) for i in order])
+    elements = np.concatenate([sets[i] for i in order])
+    common = across(elements, owner, left, len(sets)) if two else intersections(elements, owner, len(sets))
+    one, other = [], []
     # a few rows of the matrix at a time: in a group of near copies most entries are filled
-    for lo in range(0, len(sets), ROWS):
+    for lo in range(0, left, ROWS):
         i, j = np.nonzero(common[lo:lo + ROWS])
-        i += lo
-        if side.min() != side.max():
-            across = side[i] != side[j]
-            i, j = i[across], j[across]
-        good = test(i, j, common[i, j].astype(np.int64))
-        left.append(i[good].astype(np.int32))
-        right.append(j[good].astype(np.int32))
-    return np.concatenate(left), np.concatenate(right)
+        count = common[lo + i, j].astype(np.int64)
+        i, j = order[i + lo], order[j + left if two else j]
+        good = test(i, j, count)
+        one.append(i[good].astype(np.int32))
+        other.append(j[good].astype(np.int32))
+    return np.concatenate(one), np.concatenate(other)
 
 
 def linked_pairs(sets: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -296,13 +332,13 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return i[keep], j[keep]
 
 
-def blocked_pairs(members: DataFrame, read, compare, forest: bool) -> DataFrame:
+def blocked_pairs(members: DataFrame, read, compare, forest: bool, carried: Column | None = None) -> DataFrame:
     """``a, b``: classes that ``compare(sets, sizes, side)`` pairs, over all pairs of blocks of each
     cluster.  ``members`` has ``root, class, n, body``; ``read(buf, offsets)`` gives the bodies' elements,
-    flat, and their numbers."""
+    flat, and their numbers; ``carried`` is the number of elements in a body, if that is not ``n``."""
     spark = members.sparkSession
     ship(spark)
-    need = F.greatest(F.ceil(F.sum("n") / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
+    need = F.greatest(F.ceil(F.sum("n" if carried is None else carried) / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
     totals = members.groupBy("root").agg(need.cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     placed = members.join(totals, "root").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -380,8 +416,10 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: s
     sets, place = lambda b, o: shingle_sets(b, o, words), F.col("class") == F.col("node")
     # a row key names one text, or rows that repeat with equal sets: a class keeps one of them
     member = one.join(candidate_clusters(docs, words, percent, text), place).drop("node")
-    first = picked_sets(docs, words, text).join(member, "rid").dropDuplicates(["rid"])
-    possible = components(blocked_pairs(first, read_picked, lambda s, n, side: possible_pairs(s, n, side, percent), True))
+    # written: blocks are counted from it before it is dealt, and the texts need not be cut again
+    first = written(picked_sets(docs, words, text).join(member, "rid").dropDuplicates(["rid"]), "picked")
+    possible = components(blocked_pairs(first, read_picked, lambda s, n, side: possible_pairs(s, n, side, percent), True,
+                                        F.octet_length("body") / 4))
     member = one.join(possible, place).drop("node")
     whole = docs.select("rid", F.col(text).alias("body")).join(member, "rid").dropDuplicates(["rid"])
     return blocked_pairs(whole, sets, lambda s, n, side: linked_pairs(s, n, side, percent), forest)
