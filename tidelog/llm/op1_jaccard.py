@@ -15,10 +15,11 @@ domain is partitioned by hash into more than ``k`` parts, so similar sets agree
 
 No pair of similar sets is missed.
 
-**Candidates.**  Signatures that occur once are dropped (partial count, then the planner's join).  A rare
+**Candidates.**  Signatures are shuffled once and read sorted.  One that occurs once gives nothing; a rare
 one gives its few pairs, of which those count that share as many signatures as similar sets must; a
-frequent one links its classes to the least, a star instead of all pairs.  The connected components of
-both are the candidate clusters.
+frequent one links its classes to the least, a star instead of all pairs.  Tasks make stars of what is
+frequent among their own rows before the shuffle, so a hot signature is a few rows of each.  The connected
+components of both are the candidate clusters.
 
 **Verification.**  A cluster is cut into blocks of bounded size; every pair of blocks is one group, in
 which all intersections are counted exactly.  A group returns a spanning forest of its links (or all
@@ -53,8 +54,11 @@ PERCENT = 80
 #: Size bands grow by this factor (it must exceed 100 / percent).
 BAND = 1.6
 PAIRED = 7
-#: Rows of a signature up to which its pairs are listed.
+#: Classes of a signature up to which its pairs are listed.
 FEW = 16
+#: Signature rows a task combines at once, and the marks of a frequent signature and of an edge in ``info``.
+HELD = 1 << 20
+MANY, EDGE = -1, -2
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
 BLOCK_SETS = 2048
@@ -169,48 +173,126 @@ def sets_of(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
     return arrow_map(docs.select("rid", text), run, "rid bigint, class bigint, n_shingles bigint")
 
 
+def combined(sig: np.ndarray, keys: np.ndarray, info: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same rows with each class once for a signature.  A signature of more than ``FEW`` classes is known to be
+    frequent: its least class stays, marked ``MANY``, and the others become edges to it (rows of the class, the
+    least class and ``EDGE``), which are dealt by the class.  So a hot signature is a few rows of each task."""
+    if not len(sig):
+        return sig, keys, info
+    by = np.lexsort((keys, sig))
+    fresh = np.append(True, (sig[by][1:] != sig[by][:-1]) | (keys[by][1:] != keys[by][:-1]))
+    by = by[fresh]
+    begin = np.flatnonzero(np.append(True, sig[by][1:] != sig[by][:-1]))
+    held = np.diff(np.append(begin, len(by)))
+    many = np.repeat(held > FEW, held)
+    hubs, rest = by[begin[held > FEW]], by[many & (np.arange(len(by)) != np.repeat(begin, held))]
+    edges = np.unique(np.stack([keys[rest], np.repeat(keys[hubs], held[held > FEW] - 1)]), axis=1)
+    few = np.sort(by[~many])
+    return tuple(np.concatenate(c) for c in (
+        (sig[few], sig[hubs], edges[0]), (keys[few], keys[hubs], edges[1]),
+        (info[few], np.full(len(hubs), MANY), np.full(edges.shape[1], EDGE))))
+
+
 def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
     """``sig, class, info`` rows (``info``: set size * 256 + least number of shared signatures, 255 at
-    most); copies inside one batch of rows give theirs once."""
+    most), :func:`combined` by some ``HELD`` rows at a time."""
     bands = Bands(percent)
+    ship(docs.sparkSession)
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        buf, offsets = flat(batch.column(0))
-        for i, j in groups(offsets):
-            elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
-            keys = class_keys(elements, sizes)
-            _, once = np.unique(keys, return_index=True)
-            keep = np.zeros(len(keys), dtype=bool)
-            keep[once] = True
-            elements, sizes, keys = elements[np.repeat(keep, sizes)], sizes[keep], keys[keep]
-            owner, sig, need = signatures(elements, sizes, bands)
-            info = sizes[owner] * 256 + np.minimum(need, 255)
-            yield pa.RecordBatch.from_arrays([pa.array(sig.view(np.int64)), pa.array(keys[owner]), pa.array(info)], names=["sig", "class", "info"])
+    def rows_of(held):
+        sig, keys, info = combined(*(np.concatenate(c) for c in zip(*held)))
+        for i in range(0, len(sig), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 16)]) for c in (sig, keys, info)], names=["sig", "class", "info"])
+
+    def run(batches):
+        held, entries = [], 0
+        for batch in batches:
+            buf, offsets = flat(batch.column(0))
+            for i, j in groups(offsets):
+                elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+                keys = class_keys(elements, sizes)
+                _, once = np.unique(keys, return_index=True)
+                keep = np.zeros(len(keys), dtype=bool)
+                keep[once] = True
+                elements, sizes, keys = elements[np.repeat(keep, sizes)], sizes[keep], keys[keep]
+                owner, sig, need = signatures(elements, sizes, bands)
+                held.append((sig.view(np.int64), keys[owner], sizes[owner] * 256 + np.minimum(need, 255)))
+                entries += len(sig)
+                if entries > HELD:
+                    yield from rows_of(held)
+                    held, entries = [], 0
+        if held:
+            yield from rows_of(held)
+        held = []
+        give_back()
 
-    return arrow_map(docs.select(text), run, "sig bigint, class bigint, info bigint")
+    return docs.select(text).mapInArrow(run, "sig bigint, class bigint, info bigint")
+
+
+def near_pairs(keys: np.ndarray, info: np.ndarray, begin: np.ndarray, held: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of near sizes inside groups of ``held`` rows from ``begin`` on, with the number of signatures they need."""
+    out = []
+    for p in np.unique(held[held > 1]):
+        lists = begin[held == p][:, None] + np.arange(p)
+        x, y = np.triu_indices(p, 1)
+        x, y = lists[:, x].ravel(), lists[:, y].ravel()
+        n, m = info[x] >> 8, info[y] >> 8
+        near = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        x, y = x[near], y[near]
+        out.append((keys[x], keys[y], np.minimum(info[x] & 255, info[y] & 255)))
+    return out
 
 
 def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
     """``node, root``: classes that may be similar to another class, and their cluster.
 
-    A signature of up to ``FEW`` rows gives its pairs of near sizes, and only pairs that share as many
+    A signature of up to ``FEW`` classes gives its pairs of near sizes, and only pairs that share as many
     signatures as similar sets must are kept; a larger one gives a star.  A similar pair either shares a
-    larger signature, or all it shares is counted."""
+    larger signature, or all it shares is counted.  Signatures are shuffled once, sorted, and read as a
+    stream: of a signature a task holds ``FEW`` rows besides a batch, however many it has."""
     rows = signature_rows(docs, words, percent, text)
-    # written before the join: both its sides are plain shuffles, so a hot signature can be split
-    often = written(rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "often")
-    shared = written(rows.join(often, "sig"), "signatures")
-    many = shared.where(F.col("m") > FEW)
-    hubs = written(many.groupBy("sig").agg(F.min("class").alias("hub"), F.max("class").alias("top")).where("hub <> top").select("sig", "hub"), "hubs")
-    stars = many.join(hubs, "sig").select(F.col("hub").alias("a"), F.col("class").alias("b")).distinct()
-    # at most FEW entries in a list
-    lists = shared.where(F.col("m") <= FEW).groupBy("sig").agg(F.sort_array(F.collect_set(F.struct("class", "info"))).alias("l"))
-    near = (f"100 * least(x.info DIV 256, y.info DIV 256) >= {percent} * greatest(x.info DIV 256, y.info DIV 256)")
-    pairs = lists.where("size(l) > 1").select(F.explode(F.expr(
-        "flatten(transform(l, (x, i) -> transform(filter(slice(l, i + 2, size(l)), y -> y.class <> x.class AND " + near + "), "
-        "y -> struct(x.class AS a, y.class AS b, least(x.info % 256, y.info % 256) AS need))))")).alias("p")).select("p.*")
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b")
-    return components(stars.unionByName(counted))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches):
+        none = np.zeros(0, np.int64)
+        sig, keys, info = none, none, none
+
+        def read(last: bool):
+            """Edges of all signatures but the one that the next batch may go on with; ``need`` of a star's is 0."""
+            nonlocal sig, keys, info
+            if not len(sig):
+                return
+            group = np.append(True, sig[1:] != sig[:-1])
+            # each class once; a row that is marked comes before one that is not
+            fresh = np.flatnonzero(group | np.append(True, keys[1:] != keys[:-1]))
+            sig, keys, info = sig[fresh], keys[fresh], info[fresh]
+            begin = np.flatnonzero(group[fresh])
+            held = np.diff(np.append(begin, len(sig)))
+            many = (held > FEW) | (np.minimum.reduceat(info, begin) == MANY)
+            out = near_pairs(keys, info, *(c[:len(c) if last else -1][~many[:len(c) if last else -1]] for c in (begin, held)), percent)
+            star = np.flatnonzero(np.repeat(many, held) & (np.arange(len(sig)) != np.repeat(begin, held)))
+            out.append((np.repeat(keys[begin], held)[star], keys[star], np.zeros(len(star), np.int64)))
+            keep = slice(len(sig), None) if last else slice(begin[-1], begin[-1] + 1) if many[-1] else slice(begin[-1], None)
+            sig, keys, info = sig[keep], keys[keep], np.full(1, MANY) if not last and many[-1] else info[keep]
+            yield from out
+
+        def edges(found):
+            for a, b, need in found:
+                for i in range(0, len(a), 1 << 16):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 16)]) for c in (a, b, need)], names=["a", "b", "need"])
+
+        for batch in batches:
+            more = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(3)]
+            ready = more[2] == EDGE
+            yield from edges([(more[1][ready], more[0][ready], np.zeros(int(ready.sum()), np.int64))])
+            sig, keys, info = (np.concatenate([c, m[~ready]]) for c, m in zip((sig, keys, info), more))
+            yield from edges(read(False))
+        yield from edges(read(True))
+        give_back()
+
+    dealt = rows.repartition(n, "sig").sortWithinPartitions("sig", "class", "info")
+    found = dealt.mapInArrow(run, "a bigint, b bigint, need bigint")
+    return components(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"))
 
 
 def intersections(elements: np.ndarray, owner: np.ndarray, n: int, popular: int = 64) -> np.ndarray:
