@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import arrow_map, documents, flat, give_back, groups, row_key, ship, written
@@ -60,8 +60,8 @@ FEW = 16
 HELD = 1 << 20
 MANY, EDGE = -1, -2
 #: Set elements and sets in a block of a candidate cluster.
-BLOCK_ELEMENTS = 1 << 19
-BLOCK_SETS = 2048
+BLOCK_ELEMENTS = 1 << 20
+BLOCK_SETS = 4096
 #: Rows of a matrix of pairs that are tested at once.
 ROWS = 256
 #: One of so many elements is compared first.
@@ -414,19 +414,23 @@ def spanning(n: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return i[keep], j[keep]
 
 
-def blocked_pairs(members: DataFrame, read, compare, forest: bool, carried: Column | None = None) -> DataFrame:
+def blocked_pairs(members: DataFrame, bodies: DataFrame, read, compare, forest: bool) -> DataFrame:
     """``a, b``: classes that ``compare(sets, sizes, side)`` pairs, over all pairs of blocks of each
-    cluster.  ``members`` has ``root, class, n, body``; ``read(buf, offsets)`` gives the bodies' elements,
-    flat, and their numbers; ``carried`` is the number of elements in a body, if that is not ``n``."""
+    cluster.  ``members`` has ``root, class, rid, n`` and ``carried``, the number of elements in a body; ``bodies``
+    has ``rid, body``, which ``read(buf, offsets)`` turns into elements, flat, and their numbers.  Blocks are laid
+    out over the narrow rows; a body is dealt once by ``rid`` and then to its groups."""
     spark = members.sparkSession
     ship(spark)
-    need = F.greatest(F.ceil(F.sum("n" if carried is None else carried) / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
+    need = F.greatest(F.ceil(F.sum("carried") / F.lit(BLOCK_ELEMENTS)), F.ceil(F.count(F.lit(1)) / F.lit(BLOCK_SETS)))
     totals = members.groupBy("root").agg(need.cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     placed = members.join(totals, "root").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     paired = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     lo, hi = F.least("block", "other"), F.greatest("block", "other")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grouped = (paired.select("root", lo.alias("lo"), hi.alias("hi"), "block", "class", "n", "body")
+    # rows that repeat share a row key
+    held_once = bodies.join(members.select("rid"), "rid", "left_semi").dropDuplicates(["rid"])
+    grouped = (paired.select("rid", "root", lo.alias("lo"), hi.alias("hi"), "block", "class", "n").join(held_once, "rid")
+               .select("root", "lo", "hi", "block", "class", "n", "body")
                .repartition(n, "root", "lo", "hi").sortWithinPartitions("root", "lo", "hi"))
 
     def finish(group, held) -> pa.RecordBatch | None:
@@ -497,14 +501,15 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: s
     one = classes.groupBy("class").agg(F.min("rid").alias("rid"), F.min("n_shingles").alias("n"))
     sets, place = lambda b, o: shingle_sets(b, o, words), F.col("class") == F.col("node")
     # a row key names one text, or rows that repeat with equal sets: a class keeps one of them
-    member = one.join(candidate_clusters(docs, words, percent, text), place).drop("node")
-    # written: blocks are counted from it before it is dealt, and the texts need not be cut again
-    first = written(picked_sets(docs, words, text).join(member, "rid").dropDuplicates(["rid"]), "picked")
-    possible = components(blocked_pairs(first, read_picked, lambda s, n, side: possible_pairs(s, n, side, percent), True,
-                                        F.octet_length("body") / 4))
-    member = one.join(possible, place).drop("node")
-    whole = docs.select("rid", F.col(text).alias("body")).join(member, "rid").dropDuplicates(["rid"])
-    return blocked_pairs(whole, sets, lambda s, n, side: linked_pairs(s, n, side, percent), forest)
+    member = written(one.join(candidate_clusters(docs, words, percent, text), place).drop("node"), "members")
+    # written: the texts need not be cut again to count their picked elements
+    first = written(picked_sets(docs, words, text).join(member.select("rid"), "rid", "left_semi").dropDuplicates(["rid"]), "picked")
+    sized = first.select("rid", (F.octet_length("body") / 4).alias("carried"))
+    possible = components(blocked_pairs(member.join(sized, "rid"), first, read_picked,
+                                        lambda s, n, side: possible_pairs(s, n, side, percent), True))
+    member = written(one.join(possible, place).drop("node").withColumn("carried", F.col("n")), "members")
+    return blocked_pairs(member, docs.select("rid", F.col(text).alias("body")), sets,
+                         lambda s, n, side: linked_pairs(s, n, side, percent), forest)
 
 
 def join(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, text: str = "text", id_col: str = "doc_id") -> DataFrame:
