@@ -60,8 +60,8 @@ FEW = 16
 HELD = 1 << 20
 MANY, EDGE = -1, -2
 #: Set elements and sets in a block of a candidate cluster.
-BLOCK_ELEMENTS = 1 << 20
-BLOCK_SETS = 4096
+BLOCK_ELEMENTS = 1 << 19
+BLOCK_SETS = 2048
 #: Rows of a matrix of pairs that are tested at once.
 ROWS = 256
 #: One of so many elements is compared first.
