@@ -53,3 +53,20 @@ def test_near_pairs_need_near_sizes():
     (a, b, need), (c, d, other) = sorted(op1.near_pairs(keys, info, np.array([0, 3]), np.array([3, 2]), 80), key=lambda x: x[0].tolist())
     assert list(zip(a.tolist(), b.tolist(), need.tolist())) == [(0, 1, 4)]
     assert list(zip(c.tolist(), d.tolist(), other.tolist())) == [(3, 4, 2)]
+
+
+def test_sets_leave_out_frequent_signatures_by_one_order():
+    owner, sig, need = np.repeat([0, 1, 2], 4), np.array([1, 2, 3, 4, 2, 3, 4, 5, 3, 4, 5, 6], dtype=np.uint64), np.repeat([3, 2, 1], 4)
+    often = np.array([0, 7, 9, 7])[(sig - np.uint64(1)) % np.uint64(4)]
+    got = [list(map(int, r)) for r in zip(*op1.thinned(owner, sig, need, often))]
+    assert got == [[0, 1, 1], [0, 4, 1], [1, 2, 1], [1, 4, 1], [1, 5, 1], [2, 3, 1], [2, 4, 1], [2, 5, 1], [2, 6, 1]]
+
+
+def test_a_line_in_all_texts_makes_no_cluster(spark):
+    rng = np.random.default_rng(8)
+    line = "one line that every text here has in common "
+    texts = [line + " ".join(f"w{x}" for x in rng.integers(0, 1 << 30, 150)) for _ in range(200)]
+    texts += [t + " more" for t in texts[:3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "rid bigint, text string")
+    found = op1.candidate_clusters(docs, 5, 80).groupBy("root").count().collect()
+    assert sorted(r["count"] for r in found) == [2, 2, 2]

@@ -9,9 +9,15 @@ elements, similar sets differ in at most ``k = floor(2 M (1 - s) / (1 + s))`` el
 domain is partitioned by hash into more than ``k`` parts, so similar sets agree on some parts whole:
 
 * small ``k``: ``k + 2`` parts, one signature for each pair of parts - two parts agree;
-* larger ``k``: ``k + slack`` parts, one signature for each part - ``slack`` parts agree.  Empty parts
-  give signatures only in sets with ``slack`` or more of them (otherwise a part that is not empty
-  agrees too).
+* larger ``k``: ``k + slack`` parts, one signature for each part that is not empty.  A set of ``n`` elements
+  differs from a similar one, which has ``100 n / percent`` elements and ``M`` at most, in a number of elements
+  that is known; all its other parts agree, so that many signatures are shared.  Only a set where this number
+  is 0 gives signatures for empty parts too: two such sets agree on ``slack`` parts, empty ones included.
+
+Frequent signatures say little and hold clusters together that have no link, so a set gives as few of them as
+it may: of those it must share it leaves out all but one, the most frequent first (prefix filter).  How often a
+signature occurs is read from a sketch of fixed size that the texts are counted into first; any order common
+to all sets is right, so a sketch that is too coarse costs time and no link.
 
 No pair of similar sets is missed.
 
@@ -37,6 +43,7 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,6 +66,8 @@ FEW = 16
 #: Signature rows a task combines at once, and the marks of a frequent signature and of an edge in ``info``.
 HELD = 1 << 20
 MANY, EDGE = -1, -2
+#: Counters of the sketch of signature frequencies (a power of two), and those in a row of it.
+COUNTERS, SLICE = 1 << 22, 1 << 16
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
 BLOCK_SETS = 2048
@@ -106,6 +115,11 @@ class Bands:
         most = self.starts[1:] - 1
         self.differ = 2 * most * (100 - percent) // (100 + percent)
 
+    def differ_most(self, sizes: np.ndarray, instance: np.ndarray) -> np.ndarray:
+        """How many elements a set of each size and a similar one in the instance differ in at most."""
+        partner = np.minimum(100 * sizes // self.percent, self.starts[instance + 1] - 1)
+        return (100 - self.percent) * (sizes + partner) // (100 + self.percent)
+
     def memberships(self, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(sets, instances): every non-empty set in its own band, then those that reach the next."""
         own = np.searchsorted(self.starts, sizes, side="right") - 1
@@ -119,9 +133,29 @@ def slack(k: np.ndarray) -> np.ndarray:
     return np.maximum(6, -(-15 * k // 100))
 
 
-def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def counter_of(sig: np.ndarray) -> np.ndarray:
+    return (sig >> U(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
+
+
+def thinned(owner: np.ndarray, sig: np.ndarray, need: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows of signatures without the most frequent ones of each owner (``often``: 0 for what is not frequent,
+    else a number that grows with the frequency), as many as it may leave out and still share one: all sets leave
+    out by one order, so of what two sets share at most the larger of their two numbers is gone."""
+    hot = np.flatnonzero((often > 0) & (need > 1))
+    hot = hot[np.lexsort((sig[hot], -often[hot], owner[hot]))]
+    begin = np.flatnonzero(np.append(True, owner[hot][1:] != owner[hot][:-1])) if len(hot) else hot
+    held = np.diff(np.append(begin, len(hot)))
+    out = np.arange(len(hot)) - np.repeat(begin, held) < need[hot] - 1
+    keep = np.ones(len(owner), dtype=bool)
+    keep[hot[out]] = False
+    gone = np.bincount(owner[hot[out]], minlength=int(owner.max()) + 1 if len(owner) else 0)
+    return owner[keep], sig[keep], (need - gone[owner])[keep]
+
+
+def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands, often: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Signatures of all sets: (index of the set, signature, least number that similar sets share).  Two
-    similar sets share at least the smaller of their two numbers."""
+    similar sets share at least the smaller of their two numbers.  ``often``: a sketch by :func:`counter_of`, by
+    which frequent ones are :func:`thinned`."""
     owners, out, needs = [], [], []
     starts = np.cumsum(sizes) - sizes
     spread = mix(elements ^ U(0xC2B2AE3D27D4EB4F))
@@ -142,11 +176,17 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[n
         tag = instance[slot_set].astype(np.uint64) << U(40) | (np.arange(len(sums)) - base[slot_set]).astype(np.uint64)
         value = mix(np.where(filled, mix(sums), U(0)) ^ mix(tag + U(1)))
         single = k > PAIRED
-        empty = parts - np.add.reduceat(filled.astype(np.int64), base)
-        emit = single[slot_set] & (filled | (empty >= parts - k)[slot_set])
-        owners.append(sets[slot_set[emit]])
-        out.append(value[emit])
-        needs.append(np.where(empty < parts - k, parts - k - empty, parts - k)[slot_set[emit]])
+        # parts that are not empty, without those in which a similar set may differ
+        agree = np.add.reduceat(filled.astype(np.int64), base) - bands.differ_most(n, instance)
+        emit = single[slot_set] & (filled | (agree < 1)[slot_set])
+        owner, sig = slot_set[emit], value[emit]
+        need = np.where(agree < 1, parts - k, agree)[owner]
+        if often is not None:
+            # sets that give empty parts share fewer with others than among themselves: they leave out nothing
+            owner, sig, need = thinned(owner, sig, need, np.where((agree < 1)[owner], 0, often[counter_of(sig)]).astype(np.int64))
+        owners.append(sets[owner])
+        out.append(sig)
+        needs.append(need)
         for differ in np.unique(k[~single]):
             chosen = np.flatnonzero(~single & (k == differ))
             grid = value[base[chosen][:, None] + np.arange(differ + 2)]
@@ -193,11 +233,62 @@ def combined(sig: np.ndarray, keys: np.ndarray, info: np.ndarray) -> tuple[np.nd
         (info[few], np.full(len(hubs), MANY), np.full(edges.shape[1], EDGE))))
 
 
+def distinct_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Elements, sizes and class keys of the texts in the first column, some at a time and each class once of them."""
+    buf, offsets = flat(batch.column(0))
+    for i, j in groups(offsets):
+        elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+        keys = class_keys(elements, sizes)
+        _, once = np.unique(keys, return_index=True)
+        keep = np.zeros(len(keys), dtype=bool)
+        keep[once] = True
+        yield elements[np.repeat(keep, sizes)], sizes[keep], keys[keep]
+
+
+def frequencies(docs: DataFrame, words: int, percent: int, text: str = "text") -> np.ndarray:
+    """The sketch of signature frequencies: ``COUNTERS`` counters, 0 where what they count is not frequent."""
+    spark, bands = docs.sparkSession, Bands(percent)
+    ship(spark)
+
+    def count(batches):
+        total = np.zeros(COUNTERS, dtype="<u4")
+        for batch in batches:
+            for elements, sizes, _ in distinct_sets(batch, words):
+                np.add.at(total, counter_of(signatures(elements, sizes, bands)[1]), 1)
+        for i in range(0, COUNTERS, SLICE):
+            if total[i:i + SLICE].any():
+                yield pa.RecordBatch.from_arrays([pa.array([i // SLICE], pa.int64()), pa.array([zlib.compress(total[i:i + SLICE].tobytes(), 1)])],
+                                                 names=["slice", "counts"])
+        del total
+        give_back()
+
+    def add_up(batches):
+        totals = {}
+        for batch in batches:
+            for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                now = np.frombuffer(zlib.decompress(data), dtype="<u4").astype(np.int64)
+                totals[at] = totals[at] + now if at in totals else now
+        for at, now in totals.items():
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([int(now.sum())], pa.int64()), pa.array([np.minimum(now, 0xFFFF).astype("<u2").tobytes()])],
+                                             names=["slice", "total", "counts"])
+
+    schema = "slice bigint, counts binary"
+    slices = docs.select(text).mapInArrow(count, schema).repartition("slice").mapInArrow(add_up, "slice bigint, total bigint, counts binary")
+    out, total = np.zeros(COUNTERS, dtype=np.uint16), 0
+    # COUNTERS / SLICE rows, however many texts there are
+    for row in written(slices, "frequencies").collect():
+        out[row["slice"] * SLICE:(row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], dtype="<u2")
+        total += row["total"]
+    out[out <= FEW + 2 * (total // COUNTERS)] = 0
+    return out
+
+
 def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
     """``sig, class, info`` rows (``info``: set size * 256 + least number of shared signatures, 255 at
     most), :func:`combined` by some ``HELD`` rows at a time."""
     bands = Bands(percent)
     ship(docs.sparkSession)
+    sketch = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words, percent, text))
 
     def rows_of(held):
         sig, keys, info = combined(*(np.concatenate(c) for c in zip(*held)))
@@ -207,15 +298,8 @@ def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text"
     def run(batches):
         held, entries = [], 0
         for batch in batches:
-            buf, offsets = flat(batch.column(0))
-            for i, j in groups(offsets):
-                elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
-                keys = class_keys(elements, sizes)
-                _, once = np.unique(keys, return_index=True)
-                keep = np.zeros(len(keys), dtype=bool)
-                keep[once] = True
-                elements, sizes, keys = elements[np.repeat(keep, sizes)], sizes[keep], keys[keep]
-                owner, sig, need = signatures(elements, sizes, bands)
+            for elements, sizes, keys in distinct_sets(batch, words):
+                owner, sig, need = signatures(elements, sizes, bands, sketch.value)
                 held.append((sig.view(np.int64), keys[owner], sizes[owner] * 256 + np.minimum(need, 255)))
                 entries += len(sig)
                 if entries > HELD:
