@@ -106,3 +106,23 @@ def test_unknown_message_fields_and_clashing_columns_are_errors(spark):
         encode_with(spark.range(1), Wrong()).collect()
     with pytest.raises(ValueError, match="clash"):
         encode_with(spark.range(1).withColumn("key", F.lit(1)), Wire(), keep=["key"])
+
+
+class Names(MessageDecoder):
+    """Value: the columns that the decoder is given."""
+
+    ddl = "array<string>"
+    columns = ("data",)
+
+    def decode(self, message):
+        return sorted(message)
+
+
+def test_a_codec_is_given_the_columns_it_names(spark):
+    ddl = "part INT, off BIGINT, data BINARY, other STRING"
+    m = spark.createDataFrame([(0, 1, b"a", "x")], ddl)
+    assert [tuple(r) for r in decode_with(m, Names(), keep=["off"]).collect()] == [(1, ["data"])]
+    assert [tuple(r) for r in decode_with(m, Names(), on_error="fail", keep=[]).collect()] == [(["data"],)]
+    assert decode_with(m, Names()).columns == ["part", "off", "data", "other", "value"]
+    with pytest.raises(ValueError, match="missing"):
+        decode_with(m.drop("other"), type("Other", (Names,), {"columns": ("other",)})())
