@@ -108,3 +108,15 @@ def test_a_pair_counts_as_much_in_a_large_corpus_as_in_a_small_one(spark):
     got = op.score(df.where("doc_id < 2"), model, counts).first()
     assert got.score == pytest.approx(Brute(texts, arcs=1 << 60).score(texts[0]))
     assert got.score > got.base_score / 2
+
+
+def test_counting_and_scoring_take_several_jobs(spark, monkeypatch):
+    made, plain = [], op.written
+    monkeypatch.setattr(op, "written", lambda df, name: made.append((name, plain(df, name))) or made[-1][1])
+    df = spark.createDataFrame([(i, f"some words w{i % 3} and w{i % 5}") for i in range(40)], "doc_id long, text string")
+    model, counts = op.train(df)
+    assert op.score(df, model, counts, block_bytes=100).count() == 40
+    grams = [{r.part for r in t.select("part").collect()} for name, t in made if name == "grams"]
+    assert len(grams) == 2 and all(grams) and not grams[0] & grams[1]
+    scores = [t.count() for name, t in made if name == "scores"]
+    assert len(scores) == 4 and max(scores) < 40

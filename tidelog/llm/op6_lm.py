@@ -16,8 +16,10 @@ parts by their high bits; a part has the keys of about ``PART_BYTES`` of text.
 in the tasks, added up for each part and written, with what each history's arcs take.  Texts are dealt
 into blocks; each block asks the parts for its distinct n-grams and gets the counts and failure weights
 of those that exist, beside which its texts are read.  A key has at most one row in each block, however
-often it occurs.  The arcs with at least ``1 / ARCS`` of the training tokens (at most ``ARCS`` of each
-length) are broadcast as a cache, so that blocks need not ask for them; results do not depend on it.
+often it occurs.  Counting takes ``COUNT_ROUNDS`` jobs, each over all texts and a range of the keys, and scoring
+``SCORE_ROUNDS``, each over some of the blocks: the shuffle files of one are deleted before the next.  The
+arcs with at least ``1 / ARCS`` of the training tokens (at most ``ARCS`` of each length) are broadcast as a
+cache, so that blocks need not ask for them; results do not depend on it.
 
 Defined cases: a null text has the end as its only token; a null id reads as the empty text in the
 fold rule; rows that repeat are texts of their own; without training texts every token has the
@@ -27,13 +29,14 @@ probability of an unseen one; an empty table gives an empty result; other column
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, documents, flat, groups, row_key, ship, written
+from .base import documents, flat, give_back, groups, row_key, ship, written
 from .rolling import U, fold_ascii, mix, word_bounds, word_prints
 
 NAME = "op6_lm_scoring"
@@ -45,8 +48,10 @@ DISCOUNT = 0.75
 ADDED = 0.1
 BLOCK_BYTES = 16 << 20
 PART_BYTES = 4 << 20
+#: Jobs in which n-grams are counted (each a range of keys) and texts are scored (each some blocks).
+COUNT_ROUNDS, SCORE_ROUNDS = 2, 4
 #: Entries a task holds before they are packed and sent.
-HELD = 1 << 22
+HELD = 1 << 21
 #: Fingerprint of the end token, and a salt for each further length of n-grams.
 END = int(mix(np.array([0x5EED0E9D], dtype=np.uint64))[0])
 SALT, ODD = (U(0xA24BAED4963EE407), U(0x9FB21C651E98DF25)), U(0xD6E8FEB86659FD93)
@@ -108,10 +113,10 @@ def values_of(data: pa.Scalar, kind=np.int64) -> np.ndarray:
 def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys; of the other columns the first (length, history) or the sum (the rest)."""
     keys, length, history, n = (np.concatenate(c) for c in zip(*held))
-    distinct, at, which = np.unique(keys, return_index=True, return_inverse=True)
-    total = np.zeros(len(distinct), dtype=np.int64)
-    np.add.at(total, which, n)
-    return distinct, length[at], history[at], total
+    by = np.argsort(keys, kind="stable")
+    keys = keys[by]
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else by
+    return keys[begin], length[by[begin]], history[by[begin]], np.add.reduceat(n[by], begin) if len(keys) else n
 
 
 def by_part(parts: int, keys: np.ndarray, *columns: np.ndarray, **fixed: int) -> Iterator[pa.RecordBatch]:
@@ -144,6 +149,8 @@ def whole_parts(batches, start, each, end):
             yield from each(state, batch, i) or ()
     if now is not None:
         yield from end(now, state)
+    state = None
+    give_back()
 
 
 class Model:
@@ -190,15 +197,17 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    parts = max(1, -(-size // PART_BYTES))
+    # whole parts in each round
+    parts = COUNT_ROUNDS * max(1, -(-size // (COUNT_ROUNDS * PART_BYTES)))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26)
 
-    def count(batches):
+    def count(batches, turn):
         held, entries = [], 0
         for batch in batches:
             for _, _, words, first in _batches(batch.column(0)):
                 shorter = np.zeros(len(words), dtype=np.uint64)
                 for length, (key, ok) in enumerate(grams(words, first, order), 1):
+                    ok &= (key >> U(32)) * U(COUNT_ROUNDS) >> U(32) == turn
                     keys, at, times = np.unique(key[ok], return_index=True, return_counts=True)
                     held.append((keys, np.full(len(keys), length), shorter[ok][at], times))
                     entries += len(keys)
@@ -211,6 +220,8 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
                         held, entries = [], 0
         if held:
             yield from by_part(parts, *merged(held))
+        held = []
+        give_back()
 
     def gather(state, batch, i):
         state.append((values_of(batch.column(1)[i], np.uint64), values_of(batch.column(2)[i]), values_of(batch.column(3)[i], np.uint64), values_of(batch.column(4)[i])))
@@ -225,9 +236,13 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
             names=["part", "total", "words", "c0", "c1", "c2", "c3"])
 
     columns = "c0 binary, c1 binary, c2 binary, c3 binary"
-    packed = docs.select(text).mapInArrow(count, f"part bigint, {columns}")
-    counted = written(dealt(packed, n, "part").mapInArrow(lambda b: whole_parts(b, list, gather, add_up),
-                                                          f"part bigint, total bigint, words bigint, {columns}"), "grams")
+
+    def counted_in(turn):
+        packed = docs.select(text).mapInArrow(lambda b: count(b, turn), f"part bigint, {columns}")
+        return written(dealt(packed, n, "part").mapInArrow(lambda b: whole_parts(b, list, gather, add_up),
+                                                           f"part bigint, total bigint, words bigint, {columns}"), "grams")
+
+    counted = reduce(DataFrame.unionByName, [counted_in(turn) for turn in range(COUNT_ROUNDS)])
     total, distinct = counted.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
     least = max(min_count, -(-total // arcs) if arcs else 0)
 
@@ -241,6 +256,7 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
                 sent, number = np.zeros(len(states), dtype=np.int64), np.bincount(which, minlength=len(states)).astype(np.int64)
                 np.add.at(sent, which, times[kept])
                 yield from by_part(parts, states, sent, number, number, kind=1)
+            give_back()
 
     def beside(state, batch, i):
         state[batch.column(1)[i].as_py()].append([values_of(batch.column(k)[i], np.uint64 if k == 2 else np.int64) for k in (2, 3, 4, 5)])
@@ -269,6 +285,7 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
                 keys, *rest = (values_of(batch.column(k)[i]) for k in range(1, 6))
                 some = rest[1] >= often
                 yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (keys, *rest)], names=["key", "length", "n", "sent", "arcs"])
+            give_back()
 
     cache = table.mapInArrow(frequent, "key bigint, length bigint, n bigint, sent bigint, arcs bigint").toArrow()
     keys, lengths, *rest = (cache.column(k).to_numpy() for k in range(5))
@@ -287,10 +304,11 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    rows = docs.select(F.pmod(row_key(id_col, text), F.lit(blocks)).alias("block"), F.col(id_col).alias("doc_id"),
-                       held_out(id_col).alias("held_out"), F.col(text).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    # as many blocks in each round
+    blocks = SCORE_ROUNDS * max(1, -(-size // (SCORE_ROUNDS * block_bytes)))
+    every = docs.select(F.pmod(row_key(id_col, text), F.lit(blocks)).alias("block"), F.col(id_col).alias("doc_id"),
+                        held_out(id_col).alias("held_out"), F.col(text).alias("text"))
+    kind = every.schema["doc_id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(model)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26)
 
@@ -319,6 +337,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
                         held = [distinct_of(np.concatenate(held))]
                         entries = len(held[0]) // 2
         yield from asked()
+        held = []
+        give_back()
 
     def answer(batches):
         """Counts of the asked keys that exist; a part's table comes before what asks for it."""
@@ -335,15 +355,18 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
         yield from whole_parts(batches, list, each, lambda part, state: ())
 
     no_bytes, no_number = F.lit(None).cast("binary"), F.lit(0).cast("bigint")
-    texts = dealt(rows.select("block", "text"), n, "block")
-    asks = texts.mapInArrow(ask, "part bigint, kind bigint, block bigint, c0 binary").select(
-        "*", *(no_bytes.alias(f"c{k}") for k in (1, 2, 3)))
-    there = counts.select("part", no_number.alias("kind"), no_number.alias("block"), "c0", F.col("c2").alias("c1"), F.col("c3").alias("c2"), F.col("c4").alias("c3"))
-    answers = dealt(there.unionByName(asks), n, "part", "kind").mapInArrow(answer, "block bigint, c0 binary, c1 binary, c2 binary, c3 binary")
-    answers = answers.select("block", F.lit(0).alias("kind"), "c0", "c1", "c2", "c3", F.lit(None).cast(kind).alias("doc_id"),
-                             F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
-    texts = rows.select("block", F.lit(1).alias("kind"), *(no_bytes.alias(f"c{k}") for k in range(4)), "doc_id", "held_out", "text")
-    beside = dealt(answers.unionByName(texts), n, "block", "kind")
+
+    def beside(rows):
+        texts = dealt(rows.select("block", "text"), n, "block")
+        asks = texts.mapInArrow(ask, "part bigint, kind bigint, block bigint, c0 binary").select(
+            "*", *(no_bytes.alias(f"c{k}") for k in (1, 2, 3)))
+        there = counts.select("part", no_number.alias("kind"), no_number.alias("block"), "c0", F.col("c2").alias("c1"), F.col("c3").alias("c2"), F.col("c4").alias("c3"))
+        answers = dealt(there.unionByName(asks), n, "part", "kind").mapInArrow(answer, "block bigint, c0 binary, c1 binary, c2 binary, c3 binary")
+        answers = answers.select("block", F.lit(0).alias("kind"), "c0", "c1", "c2", "c3", F.lit(None).cast(kind).alias("doc_id"),
+                                 F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
+        texts = rows.select("block", F.lit(1).alias("kind"), *(no_bytes.alias(f"c{k}") for k in range(4)), "doc_id", "held_out", "text")
+        return dealt(answers.unionByName(texts), n, "block", "kind")
+
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def read(batches):
@@ -365,6 +388,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
                     by = np.argsort(columns[0])
                     table, held = [c[by] for c in columns], []
                 yield scored(batch.slice(a, b - a), m, table)
+        held, table = [], None
+        give_back()
 
     def scored(part, m, table):
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
@@ -379,7 +404,9 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
              pa.array(np.full(size, m.total, dtype=np.int64)), pa.array(out["base_score"], pa.float64()), pa.array(out["score"], pa.float64())],
             names=names)
 
-    return beside.mapInArrow(read, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return reduce(DataFrame.unionByName, [
+        written(beside(every.where(F.pmod("block", F.lit(SCORE_ROUNDS)) == r)).mapInArrow(read, schema), "scores") for r in range(SCORE_ROUNDS)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
