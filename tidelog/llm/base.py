@@ -14,10 +14,21 @@ from pyspark.sql import functions as F
 
 from tidelog.session import scratch_dir
 
+from .rolling import forget
+
 #: Setting by which a finished job's shuffle files go.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Bytes of the batches that tasks hand to Python workers and hold beside their rows.
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
 _shipped: set[str] = set()
+_kept: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """What an operator's tasks leave in a worker for its next ones; a task of another operator drops it."""
+    return _kept.setdefault(operator, {})
 
 
 def ship(spark: SparkSession) -> None:
@@ -38,17 +49,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def give_back() -> None:
-    """Hands free memory of the Arrow pool and the C heap back to the system.  Python workers live on between
-    stages; what one task's batches took would otherwise count against the executor in all later ones."""
+def give_back(operator: str | None = None) -> None:
+    """Hands free memory of the Arrow pool and the C heap back to the system, with the tables that grew with the
+    texts and what other operators than ``operator`` have :func:`kept`.  Python workers live on between stages,
+    more of them than there are cores; what one task took would otherwise count against the executor in all later ones."""
+    for name, held in _kept.items():
+        if name != operator:
+            held.clear()
+    forget()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
-def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with ``fn(batch) -> iterable of batches`` applied to each batch."""
+def arrow_map(df: DataFrame, fn, schema: str, operator: str | None = None) -> DataFrame:
+    """``df.mapInArrow`` with ``fn(batch) -> iterable of batches`` applied to each batch; what ``operator`` has
+    :func:`kept` stays."""
     ship(df.sparkSession)
 
     def run(batches):
@@ -57,9 +74,9 @@ def arrow_map(df: DataFrame, fn, schema: str) -> DataFrame:
                 if batch.num_rows:
                     yield from fn(batch)
                     del batch
-                    give_back()
+                    give_back(operator)
         finally:
-            give_back()
+            give_back(operator)
 
     return df.mapInArrow(run, schema)
 
@@ -108,12 +125,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder.  A table on one side of a join is a plain shuffle
     there, where an aggregate by the join's key would keep a hot key from being split.  The shuffle files of
     the job are deleted with its end: nothing reads them again, and without that they stay until the
-    driver happens to collect garbage."""
+    driver happens to collect garbage.  Batches for Python have ``BATCH_BYTES`` at most: a row may be large."""
     spark, path = df.sparkSession, scratch_dir(df.sparkSession, name)
-    before = spark.conf.get(CLEANUP, "false")
+    before = {CLEANUP: spark.conf.get(CLEANUP, "false"), ARROW_BYTES: spark.conf.get(ARROW_BYTES)}
     spark.conf.set(CLEANUP, "true")
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return spark.read.parquet(path)

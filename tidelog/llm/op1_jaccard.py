@@ -64,7 +64,7 @@ PAIRED = 7
 #: Classes of a signature up to which its pairs are listed.
 FEW = 16
 #: Signature rows a task combines at once, and the marks of a frequent signature and of an edge in ``info``.
-HELD = 1 << 20
+HELD = 1 << 19
 MANY, EDGE = -1, -2
 #: Counters of the sketch of signature frequencies (a power of two), and those in a row of it.
 COUNTERS, SLICE = 1 << 22, 1 << 16
@@ -226,11 +226,15 @@ def combined(sig: np.ndarray, keys: np.ndarray, info: np.ndarray) -> tuple[np.nd
     held = np.diff(np.append(begin, len(by)))
     many = np.repeat(held > FEW, held)
     hubs, rest = by[begin[held > FEW]], by[many & (np.arange(len(by)) != np.repeat(begin, held))]
-    edges = np.unique(np.stack([keys[rest], np.repeat(keys[hubs], held[held > FEW] - 1)]), axis=1)
+    x, y = keys[rest], np.repeat(keys[hubs], held[held > FEW] - 1)
+    at = np.lexsort((y, x))
+    x, y = x[at], y[at]
+    fresh = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, dtype=bool)
+    edges = x[fresh], y[fresh]
     few = np.sort(by[~many])
     return tuple(np.concatenate(c) for c in (
         (sig[few], sig[hubs], edges[0]), (keys[few], keys[hubs], edges[1]),
-        (info[few], np.full(len(hubs), MANY), np.full(edges.shape[1], EDGE))))
+        (info[few], np.full(len(hubs), MANY), np.full(len(edges[0]), EDGE))))
 
 
 def distinct_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -291,7 +295,10 @@ def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text"
     sketch = docs.sparkSession.sparkContext.broadcast(frequencies(docs, words, percent, text))
 
     def rows_of(held):
-        sig, keys, info = combined(*(np.concatenate(c) for c in zip(*held)))
+        columns = [np.concatenate(c) for c in zip(*held)]
+        held.clear()
+        sig, keys, info = combined(*columns)
+        del columns
         for i in range(0, len(sig), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 16)]) for c in (sig, keys, info)], names=["sig", "class", "info"])
 

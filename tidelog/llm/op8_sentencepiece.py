@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, documents
+from .base import arrow_map, documents, kept
 
 NAME = "op8_sentencepiece"
 SQL = None
@@ -197,7 +197,9 @@ class Codec:
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
 
-_codecs: dict[int, Codec] = {}
+#: All of this operator's tasks name it, so that none drops the codec another one goes on with.
+OPERATOR = "op8"
+_codecs: dict[int, Codec] = kept(OPERATOR)
 
 
 def _codec(shared, key: int, cache_size: int) -> Codec:
@@ -250,7 +252,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: t
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _ids_column(parts), pa.array([codec.score(p) for p in parts], pa.float64())],
                                              names=[*keep, "ids", "log_score"])
 
-    return arrow_map(source, run, fields)
+    return arrow_map(source, run, fields, OPERATOR)
 
 
 def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -266,7 +268,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: s
             texts = [codec.decode(np.asarray(x.values)) if x.is_valid else "" for x in batch.column(at_ids)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=names)
 
-    return arrow_map(encoded, run, fields)
+    return arrow_map(encoded, run, fields, OPERATOR)
 
 
 def digests(decoded: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -285,7 +287,7 @@ def digests(decoded: DataFrame, path: str | None = None, keep: tuple[str, ...] =
             pa.array([int(np.isin(r, byte_ids).sum()) for r in rows], pa.int64()),
             pa.array([hashlib.sha256(r.tobytes()).hexdigest() for r in rows])], names=names)
 
-    return arrow_map(source, run, fields)
+    return arrow_map(source, run, fields, OPERATOR)
 
 
 def summary(docs: DataFrame, path: str | None = None) -> DataFrame:

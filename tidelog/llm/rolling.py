@@ -16,6 +16,8 @@ U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = U(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[str, np.ndarray] = {}
+#: Powers of each kind that stay when a task is over.
+KEPT = 1 << 16
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -41,6 +43,13 @@ def _pow(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
+def forget() -> None:
+    """Lets go of the powers beyond ``KEPT``: those of one long text would stay with an idle worker for good."""
+    for kind, have in _powers.items():
+        if len(have) > KEPT:
+            _powers[kind] = have[:KEPT].copy()
+
+
 class Prefix:
     """Prefix sums of ``value[i] * base**i``: the fingerprint of any range in O(1)."""
 
@@ -86,7 +95,7 @@ def word_bounds(buf: np.ndarray, text_start: np.ndarray) -> tuple[np.ndarray, np
     return start, end, np.searchsorted(start, text_start)
 
 
-def word_prints(buf: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 1 << 20) -> np.ndarray:
+def word_prints(buf: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 1 << 18) -> np.ndarray:
     """64-bit fingerprint of every word ``buf[start:end]``, about ``limit`` bytes at a time."""
     out = np.zeros(len(start), dtype=np.uint64)
     i = 0
