@@ -120,3 +120,24 @@ def test_counting_and_scoring_take_several_jobs(spark, monkeypatch):
     assert len(grams) == 2 and all(grams) and not grams[0] & grams[1]
     scores = [t.count() for name, t in made if name == "scores"]
     assert len(scores) == 4 and max(scores) < 40
+
+
+def test_rows_to_merge_do_not_stay_beside_the_merged_ones():
+    import numpy as np
+
+    rows = [(np.array(k, np.uint64), np.ones(len(k), np.uint8), np.array(k, np.uint64) + np.uint64(1), np.arange(len(k))) for k in ([3, 1 << 63, 5], [5, 3])]
+    keys, length, history, n = op.merged(rows)
+    assert rows == [] and length.itemsize == 1
+    assert keys.tolist() == [3, 5, 1 << 63] and history.tolist() == [4, 6, (1 << 63) + 1] and n.tolist() == [1, 2, 1]
+
+
+@pytest.mark.parametrize("values", [[], [0, 0], [255, 0, 3], [256, 1], [1 << 40, 7, 0]])
+def test_numbers_take_the_bytes_they_need(values):
+    import numpy as np
+    import pyarrow as pa
+
+    packed = op.planes(np.array(values, dtype=np.int64))
+    assert len(packed) == len(values) * ((max(values, default=0).bit_length() + 7) // 8)
+    assert op.numbers_of(pa.scalar(packed, pa.binary()), len(values)).tolist() == values
+    keys = np.array(values, dtype=np.uint64)
+    assert len(op.planes(keys)) == 8 * len(values) and op.keys_of(pa.scalar(op.planes(keys), pa.binary())).tolist() == values

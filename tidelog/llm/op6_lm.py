@@ -46,8 +46,8 @@ ORDER = 3
 MIN_COUNT = 2
 DISCOUNT = 0.75
 ADDED = 0.1
-BLOCK_BYTES = 16 << 20
-PART_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 #: Jobs in which n-grams are counted (each a range of keys) and texts are scored (each some blocks).
 COUNT_ROUNDS, SCORE_ROUNDS = 2, 4
 #: Entries a task holds before they are packed and sent.
@@ -82,6 +82,14 @@ def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
+def each_once(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, an index of each and how often it occurs (``np.unique`` sorts stably, twice as long)."""
+    by = np.argsort(keys)
+    keys = keys[by]
+    begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else by
+    return keys[begin], by[begin], np.diff(np.append(begin, len(keys)))
+
+
 def grams(words: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per length the keys of the n-grams that end at each token, and whether one does (none crosses a
     text).  The key of its history is the shorter key at the token before."""
@@ -101,22 +109,39 @@ def distinct_of(keys: np.ndarray) -> np.ndarray:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """64-bit values as eight planes of bytes: what sorted keys and small counts share compresses."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Values as planes of their bytes: what sorted keys share compresses.  Keys have all eight planes; numbers
+    only those up to the largest one's, none for zeros."""
+    wide = values.itemsize
+    if values.dtype != np.uint64:
+        wide = (int(values.max()).bit_length() + 7) // 8 if len(values) else 0
+    return values.view(np.uint8).reshape(-1, values.itemsize)[:, :wide].T.tobytes()
 
 
-def values_of(data: pa.Scalar, kind=np.int64) -> np.ndarray:
+def keys_of(data: pa.Scalar) -> np.ndarray:
     raw = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+    return np.ascontiguousarray(raw.T).reshape(-1).view(np.uint64)
+
+
+def numbers_of(data: pa.Scalar, n: int, kind=np.int64) -> np.ndarray:
+    """The ``n`` numbers beside as many keys."""
+    grid = np.zeros((n, np.dtype(kind).itemsize), dtype=np.uint8)
+    if n:
+        raw = np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(-1, n)
+        grid[:, :len(raw)] = raw.T
+    return grid.reshape(-1).view(kind)
 
 
 def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Sorted distinct keys; of the other columns the first (length, history) or the sum (the rest)."""
+    """Sorted distinct keys, their length and history (a key has one of each), the sum of their counts.  ``held`` is
+    emptied: its rows need not stay beside the sorted ones."""
     keys, length, history, n = (np.concatenate(c) for c in zip(*held))
-    by = np.argsort(keys, kind="stable")
+    held.clear()
+    by = np.argsort(keys)
     keys = keys[by]
     begin = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else by
-    return keys[begin], length[by[begin]], history[by[begin]], np.add.reduceat(n[by], begin) if len(keys) else n
+    n = np.add.reduceat(n[by], begin) if len(keys) else n
+    by = by[begin]
+    return keys[begin], length[by], history[by], n
 
 
 def by_part(parts: int, keys: np.ndarray, *columns: np.ndarray, **fixed: int) -> Iterator[pa.RecordBatch]:
@@ -124,8 +149,8 @@ def by_part(parts: int, keys: np.ndarray, *columns: np.ndarray, **fixed: int) ->
     of = ((keys >> U(32)) * U(parts) >> U(32)).astype(np.int64)
     cut = np.flatnonzero(np.diff(of)) + 1
     bounds = [0, *cut.tolist(), len(keys)]
-    for k in range(0, len(bounds) - 1, 256):
-        some = [(a, b) for a, b in zip(bounds[k:k + 256], bounds[k + 1:k + 257]) if a < b]
+    for k in range(0, len(bounds) - 1, 32):
+        some = [(a, b) for a, b in zip(bounds[k:k + 32], bounds[k + 1:k + 33]) if a < b]
         if some:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(of[a]) for a, _ in some], pa.int64()), *(pa.array([v] * len(some), pa.int64()) for v in fixed.values()),
@@ -169,19 +194,22 @@ class Model:
         """Per token: whether it is known, and the log10 probabilities of the root and of the automaton;
         ``table`` has the sorted keys and the counts of the n-grams that are not in the cache."""
         p = history = None
-        for length, (key, ok) in enumerate(grams(words, first, self.order)):
+        for length, (key, whole) in enumerate(grams(words, first, self.order)):
             n, sent, arcs = (np.zeros(len(words), dtype=np.int64) for _ in range(3))
+            # looked up in their order, which stays in the CPU's cache
+            by = np.argsort(key)
+            key, ok = key[by], whole[by]
             for keys, rest in ((self.keys[length], self.rest[length]), (table[0], table[1:])):
                 at = find(keys, key)
                 hit = ok & (at >= 0)
                 for column, value in zip((n, sent, arcs), rest):
-                    column[hit] = value[at[hit]]
+                    column[by[hit]] = value[at[hit]]
             if p is None:
                 known, p = n > 0, self.root(n)
                 base = np.log10(p)
             else:
                 # states whose history is kept; without an arc only the failure weight counts
-                at = np.flatnonzero(ok[1:] & (history[0][:-1] >= self.least)) + 1
+                at = np.flatnonzero(whole[1:] & (history[0][:-1] >= self.least)) + 1
                 below = history[0][at - 1]
                 left = 1.0 - (history[1][at - 1] - DISCOUNT * history[2][at - 1]) / below
                 p[at] = np.where(n[at] >= self.least, n[at] - DISCOUNT, 0.0) / below + left * p[at]
@@ -208,8 +236,8 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
                 shorter = np.zeros(len(words), dtype=np.uint64)
                 for length, (key, ok) in enumerate(grams(words, first, order), 1):
                     ok &= (key >> U(32)) * U(COUNT_ROUNDS) >> U(32) == turn
-                    keys, at, times = np.unique(key[ok], return_index=True, return_counts=True)
-                    held.append((keys, np.full(len(keys), length), shorter[ok][at], times))
+                    keys, at, times = each_once(key[ok])
+                    held.append((keys, np.full(len(keys), length, dtype=np.uint8), shorter[ok][at], times))
                     entries += len(keys)
                     shorter = np.append(U(0), key[:-1])
                 if entries > HELD:
@@ -224,7 +252,8 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
         give_back()
 
     def gather(state, batch, i):
-        state.append((values_of(batch.column(1)[i], np.uint64), values_of(batch.column(2)[i]), values_of(batch.column(3)[i], np.uint64), values_of(batch.column(4)[i])))
+        keys = keys_of(batch.column(1)[i])
+        state.append((keys, numbers_of(batch.column(2)[i], len(keys), np.uint8), keys_of(batch.column(3)[i]), numbers_of(batch.column(4)[i], len(keys))))
 
     def add_up(part, state):
         keys, length, history, times = merged(state)
@@ -250,31 +279,34 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
         """Of each history: count and number of its kept arcs."""
         for batch in batches:
             for i in range(batch.num_rows):
-                length, history, times = values_of(batch.column(1)[i]), values_of(batch.column(2)[i], np.uint64), values_of(batch.column(3)[i])
+                history = keys_of(batch.column(1)[i])
+                length, times = numbers_of(batch.column(0)[i], len(history), np.uint8), numbers_of(batch.column(2)[i], len(history))
                 kept = (length > 1) & (times >= least)
                 states, which = np.unique(history[kept], return_inverse=True)
                 sent, number = np.zeros(len(states), dtype=np.int64), np.bincount(which, minlength=len(states)).astype(np.int64)
                 np.add.at(sent, which, times[kept])
-                yield from by_part(parts, states, sent, number, number, kind=1)
+                yield from by_part(parts, states, sent, number, kind=1)
             give_back()
 
     def beside(state, batch, i):
-        state[batch.column(1)[i].as_py()].append([values_of(batch.column(k)[i], np.uint64 if k == 2 else np.int64) for k in (2, 3, 4, 5)])
+        kind = batch.column(1)[i].as_py()
+        keys = keys_of(batch.column(2)[i])
+        state[kind].append((keys, numbers_of(batch.column(3)[i], len(keys), np.int64 if kind else np.uint8), numbers_of(batch.column(4)[i], len(keys))))
 
     def finish(part, state):
-        keys, length, _, times = state[0][0]
+        keys, length, times = state[0][0]
         keep = (length == 1) | (times >= least)
         keys, length, times = keys[keep], length[keep], times[keep]
         sent, number = np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
-        for states, s, a, _ in state[1]:
+        for states, s, a in state[1]:
             at = find(keys, states)
             sent[at] += s
             number[at] += a
         yield pa.RecordBatch.from_arrays([pa.array([part]), *(pa.array([planes(c)], pa.binary()) for c in (keys, length, times, sent, number))],
                                          names=["part", "c0", "c1", "c2", "c3", "c4"])
 
-    both = counted.select("part", F.lit(0).cast("bigint").alias("kind"), "c0", "c1", "c2", "c3").unionByName(
-        counted.select("c0", "c1", "c2", "c3").mapInArrow(leaving, f"part bigint, kind bigint, {columns}"))
+    both = counted.select("part", F.lit(0).cast("bigint").alias("kind"), "c0", "c1", F.col("c3").alias("c2")).unionByName(
+        counted.select("c1", "c2", "c3").mapInArrow(leaving, "part bigint, kind bigint, c0 binary, c1 binary, c2 binary"))
     table = written(dealt(both, n, "part", "kind").mapInArrow(lambda b: whole_parts(b, lambda: ([], []), beside, finish),
                                                               f"part bigint, {columns}, c4 binary"), "arcs")
     model, often = Model(total, distinct, least, order), max(least, -(-total // ARCS))
@@ -282,9 +314,10 @@ def train(docs: DataFrame, text: str = "text", arcs: int | None = None, order: i
     def frequent(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                keys, *rest = (values_of(batch.column(k)[i]) for k in range(1, 6))
-                some = rest[1] >= often
-                yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (keys, *rest)], names=["key", "length", "n", "sent", "arcs"])
+                keys = keys_of(batch.column(1)[i]).view(np.int64)
+                length, *rest = (numbers_of(batch.column(k)[i], len(keys), np.uint8 if k == 2 else np.int64) for k in range(2, 6))
+                some = rest[0] >= often
+                yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (keys, length.astype(np.int64), *rest)], names=["key", "length", "n", "sent", "arcs"])
             give_back()
 
     cache = table.mapInArrow(frequent, "key bigint, length bigint, n bigint, sent bigint, arcs bigint").toArrow()
@@ -344,9 +377,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
         """Counts of the asked keys that exist; a part's table comes before what asks for it."""
         def each(state, batch, i):
             if not batch.column(1)[i].as_py():
-                state += [values_of(batch.column(3)[i], np.uint64)] + [values_of(batch.column(k)[i]) for k in (4, 5, 6)]
+                keys = keys_of(batch.column(3)[i])
+                state += [keys] + [numbers_of(batch.column(k)[i], len(keys)) for k in (4, 5, 6)]
             elif state:
-                at = find(state[0], values_of(batch.column(3)[i], np.uint64))
+                at = find(state[0], keys_of(batch.column(3)[i]))
                 at = at[at >= 0]
                 if len(at):
                     yield pa.RecordBatch.from_arrays([batch.column(2).slice(i, 1), *(pa.array([planes(c[at])], pa.binary()) for c in state)],
@@ -381,12 +415,17 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text",
                 if block[a] != now:
                     now, held, table = block[a], [], None
                 if not is_text[a]:
-                    held += [[values_of(batch.column(k)[i], np.uint64 if k == 2 else np.int64) for k in (2, 3, 4, 5)] for i in range(a, b)]
+                    for i in range(a, b):
+                        keys = keys_of(batch.column(2)[i])
+                        held.append([keys] + [numbers_of(batch.column(k)[i], len(keys)) for k in (3, 4, 5)])
                     continue
                 if table is None:
                     columns = [np.concatenate(c) for c in zip(*held)] if held else [np.zeros(0, np.uint64)] + [np.zeros(0, np.int64)] * 3
+                    held = []
                     by = np.argsort(columns[0])
-                    table, held = [c[by] for c in columns], []
+                    for k in range(4):
+                        columns[k] = columns[k][by]
+                    table, columns, by = columns, None, None
                 yield scored(batch.slice(a, b - a), m, table)
         held, table = [], None
         give_back()
