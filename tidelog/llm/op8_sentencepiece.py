@@ -6,7 +6,8 @@ broadcast is bounded.  A text is normalised by the model's own flags (white-spac
 before the text), cut where a marker follows another character - no piece may cross such a place,
 which is checked on loading - and each part is encoded by Viterbi: the best sum of log scores, of
 equal sums the path whose last piece is longest.  A character without a piece costs the least score
-minus 10 and becomes byte pieces.  Parts repeat, so each worker keeps a bounded cache of them.
+minus 10 and becomes byte pieces.  Parts repeat, so each worker keeps a bounded cache of them; the parts
+of some texts that it lacks are encoded side by side, one position of all of them after the other.
 
 Decoding joins the pieces, turns byte pieces back into UTF-8 (invalid bytes read U+FFFD), markers into
 spaces and drops the marker that encoding put first.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import arrow_map, documents, kept
+from .base import arrow_map, documents, kept, per_text
 
 NAME = "op8_sentencepiece"
 SQL = None
@@ -36,6 +38,11 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 CACHE_SIZE = 500_000
 CACHED_PART = 64
+#: Parts looked up at once, bytes of a block of parts encoded side by side, and fewest parts of a block.
+LOOKUP, BLOCK_BYTES, BLOCK_PARTS = 1 << 16, 1 << 17, 24
+#: Bytes of a character by its first byte; 0 for other bytes.
+WIDTH = np.array([1] * 0x80 + [0] * 0x42 + [2] * 0x1E + [3] * 0x10 + [4] * 5 + [0] * 11, dtype=np.int64)
+PAD = 0xFF
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -163,28 +170,103 @@ class Codec:
         import re
 
         self.model, self.cache, self.cache_size = model, {}, cache_size
-        self.parts = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+").findall
+        self.parts = re.compile(" +[^ ]*|[^ ]+").findall
         self.scores = np.array(model.scores)
+        self.ends = np.append(self.scores, -np.inf)  # by id of the piece that ends at a node, -1 if none
+        trie = model.trie
+        self.first, self.check, self.value = np.array(trie.base) + 1, np.array(trie.check), np.array(trie.value)
+        self.byte_ids = np.array(model.byte_ids)
         self.byte_of = np.full(len(model.scores), -1)
         for c, i in enumerate(model.byte_ids):
             if i >= 0:
                 self.byte_of[i] = c
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, dtype=np.int32)
-        norm = (MARK if self.model.dummy_prefix else "") + text.replace(" ", MARK)
-        out, cache = [], self.cache
-        for part in self.parts(norm):
-            ids = cache.get(part)
-            if ids is None:
-                ids = np.array(self.model.viterbi(part.encode()), dtype=np.int32).tobytes()
-                if len(part) <= CACHED_PART:
-                    if len(cache) >= self.cache_size:
-                        cache.clear()
-                    cache[part] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype=np.int32)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Pieces of each text.  A part's marker is a space here and becomes one only where it is encoded."""
+        first = " " if self.model.dummy_prefix else ""
+        split = [self.parts(first + t.replace(MARK, " ")) if t else [] for t in texts]
+        flat, found, cache = list(itertools.chain.from_iterable(split)), [], self.cache
+        for at in range(0, len(flat), LOOKUP):
+            some = flat[at:at + LOOKUP]
+            known = {p: cache.get(p) for p in dict.fromkeys(some)}
+            new = [p for p, ids in known.items() if ids is None]
+            known.update(zip(new, self._solve([p.replace(" ", MARK).encode() for p in new])))
+            if len(cache) + len(new) > self.cache_size:
+                cache.clear()
+            cache.update((p, known[p]) for p in itertools.islice(new, self.cache_size) if len(p) <= CACHED_PART)
+            found += map(known.__getitem__, some)
+        bounds = list(itertools.accumulate(map(len, split), initial=0))
+        return [np.frombuffer(b"".join(found[i:j]), dtype=np.int32) for i, j in itertools.pairwise(bounds)]
+
+    def _solve(self, parts: list[bytes]) -> list[bytes]:
+        """Pieces of each part, as 32-bit integers.  Parts of like length are a block; of those too long to be
+        many in a block, each is encoded alone."""
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        out, at = [b""] * len(parts), 0
+        while at < len(order):
+            to = at + 1
+            while to < len(order) and (to + 1 - at) * len(parts[order[to]]) <= BLOCK_BYTES:
+                to += 1
+            block = order[at:to]
+            if len(block) < BLOCK_PARTS:
+                solved = [np.array(self.model.viterbi(parts[i]), dtype=np.int32).tobytes() for i in block]
+            else:
+                solved = self._side_by_side([parts[i] for i in block])
+            for i, ids in zip(block, solved):
+                out[i] = ids
+            at = to
+        return out
+
+    def _side_by_side(self, parts: list[bytes]) -> list[bytes]:
+        """``Model.viterbi`` of many parts of like length, the same comparisons in the same order."""
+        first, check, value, ends, unknown = self.first, self.check, self.value, self.ends, self.model.unknown_score
+        n, rows = len(parts[-1]), len(parts)
+        text = np.frombuffer(b"".join(p.ljust(n, bytes([PAD])) for p in parts), dtype=np.uint8).reshape(rows, n).T.astype(np.int64)
+        best = np.full((n + 1, rows), -np.inf)
+        best[0] = 0.0
+        came, piece = np.zeros((n + 1, rows), dtype=np.int32), np.zeros((n + 1, rows), dtype=np.int32)
+        for i in range(n):
+            width = WIDTH[text[i]]
+            row = start = np.flatnonzero(width)
+            here, node, j, single = best[i].take(row), np.zeros(len(row), dtype=np.int64), i, np.zeros(rows, dtype=bool)
+            while len(row) and j < n:
+                after = first.take(node) + text[j].take(row)
+                go = np.flatnonzero(check.take(after) == node)
+                row, here, node, j = row.take(go), here.take(go), after.take(go), j + 1
+                number = value.take(node)
+                if j - i <= 4:
+                    single[row[(number >= 0) & (width.take(row) == j - i)]] = True
+                sums = here + ends.take(number, mode="wrap")
+                better = np.flatnonzero(sums > best[j].take(row))
+                at = row.take(better)
+                best[j][at], came[j][at], piece[j][at] = sums.take(better), i, number.take(better)
+            row = start[~single[start]]
+            if len(row):
+                to, sums = i + width[row], best[i, row] + unknown
+                better = sums > best[to, row]
+                to, at = to[better], row[better]
+                best[to, at], came[to, at], piece[to, at] = sums[better], i, self.model.unknown_id
+        row, j, steps = np.arange(rows), np.array([len(p) for p in parts]), []
+        while len(row):
+            i = came[j, row]
+            steps.append((row, piece[j, row], i, j - i))
+            row, j = row[i > 0], i[i > 0]
+        row, ids, i, width = (np.concatenate(x[::-1]) for x in zip(*steps))
+        order = np.argsort(row, kind="stable")
+        row, ids, i, width = row[order], ids[order], i[order], width[order]
+        if self.model.byte_fallback and (ids == self.model.unknown_id).any():
+            raw = ids == self.model.unknown_id
+            each = np.where(raw, width, 1)
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            row, raw = np.repeat(row, each), np.repeat(raw, each)
+            ids, place = np.repeat(ids, each), np.repeat(i, each) + place
+            ids[raw] = self.byte_ids[text[place[raw], row[raw]]]
+        bounds = np.searchsorted(row, np.arange(rows + 1)) * 4
+        data = ids.astype(np.int32).tobytes()
+        return [data[i:j] for i, j in itertools.pairwise(bounds.tolist())]
 
     def score(self, ids: np.ndarray) -> float:
         """Log score of the path: pieces, and one cost for each character that became bytes."""
@@ -209,6 +291,13 @@ def _codec(shared, key: int, cache_size: int) -> Codec:
     return _codecs[key]
 
 
+def _without_parts() -> None:
+    """A worker that no longer encodes keeps no parts: a task has a worker for each of its steps, and any of them
+    may have encoded before."""
+    for codec in _codecs.values():
+        codec.cache.clear()
+
+
 @functools.lru_cache(maxsize=4)
 def load(path: str) -> Model:
     return Model(path)
@@ -225,7 +314,7 @@ def _ids_column(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else [], pa.int32()))
 
 
-def _some(batch: pa.RecordBatch, text: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _some(batch: pa.RecordBatch, text: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about ``limit`` bytes of text, so that pieces of few texts are held at once."""
     import pyarrow.compute as pc
 
@@ -248,7 +337,7 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", keep: t
     def run(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared, key, cache_size)
         for batch in _some(whole, len(keep)):
-            parts = [codec.encode(t) for t in batch.column(len(keep)).to_pylist()]
+            parts = codec.encode_all(batch.column(len(keep)).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _ids_column(parts), pa.array([codec.score(p) for p in parts], pa.float64())],
                                              names=[*keep, "ids", "log_score"])
 
@@ -262,6 +351,7 @@ def decode(encoded: DataFrame, path: str | None = None, ids: str = "ids", out: s
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields), f"`{out}` string"])
 
     def run(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        _without_parts()
         codec = _codec(shared, key, CACHE_SIZE)
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
@@ -281,10 +371,13 @@ def digests(decoded: DataFrame, path: str | None = None, keep: tuple[str, ...] =
                         "n_tokens bigint, n_byte_tokens bigint, ids_sha256 string"])
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        _without_parts()
         rows = [np.asarray(x.values).astype("<i4") if x.is_valid else np.zeros(0, "<i4") for x in batch.column(len(keep))]
+        sizes = [len(r) for r in rows]
+        bounds = np.cumsum([0, *sizes])
         yield pa.RecordBatch.from_arrays([
-            *batch.columns[:-1], pa.array([len(r) for r in rows], pa.int64()),
-            pa.array([int(np.isin(r, byte_ids).sum()) for r in rows], pa.int64()),
+            *batch.columns[:-1], pa.array(sizes, pa.int64()),
+            pa.array(per_text(np.isin(np.concatenate(rows), byte_ids), bounds), pa.int64()),
             pa.array([hashlib.sha256(r.tobytes()).hexdigest() for r in rows])], names=names)
 
     return arrow_map(source, run, fields, OPERATOR)
