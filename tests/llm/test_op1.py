@@ -148,3 +148,60 @@ def test_intersections_across_two_sides():
         i, j = op._pairs(sets, side, lambda i, j, c: c >= 2)
         want = {(min(x, y), max(x, y)) for x in range(n) for y in range(n) if side[x] != side[y] and every[x][y] >= 2}
         assert {(min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist())} == want
+
+
+@pytest.mark.parametrize("words, percent", [(4, 85), (5, 80)])
+def test_wide_clusters_are_cut_before_their_blocks_are_paired(spark, words, percent, monkeypatch):
+    """One cluster of all texts: what shares only a passage must not reach the pairs of blocks together."""
+    rng = np.random.default_rng(7)
+    prose = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    shared = prose(60)
+    rows = [(i, " ".join(prose(int(rng.integers(40, 90))) + shared)) for i in range(150)]
+    # near copies of some, and texts that are little more than the passage
+    rows += [(200 + i, rows[i][1] + f" x{i}") for i in range(0, 60, 3)] + [(300 + i, " ".join(shared + prose(i))) for i in range(5)]
+    rows += [(r, t) for r, t in corpus() if t]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen, paired = [], op.blocked_pairs
+
+    def recorded(members, *args):
+        seen.append(members.groupBy("root").count().agg({"count": "max"}).first()[0])
+        return paired(members, *args)
+
+    def together(docs, words, percent, text="text"):
+        return op.sets_of(docs, words, text).where("n_shingles > 0").select("class").distinct().selectExpr("class AS node", "0L AS root")
+
+    monkeypatch.setattr(op, "candidate_clusters", together)
+    monkeypatch.setattr(op, "blocked_pairs", recorded)
+    monkeypatch.setattr(op, "BLOCK_SETS", 12)
+    monkeypatch.setattr(op, "PACKED", 1000, raising=False)
+    monkeypatch.setattr(op, "PART", 500, raising=False)
+    monkeypatch.setattr(op, "COUNTED", 100, raising=False)
+    got = op.join(df, words, percent).collect()
+    want, _ = brute(rows, words, percent)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted(want)
+    assert len(seen) == 2 and max(seen) < 30, seen
+
+
+def test_shared_elements_are_counted_in_their_cluster(spark):
+    texts = ["a b c d e", "a b c d x", "q r s t u", "b c d e f g h"]
+    rows = [(i + 10, root, t) for root, some in ((1, texts), (-2, texts[:1])) for i, t in enumerate(some)]
+    df = spark.createDataFrame([(k * root, root, t) for k, root, t in rows], "class long, root long, body string")
+    got = {}
+    for r in op.shared_elements(df, 2, 5).collect():
+        got.setdefault(r["class"], []).append(r["held"])
+    # cluster 1: bc, cd in three sets, ab and de in two; cluster -2 has one set alone
+    assert {k: sorted(v) for k, v in got.items()} == {10: [2, 2, 3, 3], 11: [2, 3, 3], 13: [2, 3, 3]}
+
+
+def test_packed_elements_keep_class_and_part():
+    rng = np.random.default_rng(1)
+    sizes = np.array([5, 1, 400, 0, 60])
+    prints, keys = rng.integers(0, 1 << 64, int(sizes.sum()), dtype=np.uint64), np.array([7, -3, 9, 4, 11])
+    found = []
+    for row in op.packed(prints, keys, sizes, 3).to_pylist():
+        low = np.frombuffer(row["prints"], np.uint8).reshape(-1, 6)
+        low = np.pad(low, ((0, 0), (0, 2))).view("<u8").ravel()
+        owner = np.repeat(np.frombuffer(row["classes"], "<i8"), np.frombuffer(row["counts"], "<u4"))
+        found += [(int(k), row["part"], int(x)) for k, x in zip(owner, low, strict=True)]
+    want = [(int(k), int(x) >> 61, int(x) & (1 << 48) - 1) for k, x in zip(np.repeat(keys, sizes), prints)]
+    assert sorted(found) == sorted(want)

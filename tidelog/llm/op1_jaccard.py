@@ -27,6 +27,13 @@ frequent one links its classes to the least, a star instead of all pairs.  Tasks
 frequent among their own rows before the shuffle, so a hot signature is a few rows of each.  The connected
 components of both are the candidate clusters.
 
+**Wide clusters.**  With more texts more signatures are frequent, and their stars hold texts together that share a
+few passages.  A cluster of more than one block is therefore cut anew before its sets are compared, by the prefix
+filter on the elements themselves: of a set at most ``100 - percent`` of 100 elements are missing in a similar one, so
+by any order common to all sets the first of those that they share is among so many first ones and one more of both.
+By ascending frequency most of these elements occur once; those that do not link their sets.  Each element of a wide
+cluster is shuffled once, packed, and those that occur more than once a second time.
+
 **Verification.**  A cluster is cut into blocks of bounded size; every pair of blocks is one group, in
 which all intersections are counted exactly.  A group returns a spanning forest of its links (or all
 links, :func:`links` with ``forest=False``), so a cluster of any size is never listed as pairs, and one
@@ -48,7 +55,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .base import arrow_map, documents, flat, give_back, groups, row_key, ship, written
@@ -68,6 +75,8 @@ HELD = 1 << 19
 MANY, EDGE = -1, -2
 #: Counters of the sketch of signature frequencies (a power of two), and those in a row of it.
 COUNTERS, SLICE = 1 << 22, 1 << 16
+#: Elements of wide clusters packed at once, in a part at most, and counted at once; parts are two to this power at least.
+PACKED, PART, COUNTED, LEAST_POWER = 1 << 19, 1 << 21, 1 << 20, 5
 #: Set elements and sets in a block of a candidate cluster.
 BLOCK_ELEMENTS = 1 << 19
 BLOCK_SETS = 2048
@@ -585,6 +594,114 @@ def read_picked(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
+def packed(prints: np.ndarray, keys: np.ndarray, sizes: np.ndarray, power: int) -> pa.RecordBatch:
+    """Elements of sets in ``2**power`` parts by their high bits, a row for each part: the classes in it, how many
+    elements each has there, and their 48 low bits."""
+    part = (prints >> U(64 - power)).astype(np.int32)
+    by = np.argsort(part, kind="stable")
+    part, owner = part[by], np.repeat(np.arange(len(sizes)), sizes)[by]
+    first = np.append(True, part[1:] != part[:-1])
+    run = np.flatnonzero(first | np.append(True, owner[1:] != owner[:-1]))
+    begin = np.flatnonzero(first)
+    low = np.ascontiguousarray(prints[by].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+    ends, runs = np.append(begin, len(part)), np.searchsorted(run, np.append(begin, len(part)))
+
+    def rows(width, bounds, data):
+        return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer((width * bounds).astype(np.int32)), pa.py_buffer(data.tobytes())])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[begin]), rows(8, runs, keys[owner[run]].astype("<i8")), rows(4, runs, np.diff(np.append(run, len(part))).astype("<u4")),
+         rows(6, ends, low)], names=["part", "classes", "counts", "prints"])
+
+
+def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
+    """``element, class, held`` for the elements of ``texts`` (``class, root, body``) that occur in a cluster more than once,
+    and how often.  An element is 48 bits and its part: two of a set that agree in them stay two rows, so that a set still
+    has as many as it has shingles, and count as frequent ones."""
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ship(texts.sparkSession)
+
+    def pack(batches):
+        held, entries = [], 0
+        for batch in batches:
+            keys, roots = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+            buf, offsets = flat(batch.column(2))
+            for i, j in groups(offsets):
+                elements, sizes = shingle_sets(buf[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words)
+                # an element counts for its cluster alone
+                prints = mix(elements ^ np.repeat(mix(roots[i:j].view(np.uint64)), sizes))
+                held.append((prints, keys[i:j], sizes))
+                entries += len(prints)
+                if entries > PACKED:
+                    yield packed(*(np.concatenate(c) for c in zip(*held)), power)
+                    held, entries = [], 0
+        if entries:
+            yield packed(*(np.concatenate(c) for c in zip(*held)), power)
+        held = []
+        give_back()
+
+    def count(part, held):
+        low = np.concatenate([x for x, _ in held])
+        keys = np.concatenate([x for _, x in held])
+        held.clear()
+        bits = max(0, (len(low) // COUNTED).bit_length())
+        for some in range(1 << bits):
+            at = np.flatnonzero(low >> U(48 - bits) == U(some)) if bits else np.arange(len(low))
+            at = at[np.argsort(low[at], kind="stable")]
+            begin = np.flatnonzero(np.append(True, low[at][1:] != low[at][:-1])) if len(at) else at
+            often = np.diff(np.append(begin, len(at)))
+            often = np.repeat(often, often)
+            at, often = at[often > 1], often[often > 1]
+            for i in range(0, len(at), 1 << 16):
+                now = at[i:i + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array((low[now] | U(part << 48)).view(np.int64)), pa.array(keys[now]), pa.array(often[i:i + (1 << 16)])],
+                                                 names=["element", "class", "held"])
+
+    def run(batches):
+        part, held = None, []
+        for batch in batches:
+            for i, now in enumerate(batch.column(0).to_pylist()):
+                if now != part:
+                    if held:
+                        yield from count(part, held)
+                    part, held = now, []
+                keys, counts, prints = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=kind) for c, kind in ((1, "<i8"), (2, "<u4"), (3, np.uint8)))
+                low = np.zeros((len(prints) // 6, 8), dtype=np.uint8)
+                low[:, :6] = prints.reshape(-1, 6)
+                held.append((low.view("<u8").ravel(), np.repeat(keys, counts)))
+        if held:
+            yield from count(part, held)
+        held = []
+        give_back()
+
+    rows = texts.select("class", "root", "body").mapInArrow(pack, "part int, classes binary, counts binary, prints binary")
+    return rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(run, "element bigint, class bigint, held bigint")
+
+
+def narrowed(members: DataFrame, docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
+    """``members`` (``class, rid, n, root``) with each cluster of more than one block cut by the prefix filter on its elements.
+    A set that shares none of those it must share one of is similar to no other and goes."""
+    size = members.groupBy("root").agg(F.sum("n").alias("elements"), F.count(F.lit(1)).alias("m"))
+    wide = written(size.where((F.col("elements") > BLOCK_ELEMENTS) | (F.col("m") > BLOCK_SETS)), "wide")
+    total = wide.agg(F.sum("elements")).first()[0]
+    if not total:
+        return members
+    inside = written(members.join(wide.select("root"), "root", "left_semi").select(*members.columns), "inside")
+    bodies = docs.select("rid", F.col(text).alias("body")).join(inside.select("rid"), "rid", "left_semi").dropDuplicates(["rid"])
+    # an element is 64 bits: its part takes 16 at most
+    power = min(16, max(LEAST_POWER, (int(total) // PART).bit_length()))
+    shared = written(shared_elements(inside.select("rid", "class", "root").join(bodies, "rid"), words, power), "shared")
+    # the most frequent ones that a set must share, less one, go; those that occur once would come after all of these
+    order = Window.partitionBy("class").orderBy(F.desc("held"), "element")
+    most = F.expr(f"n - ({100 - percent} * n) div 100 - 1")
+    first = written(shared.join(inside.select("class", "n"), "class").withColumn("rank", F.row_number().over(order)).where(F.col("rank") > most)
+                    .select("element", "class"), "first")
+    least = written(first.groupBy("element").agg(F.min("class").alias("hub"), F.max("class").alias("last")).where("hub < last").drop("last"), "hubs")
+    found = components(first.join(least, "element").where("class <> hub").select(F.col("hub").alias("a"), F.col("class").alias("b")))
+    cut = inside.drop("root").join(found, F.col("class") == F.col("node")).select(*members.columns)
+    return written(members.join(wide.select("root"), "root", "left_anti").select(*members.columns).unionByName(cut), "members")
+
+
 def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: str = "text", forest: bool = True) -> DataFrame:
     """``a, b``: links between classes; all of them, or a spanning forest of each group of blocks.
 
@@ -593,6 +710,7 @@ def links(docs: DataFrame, classes: DataFrame, words: int, percent: int, text: s
     sets, place = lambda b, o: shingle_sets(b, o, words), F.col("class") == F.col("node")
     # a row key names one text, or rows that repeat with equal sets: a class keeps one of them
     member = written(one.join(candidate_clusters(docs, words, percent, text), place).drop("node"), "members")
+    member = narrowed(member, docs, words, percent, text)
     # written: the texts need not be cut again to count their picked elements
     first = written(picked_sets(docs, words, text).join(member.select("rid"), "rid", "left_semi").dropDuplicates(["rid"]), "picked")
     sized = first.select("rid", (F.octet_length("body") / 4).alias("carried"))
