@@ -63,6 +63,17 @@ def give_back(operator: str | None = None) -> None:
         trim(0)
 
 
+def giving_back(fn):
+    """``fn(batches)`` for ``mapInArrow``, with a :func:`give_back` when it has ended: what its frame held is free by then."""
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def arrow_map(df: DataFrame, fn, schema: str, operator: str | None = None) -> DataFrame:
     """``df.mapInArrow`` with ``fn(batch) -> iterable of batches`` applied to each batch; what ``operator`` has
     :func:`kept` stays."""

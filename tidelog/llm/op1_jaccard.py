@@ -58,7 +58,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_map, documents, flat, give_back, groups, row_key, ship, written
+from .base import arrow_map, documents, flat, giving_back, groups, row_key, ship, written
 from .components import components
 from .rolling import Prefix, U, fold_ascii, mix, word_bounds, word_prints
 
@@ -272,8 +272,6 @@ def frequencies(docs: DataFrame, words: int, percent: int, text: str = "text") -
             if total[i:i + SLICE].any():
                 yield pa.RecordBatch.from_arrays([pa.array([i // SLICE], pa.int64()), pa.array([zlib.compress(total[i:i + SLICE].tobytes(), 1)])],
                                                  names=["slice", "counts"])
-        del total
-        give_back()
 
     def add_up(batches):
         totals = {}
@@ -286,7 +284,7 @@ def frequencies(docs: DataFrame, words: int, percent: int, text: str = "text") -
                                              names=["slice", "total", "counts"])
 
     schema = "slice bigint, counts binary"
-    slices = docs.select(text).mapInArrow(count, schema).repartition("slice").mapInArrow(add_up, "slice bigint, total bigint, counts binary")
+    slices = docs.select(text).mapInArrow(giving_back(count), schema).repartition("slice").mapInArrow(giving_back(add_up), "slice bigint, total bigint, counts binary")
     out, total = np.zeros(COUNTERS, dtype=np.uint16), 0
     # COUNTERS / SLICE rows, however many texts there are
     for row in written(slices, "frequencies").collect():
@@ -323,10 +321,8 @@ def signature_rows(docs: DataFrame, words: int, percent: int, text: str = "text"
                     held, entries = [], 0
         if held:
             yield from rows_of(held)
-        held = []
-        give_back()
 
-    return docs.select(text).mapInArrow(run, "sig bigint, class bigint, info bigint")
+    return docs.select(text).mapInArrow(giving_back(run), "sig bigint, class bigint, info bigint")
 
 
 def near_pairs(keys: np.ndarray, info: np.ndarray, begin: np.ndarray, held: np.ndarray, percent: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -388,10 +384,9 @@ def candidate_clusters(docs: DataFrame, words: int, percent: int, text: str = "t
             sig, keys, info = (np.concatenate([c, m[~ready]]) for c, m in zip((sig, keys, info), more))
             yield from edges(read(False))
         yield from edges(read(True))
-        give_back()
 
     dealt = rows.repartition(n, "sig").sortWithinPartitions("sig", "class", "info")
-    found = dealt.mapInArrow(run, "a bigint, b bigint, need bigint")
+    found = dealt.mapInArrow(giving_back(run), "a bigint, b bigint, need bigint")
     return components(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need")).where("n >= need").select("a", "b"))
 
 
@@ -564,10 +559,8 @@ def blocked_pairs(members: DataFrame, bodies: DataFrame, read, compare, forest:
                     held.append((np.split(elements, np.cumsum(count)[:-1]), side[a + i:a + j], keys[a + i:a + j], sizes[a + i:a + j]))
         if held and (out := finish(group, held)) is not None:
             yield out
-        held = []
-        give_back()
 
-    return grouped.mapInArrow(run, "a bigint, b bigint")
+    return grouped.mapInArrow(giving_back(run), "a bigint, b bigint")
 
 
 def picked_sets(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
@@ -637,8 +630,6 @@ def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
                     held, entries = [], 0
         if entries:
             yield packed(*(np.concatenate(c) for c in zip(*held)), power)
-        held = []
-        give_back()
 
     def count(part, held):
         low = np.concatenate([x for x, _ in held])
@@ -671,11 +662,9 @@ def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
                 held.append((low.view("<u8").ravel(), np.repeat(keys, counts)))
         if held:
             yield from count(part, held)
-        held = []
-        give_back()
 
-    rows = texts.select("class", "root", "body").mapInArrow(pack, "part int, classes binary, counts binary, prints binary")
-    return rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(run, "element bigint, class bigint, held bigint")
+    rows = texts.select("class", "root", "body").mapInArrow(giving_back(pack), "part int, classes binary, counts binary, prints binary")
+    return rows.repartition(n, "part").sortWithinPartitions("part").mapInArrow(giving_back(run), "element bigint, class bigint, held bigint")
 
 
 def narrowed(members: DataFrame, docs: DataFrame, words: int, percent: int, text: str = "text") -> DataFrame:
