@@ -182,12 +182,13 @@ def test_wide_clusters_are_cut_before_their_blocks_are_paired(spark, words, perc
     assert len(seen) == 2 and max(seen) < 30, seen
 
 
-def test_shared_elements_are_counted_in_their_cluster(spark):
+@pytest.mark.parametrize("power", [5, 20])
+def test_shared_elements_are_counted_in_their_cluster(spark, power):
     texts = ["a b c d e", "a b c d x", "q r s t u", "b c d e f g h"]
     rows = [(i + 10, root, t) for root, some in ((1, texts), (-2, texts[:1])) for i, t in enumerate(some)]
     df = spark.createDataFrame([(k * root, root, t) for k, root, t in rows], "class long, root long, body string")
     got = {}
-    for r in op.shared_elements(df, 2, 5).collect():
+    for r in op.shared_elements(df, 2, power).collect():
         got.setdefault(r["class"], []).append(r["held"])
     # cluster 1: bc, cd in three sets, ab and de in two; cluster -2 has one set alone
     assert {k: sorted(v) for k, v in got.items()} == {10: [2, 2, 3, 3], 11: [2, 3, 3], 13: [2, 3, 3]}

@@ -609,8 +609,8 @@ def packed(prints: np.ndarray, keys: np.ndarray, sizes: np.ndarray, power: int)
 
 def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
     """``element, class, held`` for the elements of ``texts`` (``class, root, body``) that occur in a cluster more than once,
-    and how often.  An element is 48 bits and its part: two of a set that agree in them stay two rows, so that a set still
-    has as many as it has shingles, and count as frequent ones."""
+    and how often.  An element is its 48 low bits and the 16 high bits of its part: two of a set that agree in them stay
+    two rows, so that a set still has as many as it has shingles, and count as frequent ones."""
     n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ship(texts.sparkSession)
 
@@ -635,7 +635,7 @@ def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
         low = np.concatenate([x for x, _ in held])
         keys = np.concatenate([x for _, x in held])
         held.clear()
-        bits = max(0, (len(low) // COUNTED).bit_length())
+        bits, high = (len(low) // COUNTED).bit_length(), U((part >> max(0, power - 16)) << 48)
         for some in range(1 << bits):
             at = np.flatnonzero(low >> U(48 - bits) == U(some)) if bits else np.arange(len(low))
             at = at[np.argsort(low[at], kind="stable")]
@@ -645,7 +645,7 @@ def shared_elements(texts: DataFrame, words: int, power: int) -> DataFrame:
             at, often = at[often > 1], often[often > 1]
             for i in range(0, len(at), 1 << 16):
                 now = at[i:i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array((low[now] | U(part << 48)).view(np.int64)), pa.array(keys[now]), pa.array(often[i:i + (1 << 16)])],
+                yield pa.RecordBatch.from_arrays([pa.array((low[now] | high).view(np.int64)), pa.array(keys[now]), pa.array(often[i:i + (1 << 16)])],
                                                  names=["element", "class", "held"])
 
     def run(batches):
@@ -677,8 +677,7 @@ def narrowed(members: DataFrame, docs: DataFrame, words: int, percent: int, text
         return members
     inside = written(members.join(wide.select("root"), "root", "left_semi").select(*members.columns), "inside")
     bodies = docs.select("rid", F.col(text).alias("body")).join(inside.select("rid"), "rid", "left_semi").dropDuplicates(["rid"])
-    # an element is 64 bits: its part takes 16 at most
-    power = min(16, max(LEAST_POWER, (int(total) // PART).bit_length()))
+    power = min(30, max(LEAST_POWER, (int(total) // PART).bit_length()))
     shared = written(shared_elements(inside.select("rid", "class", "root").join(bodies, "rid"), words, power), "shared")
     # the most frequent ones that a set must share, less one, go; those that occur once would come after all of these
     order = Window.partitionBy("class").orderBy(F.desc("held"), "element")
